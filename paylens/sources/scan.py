@@ -1,0 +1,22 @@
+"""Reading tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that has fewer splits than the session has cores.
+
+    A small file is often one row group, hence one task, and every expression and sort up
+    to the first shuffle would run on one core. A large table has more splits than cores
+    and is returned as it is, so nothing is shuffled there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
