@@ -114,7 +114,7 @@ LAYERS = ("staging", "intermediate", "marts", "analytics")
 # Export and publishing -----------------------------------------------------------------
 EXPORT_TABLES = tuple(CONTRACTS["analytics"])
 EXPORT_LIMIT = 500_000  # a risk table above this is thinned on export
-EXPORT_STRATA = {"High": ("first", 100_000), "Low": ("sample", 100_000)}
+EXPORT_STRATA = {"High": 100_000, "Low": 100_000}  # rows at the median are left out
 PUBLISH_TABLES = (
     *EXPORT_TABLES, "fct_utilization_by_specialty", "dim_providers", "int_utilization_enriched",
 )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BITS = 16  # the hash range is counted in 2**BITS slots
@@ -41,18 +41,10 @@ def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> Data
 
 
 def stratified_cap(
-    df: DataFrame,
-    column: str,
-    strata: Mapping[str, tuple[str, int]],
-    order: Sequence[Column],
-    keys: Sequence[str],
-    seed: int = 42,
+    df: DataFrame, column: str, strata: Mapping[str, int], keys: Sequence[str], seed: int = 42
 ) -> DataFrame:
-    """Thin a table to a bounded number of rows per stratum; values that are not named are
-    dropped. ``("first", n)`` takes the first rows in ``order``, ``("sample", n)`` a seeded
-    sample."""
-    parts = []
-    for value, (kind, n) in strata.items():
-        rows = df.filter(F.col(column) == value)
-        parts.append(rows.orderBy(*order).limit(n) if kind == "first" else sample_n(rows, n, keys, seed))
+    """Thin a table to at most the given number of rows per stratum; strata that are not
+    named are dropped. A table has no row order, so "the first n" and "a sample of n" are
+    the same repeatable choice here."""
+    parts = [sample_n(df.filter(F.col(column) == value), n, keys, seed) for value, n in strata.items()]
     return reduce(DataFrame.unionByName, parts)
