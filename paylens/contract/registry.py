@@ -1,8 +1,9 @@
 """Every operator as a named query over the given tables, with its DuckDB check.
 
-Layer operators run lazily from the given tables. Rankings, measures, search, export and
-the classifier read the written tables, as their users do: the first of them in a session
-builds all layers once into the shared work folder.
+Staging, enrichment, quality and ingestion run from the given tables, and so does the
+``end_to_end`` query, in one lazy plan. Marts, rankings, measures, search, export and the
+classifier read the written layer below them, as in the build job: the first of them in a
+session builds all layers once, with Spark, into the shared work folder.
 """
 
 from __future__ import annotations
@@ -267,11 +268,7 @@ def build_audit(d: Data) -> DataFrame:
     )
 
 
-AUDIT_ROWS = {
-    "intermediate": ["int_providers", "int_utilization_enriched", "int_spending_enriched"],
-    "marts": [DIM, BENCH],
-    "analytics": [KPI, NAT, STATE, YOY, DRUGS, RISK],
-}
+AUDIT_ROWS = {layer_: [t for wave in waves for t in wave] for layer_, waves in built.WAVES.items()}
 AUDIT = " union all ".join(
     f"""select 'payment_analytics' as pipeline_name, 'success' as run_status, '{step}' as step, 'success' as status,
         true as timed, concat({", ', ', ".join(f"'{t}=', (select count(*) from {BUILT[t]})" for t in names)}) as detail"""
@@ -441,7 +438,14 @@ PROJECTIONS = {
 JOINS = {
     "j01_enrich_spending": layer(fx.Tables.spending, "spend"),
     "j02_enrich_utilization": layer(fx.Tables.utilization, "util"),
-    "j04_kpi_side_by_side": layer(fx.Tables.kpi, "kpi"),
+    "j04_one_row_tables": Query(
+        lambda d: marts.one_row([
+            d.given("orders").agg(F.count(F.lit(1)).alias("orders"), F.max("o_orderkey").alias("last_order")),
+            d.given("customer").agg(F.count(F.lit(1)).alias("customers")),
+            d.given("lineitem").agg(F.max("l_shipdate").alias("last_ship")),
+        ]),
+        """select (select count(*) from orders) as orders, (select max(o_orderkey) from orders) as last_order,
+             (select count(*) from customer) as customers, (select max(l_shipdate) from lineitem) as last_ship"""),
     "j06_star_national_yoy": Query(
         lambda d: r.star_national_yoy(d.built(NAT), d.built(YOY), Y1),
         o.sql(f"select * from (select * from nat where year = {Y1}) left join yoy using (specialty)")),
@@ -476,18 +480,18 @@ TOP_DRUGS = o.top(
           cast(sum(prescriber_count) as bigint) as prescriber_count from drugs where year = {Y1} group by drug_name""",
     "total_cost", 20, "drug_name")
 AGGREGATIONS = {
-    "a01_specialty_benchmark": layer(fx.Tables.benchmark, "bench"),
-    "a02_drug_spending": layer(fx.Tables.drugs, "drugs"),
+    "a01_specialty_benchmark": layer(lambda d: marts.specialty_benchmark(d.built(UTIL)), "bench"),
+    "a02_drug_spending": layer(lambda d: marts.drug_spending(d.built(FACT)), "drugs"),
     "a03_kpi_overview": Query(
         lambda d: clean(marts.kpi_overview(d.built(DIM), d.built(BENCH), d.built(FACT))), o.sql("select * from kpi")),
-    "a04_national_benchmark": layer(fx.Tables.national, "nat"),
-    "a05_state_benchmark": layer(fx.Tables.states, "st"),
-    "a06_year_over_year": layer(fx.Tables.yoy, "yoy"),
-    "a07_provider_year": Query(lambda d: marts.provider_year(d.utilization()), o.sql("select * from pyear")),
-    "a08_provider_risk": layer(fx.Tables.risk, "risk"),
-    "a09_specialty_medians": Query(lambda d: marts.specialty_medians(d.benchmark()), o.sql("select * from med")),
+    "a04_national_benchmark": layer(lambda d: marts.national_benchmark(d.built(BENCH)), "nat"),
+    "a05_state_benchmark": layer(lambda d: marts.state_benchmark(d.built(BENCH)), "st"),
+    "a06_year_over_year": layer(lambda d: marts.year_over_year(d.built(NAT), Y0, Y1), "yoy"),
+    "a07_provider_year": Query(lambda d: marts.provider_year(d.built(UTIL)), o.sql("select * from pyear")),
+    "a08_provider_risk": layer(lambda d: marts.provider_risk(d.built(UTIL), d.built(BENCH)), "risk"),
+    "a09_specialty_medians": Query(lambda d: marts.specialty_medians(d.built(BENCH)), o.sql("select * from med")),
     "a10_exact_median": Query(
-        lambda d: d.utilization().groupBy("cms_specialty", "year").agg(
+        lambda d: d.built(UTIL).groupBy("cms_specialty", "year").agg(
             c.tidy_double(c.exact_median("implied_withhold_rate"), 4).alias("median_rate")),
         o.sql(f"""select cms_specialty, year, {o.rounded("quantile_cont(cast(implied_withhold_rate as double), 0.5)", 4)} as median_rate
                   from util group by 1, 2""")),
@@ -779,6 +783,7 @@ LEARNING = {
 }
 
 QUERIES: dict[str, Query] = {
+    "end_to_end_national": layer(fx.Tables.national, "nat"),
     **SOURCES, **PROJECTIONS, **JOINS, **AGGREGATIONS, **WINDOWS, **QUALITY, **LEARNING,
 }
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,9 +50,10 @@ def salted_join(
     hot = hot_keys(facts if sizes is None else sizes, keys, share).withColumn("_hot", F.lit(True))
     hot = F.broadcast(hot)  # at most 1/share rows by construction
     salt = F.pmod(F.xxhash64(*spread_on), F.lit(salts)).cast("int")
+    no_key = reduce(or_, (F.col(x).isNull() for x in keys))  # matches nothing, but must not pile up
     spread = (
         facts.join(hot, list(keys), "left")
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
+        .withColumn("_salt", F.when(F.col("_hot") | no_key, salt).otherwise(F.lit(0)))
         .drop("_hot")
     )
     last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))

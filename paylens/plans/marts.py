@@ -7,6 +7,7 @@ specialty, drug or provider that owns a third of the rows arrives as a few parti
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,32 +17,53 @@ from ..functions import columns as c
 RATE = "decimal(24,4)"
 
 
+GROUP = ("specialty", "state", "year")
+
+
+def rated_lines(utilization: DataFrame) -> DataFrame:
+    """Lines that have a rate, with a missing specialty or state as a bucket of its own."""
+    return utilization.filter(F.col("implied_withhold_rate").isNotNull()).withColumns(
+        {"specialty": c.or_unknown("cms_specialty"), "state": c.or_unknown("provider_state")}
+    )
+
+
+def group_medians(lines: DataFrame) -> DataFrame:
+    """Exact median rate per group, from a histogram.
+
+    Rates have 4 decimals, so a group has few distinct ones however many lines it has. They
+    are counted first, spread over all tasks by their value, and only the counts meet.
+    """
+    counts = lines.groupBy(*GROUP, "implied_withhold_rate").agg(F.count(F.lit(1)).alias("lines"))
+    median = c.exact_median("implied_withhold_rate", F.col("lines"))
+    return counts.groupBy(*GROUP).agg(c.tidy_double(median, 4).alias("median_withhold_rate"))
+
+
 def specialty_benchmark(utilization: DataFrame) -> DataFrame:
     """Specialty x state x year benchmark over the lines that have a rate.
 
-    The exact median needs no collected group: rates have 4 decimals, so Spark's
-    percentile keeps a value -> count map that is small however many lines a group has.
+    The medians are a branch of their own: next to a distinct count they would keep every
+    provider's rates apart up to the last step, in an aggregate without code generation.
     """
-    lines = utilization.filter(F.col("implied_withhold_rate").isNotNull())
-    rate = F.col("implied_withhold_rate")
-    out = lines.groupBy(
-        c.or_unknown("cms_specialty").alias("specialty"),
-        c.or_unknown("provider_state").alias("state"),
-        "year",
-    ).agg(
+    lines = rated_lines(utilization)
+    sums = lines.groupBy(*GROUP).agg(
         F.count_distinct("npi").alias("provider_count"),
         F.count(F.lit(1)).alias("service_line_count"),
         F.sum("service_count").alias("total_services"),
         F.sum("unique_beneficiary_count").alias("total_beneficiaries"),
         c.exact_mean("avg_allowed_amount", 2, 2).alias("avg_allowed_amount"),
         c.exact_mean("avg_medicare_payment", 2, 2).alias("avg_medicare_payment"),
-        c.exact_mean(rate, 4).cast(RATE).alias("avg_withhold_rate"),
-        c.tidy_double(c.exact_median(rate), 4).alias("median_withhold_rate"),
-        F.max(rate).alias("max_withhold_rate"),
+        c.exact_mean("implied_withhold_rate", 4).cast(RATE).alias("avg_withhold_rate"),
+        F.max("implied_withhold_rate").alias("max_withhold_rate"),
     )
-    key = c.surrogate_key(["specialty", "state", "year"], strict=["specialty", "state"])
-    return out.select(
-        key.alias("specialty_benchmark_id"), "*", F.current_timestamp().alias("_updated_at")
+    medians = group_medians(lines).select(*(F.col(x).alias(f"m_{x}") for x in GROUP), "median_withhold_rate")
+    same_group = reduce(and_, (F.col(x).eqNullSafe(F.col(f"m_{x}")) for x in GROUP))
+    key = c.surrogate_key(GROUP, strict=["specialty", "state"])
+    return sums.join(medians, same_group).select(
+        key.alias("specialty_benchmark_id"), *GROUP,
+        "provider_count", "service_line_count", "total_services", "total_beneficiaries",
+        "avg_allowed_amount", "avg_medicare_payment",
+        "avg_withhold_rate", "median_withhold_rate", "max_withhold_rate",
+        F.current_timestamp().alias("_updated_at"),
     )
 
 
