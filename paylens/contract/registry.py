@@ -136,7 +136,8 @@ def read_csv(d: Data) -> DataFrame:
 
 def add_lineage(d: Data) -> DataFrame:
     frame = files.add_lineage(files.read_raw_csv(d.spark, f"{d.yearly_csv()}/*.csv"), LOADED)
-    return frame.groupBy("year", "_loaded_at").agg(F.count(F.lit(1)).alias("rows"))
+    stamp = F.date_format("_loaded_at", "yyyy-MM-dd HH:mm:ss").alias("loaded_at")
+    return frame.groupBy("year", stamp).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def file_names(d: Data) -> DataFrame:
@@ -308,7 +309,7 @@ SOURCES = {
         """select c_custkey as cust_key, c_name as "npi_code_(legal)", c_nationkey as nation_key, c_acctbal as acctbal,
              c_mktsegment as mktsegment from customer"""),
     "s04_add_lineage": Query(add_lineage, o.sql(
-        f"select year, cast('{LOADED}' as timestamptz) as _loaded_at, count(*) as rows from raw_s group by year")),
+        f"select year, '{LOADED}' as loaded_at, count(*) as rows from raw_s group by year")),
     "s05_route_files": Query(
         lambda d: files.route_files(file_names(d)),
         f"""select file, case when regexp_full_match(file, 'cms_part_d_spending_\\d{{4}}\\.csv') then 'cms_part_d_spending'
@@ -524,6 +525,11 @@ AGGREGATIONS = {
         "select state, " + ", ".join(f'max(avg_withhold_rate) filter (year = {y}) as "{y}"' for y in YEARS)
         + f" from ({UNWEIGHTED_STATES}) group by state"),
     "a19_average_withhold": report(BENCH, r.average_withhold, f"select {o.mean('avg_withhold_rate', 4)} as rate from bench"),
+    "a19_dashboard_kpis": Query(
+        lambda d: r.dashboard_kpis(d.built(DIM), d.built(UTIL), d.built(FACT), d.built(BENCH)),
+        o.sql(f"""select (select count(*) from prov) as providers, (select count(*) from util) as utilization_rows,
+                    (select count(*) from spend) as spending_rows,
+                    (select {o.mean('avg_withhold_rate', 4)} from bench) as avg_withhold""")),
     "a20_distinct_years": report(BENCH, lambda b: r.distinct_values(b, "year"), "select distinct year from bench where year is not null"),
     "a20_distinct_states": report(BENCH, lambda b: r.distinct_values(b, "state", True), "select distinct state from bench"),
     "a21_measures_national": report(

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from .marts import RATE, provider_year
+from ..operators.joins import lookup_join
+from .marts import RATE, one_row
 
 
 def top(df: DataFrame, by: str, n: int, *ties: str) -> DataFrame:
@@ -48,6 +49,15 @@ def average_withhold(benchmark: DataFrame) -> DataFrame:
     return benchmark.agg(c.exact_mean("avg_withhold_rate", 4).cast(RATE).alias("rate"))
 
 
+def dashboard_kpis(
+    dim: DataFrame, utilization: DataFrame, spending: DataFrame, benchmark: DataFrame
+) -> DataFrame:
+    """The four numbers of the start page. Counts of written tables come from their footers."""
+    counts = {"providers": dim, "utilization_rows": utilization, "spending_rows": spending}
+    frames = [df.agg(F.count(F.lit(1)).alias(name)) for name, df in counts.items()]
+    return one_row([*frames, average_withhold(benchmark).withColumnRenamed("rate", "avg_withhold")])
+
+
 # Specialties and states -----------------------------------------------------------------
 def benchmarks(benchmark: DataFrame, year: int, state: str | None = None, n: int = 15) -> DataFrame:
     """Highest benchmark rows of a year, optionally of one state."""
@@ -327,4 +337,4 @@ def star_risk(risk: DataFrame, dim: DataFrame, national: DataFrame) -> DataFrame
     rates = national.select(
         F.col("specialty").alias("cms_specialty"), "year", "weighted_avg_withhold_rate", "avg_median_withhold_rate"
     )
-    return risk.join(registry, "npi", "left").join(rates, ["cms_specialty", "year"], "left")
+    return lookup_join(risk, registry, ["npi"], ["provider_risk_id"]).join(rates, ["cms_specialty", "year"], "left")

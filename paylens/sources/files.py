@@ -116,6 +116,8 @@ def load_files(spark: SparkSession, paths: Sequence[str], loaded_at: datetime |
     groups: dict[tuple, list[str]] = {}
     for path in paths:
         header = tuple(read_raw_csv(spark, path).columns)
+        if not header:
+            raise ValueError(f"{path}: no header line")
         whole = entry_name(unquote(path)) in broken
         groups.setdefault((header, whole), []).append(path)
     out = None

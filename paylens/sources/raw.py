@@ -20,6 +20,7 @@ from ..plans.reports import row_counts
 from .files import SOURCE, list_files, load_files, route, route_files, select_files
 
 log = logging.getLogger(__name__)
+UNREADABLE = (PySparkException, ValueError)
 
 
 def now() -> datetime:
@@ -71,13 +72,13 @@ def full_load(spark: SparkSession, folder: str, root: str, only: Sequence[str] |
         try:
             write_raw(load_files(spark, members, now()), target, replace_table=True)
             loaded.append(table)
-        except PySparkException:  # find the file at fault and load the others
+        except UNREADABLE:  # find the file at fault and load the others
             first = True
             for path in members:
                 try:
                     write_raw(load_files(spark, [path], now()), target, replace_table=first)
                     first = False
-                except PySparkException as error:
+                except UNREADABLE as error:
                     log.error("skipped %s: %s", path, error)
             if not first:
                 loaded.append(table)
