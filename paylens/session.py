@@ -19,6 +19,19 @@ CONF = {
 }
 
 
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Shuffle and scan settings for an amount of input: about 512 MB of it per shuffle
+    partition, which adaptive execution merges where less arrives, and larger scan splits
+    once there are enough of them to keep a large cluster busy."""
+    partitions = min(max(input_bytes // (512 << 20), 200), 65_536)
+    split = 512 << 20 if input_bytes > 10 << 40 else 128 << 20
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
 def session(master: str | None = None, app: str = "paylens", **extra: str) -> SparkSession:
     """A session with :data:`CONF`; ``extra`` keys use ``_`` in place of ``.``."""
     builder = SparkSession.builder.appName(app)
