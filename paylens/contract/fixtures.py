@@ -66,18 +66,7 @@ from {lineitem} join {orders} on l_orderkey = o_orderkey join {part} on l_partke
 
 # Suppliers are organisations, customers are persons; those with a balance of 0 or less are
 # not registered, and every fourth customer is there twice.
-REGISTRY = """
-select cast(2000000000 + s_suppkey as string) as npi, '2' as entity_type_code,
-  case when s_suppkey % 10 = 0 then '  ' when s_suppkey % 10 <> 1 then s_name end as org_legal_name,
-  s_name || ' (other)' as provider_other_organization_name,
-  cast(null as string) as last_name, cast(null as string) as first_name,
-  cast(null as string) as credential,
-  'Town ' || cast(s_nationkey as string) as city,
-  case when s_suppkey % 11 <> 0 then 'S' || cast(s_nationkey as string) end as state,
-  cast(10000 + s_suppkey as string) as zip,
-  'TX' || cast(s_suppkey % 20 as string) as taxonomy, 'N' as is_sole_proprietor
-from {supplier} where s_acctbal > 0
-union all
+CUSTOMERS = """
 select cast(1000000000 + c_custkey as string),
   case when c_custkey % 50 = 0 then '9' else '1' end,
   cast(null as string), cast(null as string),
@@ -86,10 +75,22 @@ select cast(1000000000 + c_custkey as string),
   c_mktsegment,
   case when c_custkey % 6 <> 0 then 'Town ' || cast(c_nationkey as string) end,
   case when c_custkey % 11 <> 0 then 'S' || cast(c_nationkey as string) end,
-  cast(20000 + c_custkey * (1 + n.copy) as string),
+  cast(20000 + c_custkey * {copy} as string),
   case when c_custkey % 4 <> 0 then 'TX' || cast(c_custkey % 20 as string) end, 'Y'
-from {customer} join (select 0 as copy union all select 1) n on n.copy = 0 or c_custkey % 4 = 0
-where c_acctbal > 0
+from {customer} where c_acctbal > 0"""
+REGISTRY = f"""
+select cast(2000000000 + s_suppkey as string) as npi, '2' as entity_type_code,
+  case when s_suppkey % 10 = 0 then '  ' when s_suppkey % 10 <> 1 then s_name end as org_legal_name,
+  s_name || ' (other)' as provider_other_organization_name,
+  cast(null as string) as last_name, cast(null as string) as first_name,
+  cast(null as string) as credential,
+  'Town ' || cast(s_nationkey as string) as city,
+  case when s_suppkey % 11 <> 0 then 'S' || cast(s_nationkey as string) end as state,
+  cast(10000 + s_suppkey as string) as zip,
+  'TX' || cast(s_suppkey % 20 as string) as taxonomy, 'N' as is_sole_proprietor
+from {{supplier}} where s_acctbal > 0
+union all {CUSTOMERS.replace("{copy}", "1")}
+union all {CUSTOMERS.replace("{copy}", "2")} and c_custkey % 4 = 0
 """
 
 REGISTRY_HEADERS = {

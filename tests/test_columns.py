@@ -1,4 +1,3 @@
-from datetime import datetime
 from decimal import Decimal as D
 from hashlib import md5
 
@@ -95,3 +94,8 @@ def test_median_of_histogram_equals_median(spark):
 def test_short_label(spark):
     df = spark.createDataFrame([("x" * 50,)], "v string")
     assert values(df, F.length(c.short_label("v", 40))) == [40]
+
+
+def test_approximate_median_is_close(spark):
+    df = spark.range(10_001).selectExpr("cast(id as decimal(18,4)) as v")
+    assert abs(df.agg(c.approx_median("v").alias("m")).first().m - 5_000) <= 1

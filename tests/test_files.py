@@ -121,6 +121,15 @@ def test_approx_rows(spark, folder):
     assert raw.approx_rows(spark, folder + "/none").first().rows == 0
 
 
+def test_catalog_rows(spark, folder):
+    spark.range(123).write.parquet(folder + "/t")
+    spark.sql(f"create table counted using parquet location '{folder}/t'")
+    assert raw.catalog_rows(spark, "counted") is None
+    spark.sql("analyze table counted compute statistics")
+    assert raw.catalog_rows(spark, "counted") == 123
+    spark.sql("drop table counted")  # external: the files stay
+
+
 def test_ledger(spark, folder):
     path = folder + "/runs"
     run = ledger.record_run(spark, path, {"pipeline_name": "p", "status": "running"})
