@@ -109,10 +109,13 @@ def add_lineage(df: DataFrame, loaded_at: datetime | str) -> DataFrame:
     return out.withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp"))
 
 
-def load_files(spark: SparkSession, paths: Sequence[str], loaded_at: datetime | str) -> DataFrame:
+def load_files(
+    spark: SparkSession, paths: Sequence[str], loaded_at: datetime | str, check_quotes: bool = True
+) -> DataFrame:
     """Files of one table as one text frame: same-header files are one scan, and a column
-    that only some files have is null in the others."""
-    broken = quoted_breaks(spark, paths)
+    that only some files have is null in the others. ``check_quotes=False`` saves the extra
+    scan for files known to have no line breaks inside quotes."""
+    broken = quoted_breaks(spark, paths) if check_quotes else set()
     groups: dict[tuple, list[str]] = {}
     for path in paths:
         header = tuple(read_raw_csv(spark, path).columns)
