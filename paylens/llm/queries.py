@@ -6,15 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import warc
+from .html_blocks import extract
+from .language_id import identify
+from .licenses import find_licenses
 from .near_dup import Rule, near_duplicates
 from .store import table
 
 
+def op5_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as response records, and the records derived from these."""
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
+def op8_license_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(table(spark, sf_dir, "documents"))
+
+
+def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Rule(words=2))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_html_blocks": op5_html_blocks,
+    "op6_warc_derivatives": op6_warc_derivatives,
+    "op8_license_compression": op8_license_compression,
+    "op9_byte_cnn": op9_byte_cnn,
     "op10_minhash": op10_minhash,
 }
 
