@@ -11,9 +11,14 @@ from .html_blocks import extract
 from .language_id import identify
 from .licenses import find_licenses
 from .near_dup import Rule, near_duplicates
+from .pii import find_personal
 from .store import table
 
 
+def op1_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal(table(spark, sf_dir, "documents"))
+
+
 def op5_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
@@ -36,6 +41,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_crf": op1_pii_crf,
     "op5_html_blocks": op5_html_blocks,
     "op6_warc_derivatives": op6_warc_derivatives,
     "op8_license_compression": op8_license_compression,
