@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import work_dir
 from . import warc
 from .html_blocks import extract
 from .language_id import identify
@@ -13,12 +16,26 @@ from .licenses import find_licenses
 from .near_dup import Rule, near_duplicates
 from .pii import find_personal
 from .store import table
+from .token_files import read_tokens, write_tokens
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal(table(spark, sf_dir, "documents"))
 
 
+def token_files(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents' ids, written and read back: where each begins, how many, their checksum."""
+    path = work_dir(spark, "tokens")
+    write_tokens(docs, path, VOCABULARY)
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op3_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
@@ -42,6 +59,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_crf": op1_pii_crf,
+    "op3_rans": op3_rans,
     "op5_html_blocks": op5_html_blocks,
     "op6_warc_derivatives": op6_warc_derivatives,
     "op8_license_compression": op8_license_compression,
