@@ -13,6 +13,7 @@ from . import warc
 from .html_blocks import extract
 from .language_id import identify
 from .licenses import find_licenses
+from .lz_prints import fingerprints
 from .near_dup import Rule, near_duplicates
 from .pii import find_personal
 from .store import table
@@ -36,6 +37,10 @@ def op3_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, table(spark, sf_dir, "documents"))
 
 
+def op4_lz_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
@@ -60,6 +65,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_crf": op1_pii_crf,
     "op3_rans": op3_rans,
+    "op4_lz_phrases": op4_lz_phrases,
     "op5_html_blocks": op5_html_blocks,
     "op6_warc_derivatives": op6_warc_derivatives,
     "op8_license_compression": op8_license_compression,
