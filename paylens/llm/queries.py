@@ -17,6 +17,7 @@ from .lz_prints import fingerprints
 from .near_dup import Rule, near_duplicates
 from .pii import find_personal
 from .store import table
+from .tiling import contaminated
 from .token_files import read_tokens, write_tokens
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +27,10 @@ def op1_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal(table(spark, sf_dir, "documents"))
 
 
+def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def token_files(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents' ids, written and read back: where each begins, how many, their checksum."""
     path = work_dir(spark, "tokens")
@@ -64,6 +69,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_crf": op1_pii_crf,
+    "op2_string_tiling": op2_string_tiling,
     "op3_rans": op3_rans,
     "op4_lz_phrases": op4_lz_phrases,
     "op5_html_blocks": op5_html_blocks,

@@ -16,6 +16,8 @@ _TABLE = np.random.default_rng(0x5EED).integers(1, 2**63, size=256, dtype=np.uin
 _TABLE[65:91] = _TABLE[97:123]  # A-Z hash like a-z
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+NOT_LETTERS = np.ones(256, bool)  # for words of letters and digits; every byte beyond ASCII is in a word
+NOT_LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 _powers: dict[int, np.ndarray] = {}
@@ -58,17 +60,17 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
             yield view[ends[i]:ends[i + 1]] if valid[i] else view[:0]
 
 
-def word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte offsets where words start and end."""
+def word_spans(raw: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offsets where words start and end; ``between`` flags the bytes outside words."""
     inside = np.zeros(len(raw) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[raw]
+    inside[1:-1] = ~between[raw]
     steps = np.diff(inside)
     return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
 
 
-def word_hashes(raw: np.ndarray) -> np.ndarray:
+def word_hashes(raw: np.ndarray, between: np.ndarray = _SPACE) -> np.ndarray:
     """A 64-bit hash of every word, in order."""
-    starts, ends = word_spans(raw)
+    starts, ends = word_spans(raw, between)
     if not len(starts):
         return np.zeros(0, np.uint64)
     sums = np.zeros(len(raw) + 1, np.uint64)
@@ -76,6 +78,16 @@ def word_hashes(raw: np.ndarray) -> np.ndarray:
     return mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(raw))[starts])
 
 
+def rolling(words: np.ndarray, size: int) -> np.ndarray:
+    """The Karp-Rabin hash of every run of ``size`` words, in order: sums of words times powers of
+    a base, taken as differences of running sums and brought to the same power."""
+    if len(words) < size:
+        return np.zeros(0, np.uint64)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * powers(_BASE, len(words)), out=sums[1:])
+    return mix((sums[size:] - sums[:-size]) * powers(_INVERSE, len(words))[:len(sums) - size])
+
+
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
     """Sorted distinct hashes of runs of `size` words; fewer words count as one run, none give none."""
     if not len(words):
