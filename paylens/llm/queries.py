@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import warc
+from . import raking, warc
 from .html_blocks import extract
 from .language_id import identify
 from .licenses import find_licenses
@@ -55,6 +55,13 @@ def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
 
 
+def op7_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = raking.sampled(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"),
+        F.col("_tokens").alias("n_tokens"), F.round("_probability", 6).alias("probability"), F.col("_kept").alias("kept"))
+
+
 def op8_license_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_licenses(table(spark, sf_dir, "documents"))
 
@@ -74,9 +81,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lz_phrases": op4_lz_phrases,
     "op5_html_blocks": op5_html_blocks,
     "op6_warc_derivatives": op6_warc_derivatives,
+    "op7_raking": op7_raking,
     "op8_license_compression": op8_license_compression,
     "op9_byte_cnn": op9_byte_cnn,
     "op10_minhash": op10_minhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_raking": raking.oracle()}
