@@ -58,8 +58,8 @@ def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = raking.sampled(table(spark, sf_dir, "documents"))
     return rows.select(
-        "doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"),
-        F.col("_tokens").alias("n_tokens"), F.round("_probability", 6).alias("probability"), F.col("_kept").alias("kept"))
+        "doc_id", F.col("__mix_source").alias("source"), F.col("__mix_lang").alias("lang"), F.col("__mix_topic").alias("topic"),
+        F.col("__mix_tokens").alias("n_tokens"), F.round("__mix_probability", 6).alias("probability"), F.col("__mix_kept").alias("kept"))
 
 
 def op8_license_compression(spark: SparkSession, sf_dir: str) -> DataFrame:

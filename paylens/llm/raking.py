@@ -64,11 +64,11 @@ def topic_of(text: Column) -> Column:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """``docs`` with its cell and tokens in columns of their own (``_source``, ``_lang``, ``_topic``, ``_tokens``)."""
+    """``docs`` with its cell and tokens in columns of their own (``__mix_source``, ``__mix_lang``, ``__mix_topic``, ``__mix_tokens``)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.withColumns({
-        "_source": F.coalesce("source", F.lit(NONE)), "_lang": F.coalesce("lang", F.lit(NONE)), "_topic": topic_of(text),
-        "_tokens": F.regexp_count(text, F.lit(WORD)).cast("long")})
+        "__mix_source": F.coalesce("source", F.lit(NONE)), "__mix_lang": F.coalesce("lang", F.lit(NONE)), "__mix_topic": topic_of(text),
+        "__mix_tokens": F.regexp_count(text, F.lit(WORD)).cast("long")})
 
 
 def targets(cells: DataFrame, margin: str, mix: Mix) -> DataFrame:
@@ -111,18 +111,19 @@ def raked(cells: DataFrame, mix: Mix) -> DataFrame:
 
 
 def probabilities(docs: DataFrame, mix: Mix) -> DataFrame:
-    """``_source``, ``_lang``, ``_topic``, ``probability`` of every cell with tokens, from described documents."""
-    cells = docs.groupBy(*(F.col(f"_{m}").alias(m) for m in MARGINS)).agg(F.sum("_tokens").alias("tokens"))
+    """``__mix_source``, ``__mix_lang``, ``__mix_topic``, ``__mix_chance`` of every cell with tokens, from described documents."""
+    cells = docs.groupBy(*(F.col(f"__mix_{m}").alias(m) for m in MARGINS)).agg(F.sum("__mix_tokens").alias("tokens"))
     fitted = raked(stored(cells, "cells"), mix)
     # at most all tokens of a cell can be drawn
     total = fitted.agg(F.sum("tokens").alias("_all"), F.sum("weight").alias("_whole"))
     wanted = F.col("weight") / F.col("_whole") * F.col("_all") * mix.rate
     shared = fitted.join(F.broadcast(total)).withColumn("probability", F.least(F.lit(1.0), wanted / F.col("tokens")))
-    return stored(shared.select(*(F.col(m).alias(f"_{m}") for m in MARGINS), "probability"), "probabilities")
+    return stored(shared.select(*(F.col(m).alias(f"__mix_{m}") for m in MARGINS),
+                                F.col("probability").alias("__mix_chance")), "probabilities")
 
 
 def sampled(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """``docs`` with ``_source``, ``_lang``, ``_topic``, ``_tokens``, ``_probability`` and ``_kept``.
+    """``docs`` with ``__mix_source``, ``__mix_lang``, ``__mix_topic``, ``__mix_tokens``, ``__mix_probability`` and ``__mix_kept``.
 
     Needs ``doc_id``, ``text``, ``source`` and ``lang``; further columns pass through. A document
     is kept where a number drawn from its id lies below its cell's probability, so repeated rows
@@ -132,12 +133,12 @@ def sampled(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """
     rows = described(docs)
     chances = probabilities(rows, mix)
-    keys = [f"_{m}" for m in MARGINS]
+    keys = [f"__mix_{m}" for m in MARGINS]
     joined = lookup_join(rows, chances, keys, ["doc_id"])
-    chance = F.when(F.col("_tokens") == 0, F.lit(1.0)).otherwise(F.col("probability"))
+    chance = F.when(F.col("__mix_tokens") == 0, F.lit(1.0)).otherwise(F.col("__mix_chance"))
     name = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text")), F.lit(""))
     drawn = F.conv(F.substring(F.md5(F.concat(F.lit(mix.seed + ":"), name)), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
-    return joined.withColumn("_probability", chance).withColumn("_kept", drawn < F.col("_probability")).drop("probability")
+    return joined.withColumn("__mix_probability", chance).withColumn("__mix_kept", drawn < F.col("__mix_probability")).drop("__mix_chance")
 
 
 def oracle(mix: Mix = Mix()) -> str:

@@ -22,3 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def picked(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns under the given new names, so that no other column can clash."""
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
+
+
+def by_ids(df: DataFrame, ids: DataFrame, column: str, how: str, limit: int = 1_000_000) -> DataFrame:
+    """``df`` with (``left_semi``) or without (``left_anti``) the rows whose ``column`` is among
+    ``ids.id``. Rows stay where they are while the ids are few enough to broadcast, which is
+    counted first; beyond that they are shuffled."""
+    ids = stored(ids.select(F.col("id").alias("__id")).distinct(), "ids")
+    return df.join(F.broadcast(ids) if ids.count() <= limit else ids, F.col(f"`{column}`") == F.col("__id"), how)

@@ -150,13 +150,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rule: Tiling = Tiling(),
     side gives an empty result.
     """
     docs = picked(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
+    return reduce(DataFrame.unionByName, (_against(docs, items, rule) for items in item_blocks(benchmark, rule, item_col, text_col)))
+
+
+def item_blocks(benchmark: DataFrame, rule: Tiling, item_col: str = "item_id", text_col: str = "text") -> Iterator[Items]:
+    """The items in blocks of about ``block_bytes``; one block at a time passes through the driver."""
     items = picked(benchmark, id=item_col, text=text_col).withColumn("id", F.col("id").cast("long")).filter("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // rule.block_bytes))
     slot = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
-    found = []
     for k in range(blocks):
         part = items.filter(slot == k).orderBy("id", "text").toArrow()
-        texts = part.column("text").combine_chunks()
-        found.append(_against(docs, Items(part.column("id").to_pylist(), texts, rule.seed), rule))
-    return reduce(DataFrame.unionByName, found)
+        yield Items(part.column("id").to_pylist(), part.column("text"), rule.seed)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, rule: Tiling = Tiling(), text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that :func:`contaminated` has no item for; rows stay
+    where they are."""
+    for items in item_blocks(benchmark, rule):
+        def run(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = pc.utf8_lower(batch.column(batch.schema.get_field_index(text_col)))
+                yield batch.filter(pa.array([not leaks(text, items, rule) for text in utf8(texts)], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
