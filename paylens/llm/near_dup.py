@@ -4,10 +4,11 @@
    hash minima. Documents with equal sets are one node from here on, named by their smallest id.
 2. Nodes that agree on a band of the signature share a bucket. Each member is compared with the
    bucket's smallest node: signature first, then the full sets. Links are joined to components.
-3. That leaves pairs of one bucket that lie in different components. They are compared too, all of
-   them, in bounded blocks: the members outside the bucket's largest component against everyone.
-   A group of copies is one component after step 2 and costs nothing here, so work follows the
-   number of strays and not the square of a group.
+3. That leaves pairs of one bucket that lie in different components. A group of copies is one
+   component after step 2 and costs nothing here. The others are compared in bounded blocks, the
+   members outside the bucket's largest component against everyone, but only where the shingles
+   that a document has in common with any other leave room for a link: an edited copy that is too
+   far from all others has too many shingles of its own and drops out before the pairs are made.
 
 No link between different texts is lost but by the banding itself: with 32 bands of 4, a pair at a
 similarity of 0.8 misses all bands with a probability of 5e-8, and the signature test with 1e-8.
@@ -110,6 +111,31 @@ def _minima(column: pa.Array, rule: Rule) -> np.ndarray:
     return np.frombuffer(joined, np.uint16).reshape(len(column), rule.hashes)
 
 
+def among(docs: DataFrame, ids: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """The rows of ``docs`` with one of the ids. Texts stay where they are while the ids are few
+    enough to broadcast, which is counted first; beyond that they are shuffled."""
+    ids = stored(ids, "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= limit else ids, "id", "left_semi")
+
+
+def common_shingles(nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """``id``, ``c``: how many shingles of a node occur in another node of these too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(text, rule.words) for text in utf8(batch.column("text"))]
+            ids = np.repeat(batch.column("id").to_numpy(), [len(s) for s in sets])
+            every = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            for at in range(0, len(ids), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at:at + (1 << 16)]), pa.array(every[at:at + (1 << 16)])], ["id", "x"])
+
+    rows = among(docs, nodes.select("id")).mapInArrow(run, "id long, x long")
+    alone = rows.groupBy("x").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).filter("k = 1")
+    alone = alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    sizes = nodes.groupBy("id").agg(F.sum("n").alias("n"))
+    return sizes.join(alone, "id", "left").select("id", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"))
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs ``a``, ``b`` whose full shingle sets are similar enough; a written table."""
 
@@ -129,44 +155,46 @@ def confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
 
     pairs = stored(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = stored(docs.join(wanted, "id", "left_semi").mapInArrow(to_sets, "id long, members binary"), "sets")
+    sets = stored(among(docs, wanted).mapInArrow(to_sets, "id long, members binary"), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("y"))
     links = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(link, "a long, b long")
     return stored(links, "links")
 
 
-def strays(shared: DataFrame, labels: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of one bucket in different components that their signatures allow to be linked.
+def strays(shared: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of one bucket in different components that may be linked, by their signatures, sizes
+    and common shingles.
 
-    A pair is given once, by the first band it shares. Pairs with the bucket's pivot were
-    compared before. Blocks bound the rows of a task's group; a bucket larger than a block is
-    dealt over many of them.
+    Pairs with the bucket's pivot were compared before. A pair is given once, by the first band it
+    shares. Blocks bound the rows of a task's group; a larger bucket is dealt over many of them.
     """
     comp = F.coalesce("b", "id").alias("comp")
-    rows = shared.join(labels.withColumnRenamed("a", "id"), "id", "left").select("key", "band", "id", "pivot", comp)
+    rows = shared.filter("id != pivot").join(labels.withColumnRenamed("a", "id"), "id", "left").select("key", "band", "id", comp)
     parts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     mixed = (parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("c").alias("total"),
                                       F.max(F.struct("c", "comp")).alias("top")).filter("parts > 1"))
     blocks = lambda n: F.ceil(n / F.lit(rule.block)).cast("int")
     mixed = mixed.select("key", F.col("top.comp").alias("top"), blocks(F.col("total")).alias("all_blocks"),
                          blocks(F.col("total") - F.col("top.c")).alias("few_blocks"))
-    rows = rows.join(mixed, "key").join(nodes.select("id", "n", "sig"), "id")
+    rows = stored(rows.join(mixed, "key"), "mixed")
+    nodes = nodes.join(rows.select("id").distinct(), "id", "left_semi")
+    nodes = nodes.join(common_shingles(nodes, docs, rule), "id").filter(100 * F.col("c") >= rule.percent * F.col("n"))
+    rows = stored(rows.join(nodes.select("id", "n", "c", "sig"), "id"), "strays")
     slot = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    keep = ["key", "band", "id", "pivot", "comp", "n", "sig"]
+    keep = ["key", "band", "id", "comp", "n", "c", "sig"]
     few = rows.filter("comp != top").select(*keep, F.lit(True).alias("few"), slot("few_blocks").alias("i"), every("all_blocks").alias("j"))
     many = rows.select(*keep, F.lit(False).alias("few"), every("few_blocks").alias("i"), slot("all_blocks").alias("j"))
+    p = rule.percent
 
     def compare(group: dict[str, np.ndarray]) -> list[tuple[int, int]]:
         out = []
         rest = np.flatnonzero(~group["few"])
         for k in np.flatnonzero(group["few"]):
-            if group["id"][k] == group["pivot"][k]:
-                continue
-            n, other = group["n"][k], group["n"][rest]
-            fits = rest[(group["comp"][rest] != group["comp"][k]) & (group["id"][rest] != group["pivot"][k])
-                        & (100 * np.minimum(n, other) >= rule.percent * np.maximum(n, other))]
+            n, c, other = group["n"][k], group["c"][k], group["n"][rest]
+            fits = rest[(group["comp"][rest] != group["comp"][k]) & (100 * np.minimum(n, other) >= p * np.maximum(n, other))
+                        & ((100 + p) * np.minimum(c, group["c"][rest]) >= p * (n + other))]
             same = group["sig"][fits] == group["sig"][k]
             fits, same = fits[ok := same.sum(axis=1) >= rule.agreements], same[ok]
             first = same.reshape(len(fits), rule.bands, rule.rows).all(axis=2).argmax(axis=1)
@@ -216,7 +244,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     star = shared.filter("id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     links = confirmed(alike(star, nodes, rule), docs, rule)
     labels = components(links)
-    more = confirmed(strays(shared, labels, nodes, rule), docs, rule)
+    more = confirmed(strays(shared, labels, nodes, docs, rule), docs, rule)
     labels = components(labels.unionByName(more))
     named = nodes.select("set_key", "id").join(labels.withColumnRenamed("a", "id"), "id", "left")
     named = named.select("set_key", F.coalesce("b", "id").alias("component"))
