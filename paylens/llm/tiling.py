@@ -37,87 +37,101 @@ class Tiling:
 
 
 class Items:
-    """The seeds of a block of items, sorted by hash."""
+    """The seeds of a block of items: by item, and sorted by hash."""
 
     def __init__(self, ids: list[int | None], texts: pa.Array, seed: int):
         words = [_words(text) for text in utf8(pc.utf8_lower(texts))]
-        self.ids, self.sizes, self.seed = ids, np.array([len(w) for w in words], np.int64), seed
-        hashes = [rolling(w, seed) for w in words]
-        every = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
-        place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.zeros(0, np.int64)
+        self.ids, self.sizes, self.seed = ids, [len(w) for w in words], seed
+        self.seeds = [rolling(w, seed) for w in words]
+        every = np.concatenate(self.seeds) if self.seeds else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(self.seeds)), [len(h) for h in self.seeds])
         order = np.argsort(every, kind="stable")
-        self.hashes, self.owner, self.place = every[order], owner[order], place[order]
+        self.hashes, self.owner = every[order], owner[order]
 
-    def hits(self, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Item, place in the item and place in the document of every shared seed."""
+    def sharing(self, seeds: np.ndarray) -> np.ndarray:
+        """The items that have any of the seeds, in order."""
+        if not len(self.hashes):
+            return np.zeros(0, np.int64)
         low = np.searchsorted(self.hashes, seeds, "left")
-        found = np.flatnonzero(self.hashes[np.minimum(low, len(self.hashes) - 1)] == seeds) if len(self.hashes) else np.zeros(0, np.int64)
-        low = low[found]
-        count = np.searchsorted(self.hashes, seeds[found], "right") - low
-        at = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        return self.owner[at], self.place[at], np.repeat(found, count)
+        shared = np.unique(seeds[self.hashes[np.minimum(low, len(self.hashes) - 1)] == seeds])
+        if not len(shared):
+            return np.zeros(0, np.int64)
+        low = np.searchsorted(self.hashes, shared, "left")
+        count = np.searchsorted(self.hashes, shared, "right") - low
+        return np.unique(self.owner[np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())])
 
 
 def _words(text: bytes | memoryview) -> np.ndarray:
     return word_hashes(np.frombuffer(text, np.uint8), NOT_LETTERS)
 
 
-def matches(item_at: np.ndarray, doc_at: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
-    """Maximal matches as length, place in the document and in the item: runs of hits on one diagonal."""
-    order = np.lexsort((doc_at, doc_at - item_at))
-    item_at, doc_at = item_at[order], doc_at[order]
-    new = np.concatenate([[True], (np.diff(doc_at) != 1) | (np.diff(item_at) != 1)])
-    first = np.flatnonzero(new)
-    length = np.diff(np.append(first, len(new))) + seed - 1
-    return list(zip(length.tolist(), doc_at[first].tolist(), item_at[first].tolist()))
+def matches(doc: np.ndarray, item: np.ndarray, seed: int, chunk: int = 1 << 20) -> list[tuple[int, int, int]]:
+    """Maximal matches as length, place in the document and in the item, from the seeds of both.
 
-
-def tile(found: list[tuple[int, int, int]], n_item: int, seed: int) -> list[tuple[int, int, int]]:
+    Pairs of equal seeds are looked at in chunks, and only those are held that begin or end a run
+    on their diagonal, so that texts that repeat themselves need no more memory than matches.
+    """
+    order = np.argsort(item, kind="stable")
+    low = np.searchsorted(item[order], doc, "left")
+    count = np.searchsorted(item[order], doc, "right") - low
+    at = np.flatnonzero(count)
+    low, count = low[at], count[at]
+    total = np.cumsum(count)
+    begins, ends = [], []
+    lo = 0
+    while lo < len(at):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] - count[lo] + chunk, "right")))
+        n = count[lo:hi]
+        i = order[np.repeat(low[lo:hi] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        d = np.repeat(at[lo:hi], n)
+        goes_on = (d > 0) & (i > 0) & (doc[d - 1] == item[i - 1])
+        begins.append(np.stack([d - i, d])[:, ~goes_on])
+        after = (d + 1 < len(doc)) & (i + 1 < len(item))
+        goes_on = after & (doc[np.where(after, d + 1, 0)] == item[np.where(after, i + 1, 0)])
+        ends.append(np.stack([d - i, d])[:, ~goes_on])
+        lo = hi
+    if not begins:
+        return []
+    (side, first), (other, last) = (np.concatenate(x, axis=1) for x in (begins, ends))
+    one, two = np.lexsort((first, side)), np.lexsort((last, other))
+    first, side, last = first[one], side[one], last[two]
+    return list(zip((last - first + seed).tolist(), first.tolist(), (first - side).tolist()))
+
+
+def tile(found: list[tuple[int, int, int]], n_doc: int, n_item: int, seed: int) -> list[tuple[int, int, int]]:
     """Tiles (document, item, length), the longest first; ties by place in the document, then in
     the item. No word of either text is under two tiles."""
     heap = [(-length, doc, item) for length, doc, item in found]
     heapq.heapify(heap)
-    in_item = bytearray(n_item)
-    in_doc: set[int] = set()
-    tiles = []
-    while heap:
+    in_item, in_doc = bytearray(n_item), bytearray(n_doc)
+    left, tiles = n_item, []
+    while heap and left >= seed:
         length, doc, item = heapq.heappop(heap)
         length = -length
-        free = [not in_item[item + k] and doc + k not in in_doc for k in range(length)]
-        if all(free):
+        if 1 not in in_item[item:item + length] and 1 not in in_doc[doc:doc + length]:
             tiles.append((doc, item, length))
-            in_item[item:item + length] = b"\1" * length
-            in_doc.update(range(doc, doc + length))
-            if all(in_item):
-                break
+            in_item[item:item + length] = in_doc[doc:doc + length] = b"\1" * length
+            left -= length
             continue
-        start = None
-        for k, open_ in enumerate([*free, False]):  # what is left of it may still be a tile
-            if open_ and start is None:
-                start = k
-            elif not open_ and start is not None:
-                if k - start >= seed:
-                    heapq.heappush(heap, (start - k, doc + start, item + start))
-                start = None
+        # what is left of it between marks may still be a tile
+        marked = np.frombuffer(in_item, np.uint8)[item:item + length] | np.frombuffer(in_doc, np.uint8)[doc:doc + length]
+        stops = np.concatenate([[-1], np.flatnonzero(marked), [length]])
+        for k in np.flatnonzero(np.diff(stops) > seed):
+            heapq.heappush(heap, (int(stops[k] + 1 - stops[k + 1]), int(doc + stops[k] + 1), int(item + stops[k] + 1)))
     return tiles
 
 
 def leaks(text: bytes | memoryview, items: Items, rule: Tiling) -> list[tuple]:
     """Items that the text covers far enough, in the order of the items."""
-    owner, item_at, doc_at = items.hits(rolling(_words(text), items.seed))
+    seeds = rolling(_words(text), items.seed)
     out = []
-    order = np.argsort(owner, kind="stable")
-    owner, item_at, doc_at = owner[order], item_at[order], doc_at[order]
-    bounds = np.flatnonzero(np.concatenate([[True], np.diff(owner) != 0])) if len(owner) else np.zeros(0, np.int64)
-    for lo, hi in zip(bounds, np.append(bounds[1:], len(owner))):
-        k = owner[lo]
-        n = int(items.sizes[k])
-        places = np.unique(item_at[lo:hi])
+    for k in items.sharing(seeds):
+        n, own = items.sizes[k], items.seeds[k]
+        places = np.flatnonzero(np.isin(own, seeds))
         # no tiling covers more words than all shared seeds together
         if np.minimum(np.diff(places), items.seed).sum() + items.seed < rule.coverage * n:
             continue
-        tiles = tile(matches(item_at[lo:hi], doc_at[lo:hi], items.seed), n, items.seed)
+        tiles = tile(matches(seeds, own, items.seed), len(seeds) + items.seed - 1, n, items.seed)
         covered = sum(length for _, _, length in tiles)
         if covered >= rule.coverage * n:
             shown = ",".join(f"{d}:{i}:{length}" for d, i, length in sorted(tiles))
