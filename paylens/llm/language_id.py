@@ -155,7 +155,7 @@ def sample_windows(docs: DataFrame, net: Net) -> list[tuple[str, bytes]]:
     rows = labelled.select("id", "lang", F.xxhash64("id", F.lit(net.seed)).alias("draw"))
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
     share = (F.col("draw") / F.lit(2.0**64) + 0.5) * F.col("size")
-    some = rows.join(sizes, "lang").filter(share <= 2 * net.per_language + 10)  # so that a window sees few rows
+    some = rows.join(F.broadcast(sizes), "lang").filter(share <= 2 * net.per_language + 10)  # so that a window sees few rows
     first = Window.partitionBy("lang").orderBy("draw", "id")
     some = some.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= net.per_language)
 
@@ -167,7 +167,7 @@ def sample_windows(docs: DataFrame, net: Net) -> list[tuple[str, bytes]]:
                 out.append(bytes(text[at:at + net.window]))
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(out, pa.binary())], ["lang", "part"])
 
-    wanted = some.select("id", "lang", "draw").distinct()
+    wanted = F.broadcast(some.select("id", "lang", "draw").distinct())  # bounded by per_language
     cut_rows = labelled.join(wanted, ["id", "lang"]).select("lang", "text", "draw").mapInArrow(cut, "lang string, part binary")
     return sorted((r.lang, bytes(r.part)) for r in cut_rows.collect())
 
