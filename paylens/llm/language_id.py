@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .store import picked
 from .words import utf8
@@ -172,6 +173,11 @@ def sample_windows(docs: DataFrame, net: Net) -> list[tuple[str, bytes]]:
     return sorted((r.lang, bytes(r.part)) for r in cut_rows.collect())
 
 
+def labelled_rows(docs: DataFrame) -> DataFrame:
+    rows = picked(docs, id="doc_id", text="text", lang="lang").withColumn("id", F.col("id").cast("long"))
+    return rows.withColumn("held", held_out(F.col("id")))
+
+
 def train(docs: DataFrame, net: Net) -> tuple[list[str], Weights]:
     """Languages in order, and the fitted network; no labelled text gives no language."""
     sample = [(lang, part) for lang, part in sample_windows(docs, net) if part]
@@ -198,12 +204,12 @@ def classify(texts: list[bytes | memoryview], weights: Weights, net: Net, block:
     return likely / likely.sum(axis=1, keepdims=True)
 
 
-def predict(docs: DataFrame, languages: list[str], weights: Weights, net: Net) -> DataFrame:
-    """``id``, ``held``, ``lang_pred``, ``score`` from ``id``, ``held`` and ``text``."""
+def predict(docs: DataFrame, languages: list[str], weights: Weights, net: Net, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``__lang_pred`` and ``__score``; rows stay where they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column("text")
+            text = batch.column(batch.schema.get_field_index(text_col))
             letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             names, scores = np.full(len(batch), UNKNOWN, object), np.zeros(len(batch))
             if languages:
@@ -214,10 +220,10 @@ def predict(docs: DataFrame, languages: list[str], weights: Weights, net: Net) -
                     scores[at:at + 64] = likely.max(axis=1)
             names[~letters], scores[~letters] = UNKNOWN, 0.0
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("held"), pa.array(names, pa.string()), pa.array(scores)],
-                ["id", "held", "lang_pred", "score"])
+                [*batch.columns, pa.array(names, pa.string()), pa.array(scores)], [*batch.schema.names, "__lang_pred", "__score"])
 
-    return docs.mapInArrow(run, "id long, held boolean, lang_pred string, score double")
+    schema = T.StructType([*docs.schema.fields, T.StructField("__lang_pred", T.StringType()), T.StructField("__score", T.DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, net: Net = Net()) -> DataFrame:
@@ -229,8 +235,16 @@ def identify(docs: DataFrame, net: Net = Net()) -> DataFrame:
     could be learned. Equal texts get equal rows; a tie goes to the first language by name; a
     row without an id counts as not held out. An empty table gives an empty result.
     """
-    rows = picked(docs, id="doc_id", text="text", lang="lang").withColumn("id", F.col("id").cast("long"))
-    rows = rows.withColumn("held", held_out(F.col("id")))
-    languages, weights = train(rows, net)
-    out = predict(rows.select("id", "held", "text"), languages, weights, net)
-    return out.select(F.col("id").alias("doc_id"), F.col("held").alias("held_out"), "lang_pred", "score")
+    rows = labelled_rows(docs)
+    out = predict(rows.select("id", "held", "text"), *train(rows, net), net)
+    return out.select(F.col("id").alias("doc_id"), F.col("held").alias("held_out"),
+                      F.col("__lang_pred").alias("lang_pred"), F.col("__score").alias("score"))
+
+
+def in_a_language(docs: DataFrame, net: Net = Net()) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language: those that :func:`identify`
+    calls ``und`` go. If no language could be learned, nothing is rejected."""
+    languages, weights = train(labelled_rows(docs), net)
+    if not languages:
+        return docs
+    return predict(docs, languages, weights, net).filter(F.col("__lang_pred") != UNKNOWN).drop("__lang_pred", "__score")
