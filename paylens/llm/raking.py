@@ -51,7 +51,7 @@ class Mix:
     })
     flatten: float = 0.5
     rate: float = 0.4
-    rounds: int = 12
+    rounds: int = 6
     close: float = 1e-9
     seed: str = "mix"
 
