@@ -52,7 +52,6 @@ FILE_ROUTES = {
     r"cms_provider_utilization_\d{4}": "cms_provider_utilization",
     r"nppes_providers": "nppes_providers",
 }
-COMPLETE_RATIO = 0.98  # loaded rows / file rows that count as complete
 
 # Raw quality checks --------------------------------------------------------------------
 RAW_CHECKS = {
@@ -78,7 +77,7 @@ YEARS_STRICT, YEARS_NORMAL = 0.99, 0.95
 RATIO_STRICT, RATIO_NORMAL = 0.95, 0.80
 RATIO_RANGE = (0.0, 1.10)
 ID_RATE = 0.95
-SAMPLE_FRACTION, SAMPLE_ROWS = 0.01, 10_000
+SAMPLE_FRACTION = 0.01
 
 # Column contracts per layer: table -> (unique columns, not-null columns) -----------------
 CONTRACTS = {
@@ -113,12 +112,11 @@ LAYERS = ("staging", "intermediate", "marts", "analytics")
 
 # Export and publishing -----------------------------------------------------------------
 EXPORT_TABLES = tuple(CONTRACTS["analytics"])
-EXPORT_LIMIT = 500_000  # a risk table above this is thinned on export
-EXPORT_STRATA = {"High": 100_000, "Low": 100_000}  # rows at the median are left out
+EXPORT_STRATA = {"High": 100_000, "Low": 100_000}  # for a thinned export, if one is asked for
 PUBLISH_TABLES = (
     *EXPORT_TABLES, "fct_utilization_by_specialty", "dim_providers", "int_utilization_enriched",
 )
-PUBLISH_CAPS = {
+PUBLISH_CAPS = {  # for a small target database, if it is asked for
     "anl_provider_withhold_risk": 200_000,
     "dim_providers": 500_000,
     "int_utilization_enriched": 1_000_000,
@@ -136,4 +134,3 @@ GBT_PARAMS = {
 }
 MAX_CATEGORIES = 50
 TRAIN_CAP = 300_000
-EXPLAIN_CAP = 5_000

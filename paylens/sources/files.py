@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 from urllib.parse import unquote
 
@@ -14,7 +15,8 @@ from .. import contracts as k
 from ..functions.columns import normalize_headers, null_tokens
 
 SOURCE = "_source_file"
-CSV_OPTIONS = {"header": "true", "escape": '"', "inferSchema": "false"}
+# A row with too many or too few fields stops the read; it is never cut or filled up.
+CSV_OPTIONS = {"header": "true", "escape": '"', "inferSchema": "false", "mode": "FAILFAST"}
 
 
 # Listing and routing ----------------------------------------------------------------------
@@ -25,11 +27,10 @@ PREFIX = "file="
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files of a folder. Only paths are asked for, so no content is read."""
-    leaves = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/*.csv")
-    entries = leaves.select(F.regexp_replace("path", PART, "$1").alias("path")).distinct()
-    name = F.element_at(F.split("path", "/"), -1)
-    return entries.select("path", F.regexp_replace(name, f"^{PREFIX}", "").alias("file"))
+    """Files of a folder, empty ones too. The listing is asked for, no content is read."""
+    paths = spark.read.text(f"{folder.rstrip('/')}/*.csv").inputFiles()  # names of files, not data
+    entries = sorted({(re.sub(PART, r"\1", path), entry_name(path)) for path in map(unquote, paths)})
+    return spark.createDataFrame(entries, "path string, file string")
 
 
 def select_files(files: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
@@ -80,22 +81,42 @@ def route(path: str, routes: Mapping[str, str] = k.FILE_ROUTES) -> tuple[str, st
 
 
 # Reading ------------------------------------------------------------------------------------
-def quoted_breaks(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Names of files with a line break inside quotes, told by a line with an odd number of quotes.
-    Such files must be parsed whole; all others are split and read in parallel."""
-    lines = spark.read.text(list(paths))
+@dataclass(frozen=True)
+class Part:
+    """A file or part file: its header line, and whether it has line breaks inside quotes, told
+    by a line with an odd number of quotes. Such files are parsed whole, others are split."""
+
+    path: str
+    header: str
+    whole: bool
+
+
+def survey(spark: SparkSession, paths: str | Sequence[str]) -> list[Part]:
+    """One parallel pass over the lines of all files; files without a line are left out."""
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).filter(F.trim("value") != "")
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = lines.filter(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("path")).distinct()
-    return {entry_name(unquote(row.path)) for row in odd.collect()}  # names of files, not data
+    placed = lines.select(
+        F.col("_metadata.file_path").alias("path"), "value", (quotes % 2 == 1).alias("odd"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"))
+    found = placed.groupBy("path").agg(F.min_by("value", "place").alias("header"), F.bool_or("odd").alias("whole"))
+    return [Part(unquote(r.path), r.header, r.whole) for r in found.orderBy("path").collect()]  # a row for each file
 
 
-def read_raw_csv(spark: SparkSession, paths: str | Sequence[str], schema=None, whole: bool = False) -> DataFrame:
-    """CSV with every column as text; ``whole`` for files with line breaks inside quotes."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", whole)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(paths)
+def scans(spark: SparkSession, parts: Sequence[Part]) -> list[DataFrame]:
+    """Text frames of the parts: those with the same header line are one scan, so that columns are
+    read by name even where parts order them differently."""
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for part in parts:
+        groups.setdefault((part.header, part.whole), []).append(part.path)
+    return [spark.read.options(**CSV_OPTIONS).option("multiLine", whole).csv(members) for (_, whole), members in groups.items()]
+
+
+def read_raw_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """CSV with every column as text. Raises where no file has a header line."""
+    frames = scans(spark, survey(spark, paths))
+    if not frames:
+        raise ValueError(f"{paths}: no header line")
+    return union_years(frames)
 
 
 def add_lineage(df: DataFrame, loaded_at: datetime | str) -> DataFrame:
@@ -109,25 +130,15 @@ def add_lineage(df: DataFrame, loaded_at: datetime | str) -> DataFrame:
     return out.withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp"))
 
 
-def load_files(
-    spark: SparkSession, paths: Sequence[str], loaded_at: datetime | str, check_quotes: bool = True
-) -> DataFrame:
-    """Files of one table as one text frame: same-header files are one scan, and a column
-    that only some files have is null in the others. ``check_quotes=False`` saves the extra
-    scan for files known to have no line breaks inside quotes."""
-    broken = quoted_breaks(spark, paths) if check_quotes else set()
-    groups: dict[tuple, list[str]] = {}
-    for path in paths:
-        header = tuple(read_raw_csv(spark, path).columns)
-        if not header:
-            raise ValueError(f"{path}: no header line")
-        whole = entry_name(unquote(path)) in broken
-        groups.setdefault((header, whole), []).append(path)
-    out = None
-    for (_, whole), members in groups.items():
-        part = null_tokens(normalize_headers(add_lineage(read_raw_csv(spark, members, whole=whole), loaded_at)))
-        out = part if out is None else union_years([out, part])
-    return out
+def load_files(spark: SparkSession, paths: Sequence[str], loaded_at: datetime | str) -> DataFrame:
+    """Files of one table as one text frame; a column that only some files have is null in the
+    others. Raises for a file without a header line, and, when rows are read, for a row that
+    does not fit its header."""
+    parts = survey(spark, paths)
+    found = {entry_name(part.path) for part in parts}
+    if empty := [path for path in paths if entry_name(unquote(path)) not in found]:
+        raise ValueError(f"no header line: {', '.join(empty)}")
+    return union_years([null_tokens(normalize_headers(add_lineage(frame, loaded_at))) for frame in scans(spark, parts)])
 
 
 def union_years(frames: Sequence[DataFrame]) -> DataFrame:

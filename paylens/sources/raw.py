@@ -11,16 +11,16 @@ import logging
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import contracts as k
 from ..plans.reports import row_counts
-from .files import SOURCE, list_files, load_files, route, route_files, select_files
+from .files import SOURCE, entry_name, list_files, load_files, route, route_files, select_files
 
 log = logging.getLogger(__name__)
-UNREADABLE = (PySparkException, ValueError)
+UNREADABLE = (PySparkException, Py4JJavaError, ValueError)  # a failed task surfaces as the second
 
 
 def now() -> datetime:
@@ -32,8 +32,14 @@ def table_path(root: str, table: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    """Whether a table can be read there."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
 
 
 def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -52,9 +58,19 @@ def write_raw(df: DataFrame, path: str, replace_table: bool) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", scope).partitionBy(*_layout(df)).parquet(path)
 
 
+class LoadError(RuntimeError):
+    """Files that could not be read; ``files`` has their paths and reasons, ``loaded`` the row
+    counts of the tables that were loaded without them."""
+
+    def __init__(self, files: Mapping[str, str], loaded: DataFrame | None):
+        super().__init__("; ".join(f"{path}: {reason[:300]}" for path, reason in files.items()))
+        self.files, self.loaded = dict(files), loaded
+
+
 def full_load(spark: SparkSession, folder: str, root: str, only: Sequence[str] | None = None) -> DataFrame:
-    """Load a folder: the files of a table replace it. A file that cannot be read is logged
-    and skipped. Returns the row counts of the tables that were loaded."""
+    """Load a folder: the files of a table replace it. Returns the row counts of the tables that
+    were loaded. A file that cannot be read does not keep the others from being loaded, but the
+    load then ends with a :class:`LoadError` that names it."""
     files = list_files(spark, folder)
     chosen = select_files(files, only)
     for row in chosen.filter(~F.col("found")).collect():
@@ -67,6 +83,7 @@ def full_load(spark: SparkSession, folder: str, root: str, only: Sequence[str] |
         by_table.setdefault(route(path)[0], []).append(path)
 
     loaded: list[str] = []
+    failed: dict[str, str] = {}
     for table, members in by_table.items():
         target = table_path(root, table)
         try:
@@ -79,39 +96,55 @@ def full_load(spark: SparkSession, folder: str, root: str, only: Sequence[str] |
                     write_raw(load_files(spark, [path], now()), target, replace_table=first)
                     first = False
                 except UNREADABLE as error:
-                    log.error("skipped %s: %s", path, error)
+                    failed[path] = str(error)
             if not first:
                 loaded.append(table)
-    return row_counts({t: read_raw(spark, root, t) for t in loaded})
+    counts = row_counts({t: read_raw(spark, root, t) for t in loaded}) if loaded else None
+    if failed:
+        raise LoadError(failed, counts)
+    return counts
 
 
-def rows_of_year(spark: SparkSession, root: str, table: str, year: str) -> int:
+def rows_of_file(spark: SparkSession, root: str, table: str, year: str, file: str) -> int:
+    """Rows that a table has of a file (all its parts) in a year."""
     if not exists(spark, table_path(root, table)):
         return 0
-    return read_raw(spark, root, table).filter(F.col("year") == str(year)).count()
+    name = F.element_at(F.split(SOURCE, "/"), 1)
+    return read_raw(spark, root, table).filter((F.col("year") == str(year)) & (name == file)).count()
+
+
+def own_year(df: DataFrame, year: int | str) -> int:
+    """The rows of ``df``; raises if any of them is not of that year."""
+    is_own = F.coalesce(F.col("year").cast("string") == str(year), F.lit(False))
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(~is_own).alias("others")).first()
+    if seen.others:
+        raise ValueError(f"{seen.others} of {seen.n} rows are not of {year}")
+    return seen.n
 
 
-def replace_year(df: DataFrame, root: str, table: str, year: int | str) -> None:
-    """Make ``df`` the only rows of that year: its folder is overwritten, others are not touched."""
-    rows = df.filter(F.col("year").cast("string") == str(year)).drop("year")
+def replace_year(df: DataFrame, root: str, table: str, year: int | str) -> int:
+    """Make ``df`` the only rows of that year: its folder is overwritten, others are not touched.
+    Raises before anything is written if ``df`` has rows of another year, or without one.
+    Returns the rows written."""
+    rows = own_year(df, year)
     target = f"{table_path(root, table)}/year={year}"
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(SOURCE).parquet(target)
+    df.drop("year").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(SOURCE).parquet(target)
+    return rows
 
 
 def append_year(spark: SparkSession, path: str, root: str, replace: bool = False) -> int:
-    """Add a yearly file to its table. A year that is already complete is left alone unless
-    ``replace``; a partial one is reloaded. Returns the rows written."""
+    """Add a yearly file to its table. A file whose rows are all there is left alone unless
+    ``replace``; anything less is loaded again. Returns the rows written."""
     table, year = route(path)
     if year is None:
         raise ValueError(f"{path}: the file name must have a 4-digit year")
     rows = load_files(spark, [path], now())
-    total = rows.count()
-    present = rows_of_year(spark, root, table, year)
-    if present > 0 and present >= int(total * k.COMPLETE_RATIO) and not replace:
+    total = own_year(rows, year)
+    present = rows_of_file(spark, root, table, year, entry_name(path))
+    if present == total and total and not replace:
         log.info("%s %s is complete (%d rows)", table, year, present)
         return 0
-    replace_year(rows, root, table, year)
-    return total
+    return replace_year(rows, root, table, year)
 
 
 # Status ---------------------------------------------------------------------------------------
@@ -139,9 +172,9 @@ def loaded_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def load_status(files: DataFrame, loaded: DataFrame, ratio: float = k.COMPLETE_RATIO) -> DataFrame:
+def load_status(files: DataFrame, loaded: DataFrame) -> DataFrame:
     """File rows against loaded rows. A file with a year is compared with that year of its
-    table, any other file with the whole table."""
+    table, any other file with the whole table. Complete means all rows."""
     by_year = loaded.filter(F.col("year").isNotNull()).select(
         F.col("table").alias("t"), F.col("year").alias("y"), F.col("table_rows").alias("year_rows")
     )
@@ -153,9 +186,8 @@ def load_status(files: DataFrame, loaded: DataFrame, ratio: float = k.COMPLETE_R
     )
     rows = F.coalesce(F.when(F.col("year").isNotNull(), F.col("year_rows")).otherwise(F.col("all_rows")), F.lit(0))
     counted = joined.select("file", "table", "year", "file_rows", rows.cast("bigint").alias("table_rows"))
-    enough = (F.col("file_rows") * F.lit(ratio)).cast("bigint")
-    complete = F.when(F.col("file_rows") == 0, F.col("table_rows") > 0).otherwise(F.col("table_rows") >= enough)
-    share = F.bround(F.col("table_rows") / F.nullif(F.col("file_rows"), F.lit(0)) * 100, 0).cast("int")
+    complete = F.col("table_rows") >= F.col("file_rows")
+    share = F.floor(F.col("table_rows") * 100 / F.nullif(F.col("file_rows"), F.lit(0))).cast("int")  # 100 only when complete
     return counted.withColumn(
         "status",
         F.when(complete, F.lit("COMPLETE"))

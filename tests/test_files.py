@@ -48,17 +48,51 @@ def test_full_load(spark, folder):
     assert raw.read_raw(spark, folder + "/raw", "cms_part_d_spending").count() == 3
 
 
-def test_a_bad_file_is_skipped(spark, folder):
+def test_a_bad_file_ends_the_load_after_the_others(spark, folder):
     two_years(folder + "/in")
-    put(folder + "/in", "cms_part_d_spending_2022.csv", "")
-    counts = raw.full_load(spark, folder + "/in", folder + "/raw")
-    assert [tuple(r) for r in counts.collect()] == [("cms_part_d_spending", 3)]
+    bad = put(folder + "/in", "cms_part_d_spending_2022.csv", "")
+    ragged = put(folder + "/in", "cms_part_d_spending_2021.csv", "Prscrbr_NPI,Brnd Name\n1,A,extra\n")
+    with pytest.raises(raw.LoadError) as caught:
+        raw.full_load(spark, folder + "/in", folder + "/raw")
+    assert {p.rsplit("/", 1)[-1] for p in caught.value.files} == {Path(p).name for p in (bad, ragged)}
+    assert [tuple(r) for r in caught.value.loaded.collect()] == [("cms_part_d_spending", 3)]
+    assert raw.read_raw(spark, folder + "/raw", "cms_part_d_spending").count() == 3
+
+
+@pytest.mark.parametrize("line", ["4,5,6", "3"])
+def test_ragged_rows_stop_the_read(spark, folder, line):
+    path = put(folder, "t_2024.csv", f"a,b\n1,2\n{line}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.load_files(spark, [path], "2024-01-01").collect()
+
+
+def test_parts_that_order_their_columns_differently(spark, folder):
+    put(folder + "/t_2024.csv", "part-1.csv", "a,b\n1,2\n")
+    put(folder + "/t_2024.csv", "part-2.csv", "b,a\n2,1\n")
+    for frame in (files.read_raw_csv(spark, folder + "/t_2024.csv"), files.load_files(spark, [folder + "/t_2024.csv"], "2024-01-01")):
+        assert [(r.a, r.b) for r in frame.collect()] == [("1", "2"), ("1", "2")]
+
+
+def test_rows_of_another_year_are_never_dropped(spark, folder):
+    path = put(folder, "t_2024.csv", "a,year\n1,2024\n2,2024.0\n3,\n4,2023\n")
+    with pytest.raises(ValueError, match="3 of 4"):
+        raw.append_year(spark, path, folder + "/raw")
+    assert not raw.exists(spark, folder + "/raw/t_2024")
+
+
+def test_a_grown_file_is_loaded_again(spark, folder):
+    path = put(folder, "t_2024.csv", "a\n" + "".join(f"{i}\n" for i in range(98)))
+    assert raw.append_year(spark, path, folder + "/raw") == 98
+    put(folder, "t_2024.csv", "a\n" + "".join(f"{i}\n" for i in range(100)))
+    spark.catalog.clearCache()
+    assert raw.append_year(spark, path, folder + "/raw") == 100
+    assert raw.read_raw(spark, folder + "/raw", "t_2024").count() == 100
 
 
 def test_line_breaks_inside_quotes(spark, folder):
     path = put(folder, "t_2024.csv", 'a,b\n1,"x\ny"\n2,"say ""hi"""\n')
     other = put(folder, "u_2024.csv", 'a,b\n3,"p, q"\n')
-    assert files.quoted_breaks(spark, [path, other]) == {"t_2024.csv"}
+    assert {Path(p.path).name: (p.header, p.whole) for p in files.survey(spark, [path, other])} == {"t_2024.csv": ("a,b", True), "u_2024.csv": ("a,b", False)}
     got = files.load_files(spark, [path, other], "2024-01-01").orderBy("a").collect()
     assert [(r.a, r.b) for r in got] == [("1", "x\ny"), ("2", 'say "hi"'), ("3", "p, q")]
 
@@ -107,7 +141,7 @@ def test_load_status(spark):
     loaded = spark.createDataFrame(
         [("a_2024", "2024", 98), ("a_2024", "2023", 500), ("b", None, 50), ("e", None, 1)], "table string, year string, table_rows bigint")
     got = {r.file: r.status for r in raw.load_status(files.route_files(counts), loaded).collect()}
-    assert got == {"a_2024.csv": "COMPLETE", "b.csv": "50% DONE", "c.csv": "NOT STARTED", "d.csv": "NOT STARTED", "e.csv": "COMPLETE"}
+    assert got == {"a_2024.csv": "98% DONE", "b.csv": "50% DONE", "c.csv": "NOT STARTED", "d.csv": "COMPLETE", "e.csv": "COMPLETE"}
 
 
 def test_file_counts(spark, folder):
@@ -153,8 +187,9 @@ def test_publish_and_export(spark, folder):
     assert spark.read.parquet(folder + "/anl_provider_withhold_risk").count() == 10
     assert publish.publish(tables, folder + "/none", {}, dry_run=True).first().published_rows == 1_000
     assert not Path(folder + "/none").exists()
-    assert publish.thin_for_export(risk, 1_000).count() == 1_000
-    assert publish.thin_for_export(risk, 999, {"High": 7, "Low": 600}).count() == 507
+    assert publish.publish(tables, folder + "/all").first().published_rows == 1_000
+    publish.export_csv(tables, folder + "/thin", ["anl_provider_withhold_risk"], {"High": 7, "Low": 600})
+    assert files.read_raw_csv(spark, folder + "/thin/anl_provider_withhold_risk").count() == 507
     publish.export_csv(tables, folder + "/csv", ["anl_provider_withhold_risk"])
     back = files.read_raw_csv(spark, folder + "/csv/anl_provider_withhold_risk")
     assert back.columns == risk.columns and back.count() == 1_000
