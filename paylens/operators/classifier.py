@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import contracts as k
+from ..session import work_dir
 from .sampling import sample_n
 
 LABEL = "is_high_risk"
@@ -214,6 +215,9 @@ def metrics_row(scored: DataFrame, train: DataFrame, first: int, second: int) ->
     )
 
 
+SLOT_ROWS = 4096  # rows among which a feature is shuffled
+
+
 # Explanations -----------------------------------------------------------------------------
 def feature_names(model: PipelineModel) -> list[str]:
     """Names of the encoded columns, in vector order."""
@@ -227,34 +231,38 @@ def feature_names(model: PipelineModel) -> list[str]:
     return names + list(k.NUMERIC)
 
 
-def importances(model: PipelineModel, n: int = 15) -> DataFrame:
-    """The features with the largest gain over all trees."""
+def importances(model: PipelineModel, n: int | None = None) -> DataFrame:
+    """The gain of every feature over all trees, the largest first, or of the first ``n``."""
     gains = model.stages[-1].featureImportances.toArray()  # one number per encoded column
     ranked = sorted(zip(feature_names(model), (float(g) for g in gains)), key=lambda x: (-x[1], x[0]))[:n]
     return SparkSession.active().createDataFrame(ranked, "feature string, gain double")
 
 
 def permutation_importance(
-    model: Transformer, frame: DataFrame, columns: Sequence[str] = k.FEATURES, n: int = k.EXPLAIN_CAP, seed: int = 42
+    model: Transformer, frame: DataFrame, columns: Sequence[str] = k.FEATURES, n: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """Loss of AUC when one feature is shuffled, on a seeded sample of at most ``n`` rows.
+    """Loss of AUC when one feature is shuffled, over all rows, or over a seeded sample of ``n``.
 
-    Each feature is replaced by its value in another row of the sample (row numbers under
-    two seeded orders), and all shuffled copies are scored in one job.
+    Rows are dealt by a hash of their key into slots of about ``SLOT_ROWS``. A feature is replaced
+    by its value in another row of the slot (places under two seeded orders), so no task holds more
+    than a slot, and all shuffled copies are scored in one job.
     """
-    sample = sample_n(frame, n, [ROW_KEY], seed)  # bounds the unpartitioned windows below
-    order = Window.orderBy(F.xxhash64(ROW_KEY, F.lit(seed)), ROW_KEY)
-    sample = sample.withColumn("_at", F.row_number().over(order))
-    copies = [sample.withColumn("feature", F.lit("(none)"))]
+    rows = frame if n is None else sample_n(frame, n, [ROW_KEY], seed)
+    slots = rows.agg(F.ceil(F.count(F.lit(1)) / F.lit(SLOT_ROWS))).scalar()
+    rows = rows.withColumn("_slot", F.pmod(F.xxhash64(ROW_KEY, F.lit(seed - 1)), F.greatest(slots, F.lit(1))))
+    place = lambda i: F.row_number().over(Window.partitionBy("_slot").orderBy(F.xxhash64(ROW_KEY, F.lit(seed + i)), ROW_KEY))
+    rows = rows.withColumn("_at", place(0))
+    copies = [rows.withColumn("feature", F.lit("(none)"))]
     for i, col in enumerate(columns):
-        other = Window.orderBy(F.xxhash64(ROW_KEY, F.lit(seed + 1 + i)), ROW_KEY)
-        values = sample.select(F.row_number().over(other).alias("_at"), F.col(col).alias("_value"))
+        values = rows.select("_slot", place(1 + i).alias("_at"), F.col(col).alias("_value"))
         copies.append(
-            sample.join(values, "_at").withColumn(col, F.col("_value")).drop("_value").withColumn("feature", F.lit(col))
+            rows.join(values, ["_slot", "_at"]).withColumn(col, F.col("_value")).drop("_value").withColumn("feature", F.lit(col))
         )
-    stacked = reduce(DataFrame.unionByName, copies).drop("_at")
+    stacked = reduce(DataFrame.unionByName, copies).drop("_at", "_slot")
     scored = model.transform(_prepared(stacked)).withColumn("score", vector_to_array("probability")[1])
-    auc = roc_auc(scored, by=["feature"])
+    path = work_dir(frame.sparkSession, "scores")  # scored once, read by every measure
+    scored.select("feature", LABEL, "score").write.parquet(path)
+    auc = roc_auc(frame.sparkSession.read.parquet(path), by=["feature"])
     whole = auc.filter("feature = '(none)'").select("roc_auc").scalar()
     return auc.filter("feature <> '(none)'").select(
         "feature", "roc_auc", (whole - F.col("roc_auc")).alias("auc_drop")

@@ -6,10 +6,9 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001  # a key above this share of the rows is spread out; at most 1/share keys are
 SALTS = 256
 
 
@@ -22,9 +21,15 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that own more than ``share`` of the rows: never more than ``1/share`` of them.
-    Counting is combined before the shuffle, so a hot key costs one row per task."""
+def mean_share(spark: SparkSession) -> float:
+    """The share of the rows that a shuffle partition gets on average."""
+    return 1 / max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float | None = None) -> DataFrame:
+    """Keys that own more than ``share`` of the rows, by default more than an average partition:
+    never more than ``1/share`` of them. Counting is combined before the shuffle, so a hot key costs one row per task."""
+    share = mean_share(df.sparkSession) if share is None else share
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = sizes.agg(F.sum("_rows")).scalar()  # from the same counts, not a second scan
     return sizes.filter(F.col("_rows") > total * F.lit(share)).drop("_rows")
@@ -37,7 +42,7 @@ def salted_join(
     spread_on: Sequence[str],
     how: str = "left",
     sizes: DataFrame | None = None,
-    share: float = HOT_SHARE,
+    share: float | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Shuffle join in which only the hot keys are salted.

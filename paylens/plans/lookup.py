@@ -10,7 +10,6 @@ from .reports import top
 CARD = (
     "npi", "display_name", "entity_type_label", "city", "state", "primary_taxonomy_code", "credentials",
 )
-MIN_CHARS = 3
 
 
 def lookup_by_id(dim: DataFrame, prefix: str, n: int = 50) -> DataFrame:
@@ -20,14 +19,14 @@ def lookup_by_id(dim: DataFrame, prefix: str, n: int = 50) -> DataFrame:
 
 def lookup_by_name(dim: DataFrame, text: str, n: int = 50) -> DataFrame:
     """Names that contain ``text`` in any letter case."""
-    hits = dim.filter(F.col("display_name").ilike(f"%{text}%"))
+    hits = dim.filter(F.lower("display_name").contains(text.lower()))
     return hits.orderBy("display_name", "npi").limit(n).select(*CARD)
 
 
 def lookup(dim: DataFrame, text: str, n: int = 50) -> DataFrame:
-    """Digits search ids, anything else searches names; shorter input finds nothing."""
+    """Digits search ids, anything else searches names; blank input finds nothing."""
     text = (text or "").strip()
-    if len(text) < MIN_CHARS:
+    if not text:
         return dim.select(*CARD).limit(0)
     return lookup_by_id(dim, text, n) if text.isdigit() else lookup_by_name(dim, text, n)
 

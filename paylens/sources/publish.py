@@ -18,29 +18,29 @@ ROW_KEYS = {
 }
 
 
-def thin_for_export(risk: DataFrame, limit: int = k.EXPORT_LIMIT, strata: Mapping[str, int] = k.EXPORT_STRATA) -> DataFrame:
-    """The risk table, thinned by stratum if it has more than ``limit`` rows."""
-    if risk.count() <= limit:  # read from the footers of a written table
-        return risk
+def thin_for_export(risk: DataFrame, strata: Mapping[str, int] = k.EXPORT_STRATA) -> DataFrame:
+    """At most so many rows of each named stratum of the risk table; other strata are left out."""
     return stratified_cap(risk, "withhold_risk_band", strata, ["provider_risk_id"])
 
 
-def export_csv(tables: Mapping[str, DataFrame], folder: str, names: Sequence[str] = k.EXPORT_TABLES) -> list[str]:
-    """One folder of CSV files with headers per table; the executors write their parts."""
+def export_csv(
+    tables: Mapping[str, DataFrame], folder: str, names: Sequence[str] = k.EXPORT_TABLES, strata: Mapping[str, int] | None = None
+) -> list[str]:
+    """One folder of CSV files with headers per table; the executors write their parts. All rows
+    are written; only with ``strata`` is the risk table thinned."""
     written = []
     for name in names:
         df = tables[name]
-        if name == "anl_provider_withhold_risk":
-            df = thin_for_export(df)
+        if strata and name == "anl_provider_withhold_risk":
+            df = thin_for_export(df, strata)
         target = f"{folder.rstrip('/')}/{name}"
         df.write.mode("overwrite").option("header", True).csv(target)
         written.append(target)
     return written
 
 
-def capped(tables: Mapping[str, DataFrame], caps: Mapping[str, int] | None = None) -> dict[str, DataFrame]:
+def capped(tables: Mapping[str, DataFrame], caps: Mapping[str, int]) -> dict[str, DataFrame]:
     """Tables cut to their caps. The rows kept are a repeatable choice by key hash."""
-    caps = k.PUBLISH_CAPS if caps is None else caps
     return {
         name: sample_n(df, caps[name], ROW_KEYS[name]) if name in caps else df for name, df in tables.items()
     }
@@ -50,9 +50,10 @@ def publish(
     tables: Mapping[str, DataFrame], folder: str, caps: Mapping[str, int] | None = None,
     dry_run: bool = False, url: str | None = None,
 ) -> DataFrame:
-    """Write the capped tables (Parquet, or a database with ``url``) and return the rows per
-    table. ``caps={}`` publishes everything; ``dry_run`` only counts."""
-    caps = k.PUBLISH_CAPS if caps is None else caps
+    """Write the tables (Parquet, or a database with ``url``) and return the rows per table.
+    Everything is published; only the tables named in ``caps`` (such as
+    :data:`contracts.PUBLISH_CAPS`) are cut. ``dry_run`` only counts."""
+    caps = caps or {}
     if not dry_run:
         for name, df in capped(tables, caps).items():
             writer = df.write.mode("overwrite")

@@ -91,7 +91,7 @@ def test_top_share_keeps_ties(spark):
 
 def test_pareto_order_of_ties(spark):
     rows = [(n, "g", 2024, 1, 1, D(c)) for n, c in (("b", 5), ("a", 5), ("c", 10))]
-    got = reports.pareto(spark.createDataFrame(rows, DRUGS), 2024, 2).collect()
+    got = reports.pareto(spark.createDataFrame(rows, DRUGS), 2024, 2).orderBy("cum_cost").collect()
     assert [(r.drug_name, float(r.cum_cost), round(r.cum_pct, 4)) for r in got] == [("c", 10.0, 0.6667), ("a", 15.0, 1.0)]
     assert reports.pareto_cutoff(reports.pareto(spark.createDataFrame(rows, DRUGS), 2024, 2)).first().drugs_to_share == 1
 
@@ -123,7 +123,9 @@ def test_lookup_routing(spark):
         dim = dim.withColumn(x, F.lit("x"))
     assert [r.npi for r in lookup.lookup(dim, " 1234 ").collect()] == ["1234567890", "1234999999"]
     assert [r.npi for r in lookup.lookup(dim, "SMITH").collect()] == ["1234999999", "1234567890"]
-    assert lookup.lookup(dim, "12").count() == 0 and lookup.lookup(dim, None).count() == 0
+    assert lookup.lookup(dim, " ").count() == 0 and lookup.lookup(dim, None).count() == 0
+    assert lookup.lookup(dim, "12").count() == 2
+    assert [lookup.lookup_by_name(dim, text).count() for text in ("0%", "%", "___", "\\", "m_t")] == [1, 1, 0, 0, 0]
 
 
 def test_rankings_plan_as_top_k(spark):
