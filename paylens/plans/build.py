@@ -14,8 +14,10 @@ from ..sources.ledger import record_run
 from ..sources.raw import now
 from . import enrich, marts, staging
 
-# Written by year, so that a read of one year opens that year's folder only, and ordered by
-# provider inside each file, so that a read of one provider skips most row groups.
+# Written by year, so that a read of one year opens that year's folder only, and cut into ranges
+# of providers, so that a provider's rows of a year lie in one file, or few neighbouring ones, and
+# the others are skipped by their statistics. The files are as many as the shuffle's partitions,
+# which adaptive execution sizes by the data.
 BY_YEAR = {"int_utilization_enriched", "int_spending_enriched", "anl_provider_withhold_risk"}
 
 # Tables of a layer that do not read each other are written at the same time: the tail of
@@ -92,7 +94,7 @@ class Warehouse:
         seen = Observation(name)
         df = self.plan(name).observe(seen, F.count(F.lit(1)).alias("rows"))
         if name in BY_YEAR:
-            writer = df.sortWithinPartitions("year", "npi").write.partitionBy("year")
+            writer = df.repartitionByRange("year", "npi").sortWithinPartitions("year", "npi").write.partitionBy("year")
         else:
             writer = df.write
         writer.mode("overwrite").parquet(f"{self.root}/{name}")
@@ -110,8 +112,13 @@ def build(
     spark: SparkSession, raw: Mapping[str, DataFrame], root: str, layers: Sequence[str] = k.LAYERS,
     years: tuple[int, int] = (2023, 2024), ledger: str | None = None, triggered_by: str = "manual",
 ) -> Warehouse:
-    """Write the chosen layers in order. With ``ledger`` the run, its steps, their times and
-    their row counts are recorded; a failing step is recorded and raised."""
+    """Write the chosen layers in order; staging is lazy and cannot be chosen alone. With
+    ``ledger`` the run, its steps, their times and their row counts are recorded; a failing step
+    is recorded and raised."""
+    if unknown := set(layers) - set(k.LAYERS):
+        raise ValueError(f"no such layers: {sorted(unknown)}")
+    if not set(layers) - {"staging"}:
+        raise ValueError("staging is never written: choose a layer that reads it")
     house = Warehouse(spark, root, raw, years)
     run = {"pipeline_name": "payment_analytics", "triggered_by": triggered_by, "steps": [], "started_at": now()}
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,19 +18,6 @@ CONF = {
 }
 
 
-def sized_for(input_bytes: int) -> dict[str, str]:
-    """Shuffle and scan settings for an amount of input: about 512 MB of it per shuffle
-    partition, which adaptive execution merges where less arrives, and larger scan splits
-    once there are enough of them to keep a large cluster busy."""
-    partitions = min(max(input_bytes // (512 << 20), 200), 65_536)
-    split = 512 << 20 if input_bytes > 10 << 40 else 128 << 20
-    return {
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(split),
-    }
-
-
 def session(master: str | None = None, app: str = "paylens", **extra: str) -> SparkSession:
     """A session with :data:`CONF`; ``extra`` keys use ``_`` in place of ``.``."""
     builder = SparkSession.builder.appName(app)
@@ -45,14 +31,7 @@ def session(master: str | None = None, app: str = "paylens", **extra: str) -> Sp
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
-
-    Only a local-mode session may fall back to a temporary folder: on a cluster a
-    machine-local path would not be seen by the other hosts.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every host can reach")
-        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    """A new folder under the shared folder that ``spark.checkpoint.dir`` names; without one,
+    under the warehouse, which all hosts reach as well."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -1,37 +1,21 @@
-import pytest
+from paylens.session import work_dir
 
-from paylens.session import sized_for, work_dir
 
-
-def fake(folder, master):
+def fake(folder):
     """A session as far as work_dir looks at it."""
 
     class conf:
         @staticmethod
-        def get(key, default):
-            return folder if key == "spark.checkpoint.dir" else default
-
-    class sparkContext:
-        pass
-
-    sparkContext.master = master
-    return type("Session", (), {"conf": conf, "sparkContext": sparkContext})
-
+        def get(key, default=None):
+            return {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs://host/warehouse/"}.get(key) or default
 
-def test_sizes():
-    assert sized_for(1 << 20)["spark.sql.shuffle.partitions"] == "200"
-    assert sized_for(100 << 40)["spark.sql.shuffle.partitions"] == "65536"
-    assert sized_for(100 << 40)["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
+    return type("Session", (), {"conf": conf})
 
 
 def test_work_dir_follows_the_cluster_setting():
-    for master in ("local[4]", "spark://host:7077"):
-        session = fake("/shared/folder/", master)
-        one, two = work_dir(session, "x"), work_dir(session, "x")
-        assert one.startswith("/shared/folder/x-") and one != two
+    one, two = (work_dir(fake("/shared/folder/"), "x") for _ in range(2))
+    assert one.startswith("/shared/folder/x-") and one != two
 
 
-def test_no_machine_local_folder_on_a_cluster():
-    with pytest.raises(RuntimeError):
-        work_dir(fake(None, "spark://host:7077"), "x")
-    assert work_dir(fake(None, "local[4]"), "x").startswith("/tmp/run-")
+def test_without_the_setting_it_is_under_the_warehouse():
+    assert work_dir(fake(None), "x").startswith("hdfs://host/warehouse/_work/x-")
