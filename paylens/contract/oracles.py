@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 
 from .. import contracts as k
-from ..functions.columns import NULL_TOKENS
 from . import fixtures as fx
 
 Y0, Y1 = fx.Y0, fx.Y1
@@ -223,7 +222,8 @@ def top(query: str, by: str, n: int, *ties: str) -> str:
     return f"{query} order by {order} limit {n}"
 
 
-TOKENS = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+TOKENS = """'', 'NA', 'N/A', 'NULL', 'null', 'None', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan',
+  '1.#IND', '1.#QNAN', '<NA>', 'NaN', 'n/a', 'nan'"""
 RATE_MEAN = "cast(sum({0}) as double) / nullif(count({0}), 0)"
 CARD = "npi, display_name, entity_type_label, city, state, primary_taxonomy_code, credentials"
 

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import contracts as k
@@ -129,31 +130,28 @@ RAW_SPENDING = """prscrbr_npi, prscrbr_last_org_name, prscrbr_first_name, prscrb
 
 
 def read_csv(d: Data) -> DataFrame:
+    """A file of two parts that order their columns differently."""
     folder = work_dir(d.spark, "csv")
-    d.sql(f"select {CUSTOMER_TEXT} from {{customer}}", "customer").write.option("header", True).csv(folder)
+    rows = d.sql(f"select {CUSTOMER_TEXT} from {{customer}}", "customer")
+    even = F.col("c_custkey").cast("long") % 2 == 0
+    rows.filter(even).write.option("header", True).csv(folder)
+    rows.filter(~even).select(*reversed(rows.columns)).write.mode("append").option("header", True).csv(folder)
     return files.read_raw_csv(d.spark, folder)
 
 
 def add_lineage(d: Data) -> DataFrame:
     frame = files.add_lineage(files.read_raw_csv(d.spark, f"{d.yearly_csv()}/*.csv"), LOADED)
-    stamp = F.date_format("_loaded_at", "yyyy-MM-dd HH:mm:ss").alias("loaded_at")
-    return frame.groupBy("year", stamp).agg(F.count(F.lit(1)).alias("rows"))
+    name = F.element_at(F.split(files.SOURCE, "/"), 1).alias("file")
+    return frame.select(name, "year", F.date_format("_loaded_at", "yyyy-MM-dd HH:mm:ss").alias("loaded_at"), "prscrbr_npi", "tot_clms", "tot_drug_cst")
 
 
 def file_names(d: Data) -> DataFrame:
-    return d.sql(
-        """select distinct case cast(o_custkey % 4 as int) when 0 then 'cms_part_d_spending_' || cast(year(o_orderdate) as string)
-             when 1 then 'cms_provider_utilization_' || cast(year(o_orderdate) as string)
-             when 2 then 'nppes_providers' else 'other_' || cast(o_custkey % 50 as string) end || '.csv' as file
-           from {orders}""", "orders",
-    )
+    """The names of the yearly files, as they lie in their folder."""
+    return files.list_files(d.spark, d.yearly_csv()).select("file")
 
 
-FILE_NAMES = """(select distinct case cast(o_custkey % 4 as int)
-    when 0 then 'cms_part_d_spending_' || cast(year(o_orderdate) as string)
-    when 1 then 'cms_provider_utilization_' || cast(year(o_orderdate) as string)
-    when 2 then 'nppes_providers' else 'other_' || cast(o_custkey % 50 as string) end || '.csv' as file from orders)"""
-ONLY = ["NPPES_providers.csv", "cms_part_d_spending_1999.csv", "absent_2030.csv"]
+FILE_NAMES = "(select distinct 'cms_part_d_spending_' || year || '.csv' as file from raw_s)"
+ONLY = ["CMS_Part_D_spending_1998.csv", "cms_part_d_spending_1999.csv", "absent_2030.csv"]
 
 
 def full_load(d: Data) -> DataFrame:
@@ -163,15 +161,18 @@ def full_load(d: Data) -> DataFrame:
 
 
 def append_year(d: Data) -> DataFrame:
-    """Load all years but one, append that one, then append it again: the third is a no-op."""
+    """Load all years but one, append that one with its last rows missing, append it whole, and
+    once more: the second time everything is there, so nothing is written."""
     folder, root = d.yearly_csv(), work_dir(d.spark, "raw")
     last = f"cms_part_d_spending_{max(YEARS) - 1}.csv"
     names = [row.file for row in files.list_files(d.spark, folder).collect()]
     raw.full_load(d.spark, folder, root, only=[x for x in names if x != last])
     path = f"{folder}/{files.PREFIX}{last}"
+    rows = files.load_files(d.spark, [path], LOADED)
+    raw.replace_year(rows.filter("prscrbr_npi not like '%7'"), root, "cms_part_d_spending", max(YEARS) - 1)
     first, second = (raw.append_year(d.spark, path, root) for _ in range(2))
-    counts = raw.read_raw(d.spark, root, "cms_part_d_spending").groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
-    return counts.withColumn("appended_again", F.lit(second)).filter(F.lit(first) > 0)
+    table = raw.read_raw(d.spark, root, "cms_part_d_spending").drop(files.SOURCE, "_loaded_at")
+    return table.withColumn("appended", F.lit(first).cast("long")).withColumn("appended_again", F.lit(second))
 
 
 def replace_year(d: Data) -> DataFrame:
@@ -193,29 +194,32 @@ def resume(d: Data) -> DataFrame:
     extra = d.sql(f"select {CUSTOMER_TEXT} from {{customer}}", "customer")
     extra.withColumn("file", F.lit("customers.csv")).write.mode("append").partitionBy("file").option("header", True).csv(folder)
     runs.append(resume_load(d.spark, folder, root, state))
-    counts = raw.row_counts({t: raw.read_raw(d.spark, root, t) for t in ("cms_part_d_spending", "customers")})
-    return counts.withColumn("second_run_files", F.lit(runs[1])).withColumn("third_run_added", F.lit(runs[2] > 0))
+    loaded = raw.read_raw(d.spark, root, "cms_part_d_spending").select("prscrbr_npi", "tot_clms", "tot_drug_cst", "year")
+    added = raw.read_raw(d.spark, root, "customers").select("c_custkey", "c_name", "c_acctbal", F.lit(None).cast("string"))
+    return loaded.union(added).withColumn("second_run_files", F.lit(runs[1])).withColumn("third_run_added", F.lit(runs[2] > 0))
 
 
 def load_status(d: Data) -> DataFrame:
-    """Yearly files against a table that has only part of some years."""
-    rows = d.raw_spending().withColumn("n", F.col("tot_clms").cast("int"))
-    counted = rows.groupBy(F.concat(F.lit("cms_part_d_spending_"), "year", F.lit(".csv")).alias("file")).agg(
-        F.count(F.lit(1)).alias("file_rows")
-    )
-    year = F.col("year").cast("int")
-    loaded = rows.filter((year < 1998) | ((year < 2000) & (F.col("n") > 2)))
-    return raw.load_status(files.route_files(counted), raw.loaded_counts({"cms_part_d_spending": loaded}))
+    """The yearly files against a table that has only part of some years, of some all but a few rows."""
+    folder, root = d.yearly_csv(), work_dir(d.spark, "raw")
+    paths = [row.path for row in files.list_files(d.spark, folder).collect()]
+    rows = files.load_files(d.spark, paths, LOADED)
+    year, n = F.col("year").cast("int"), F.col("tot_clms").cast("int")
+    few = F.col("prscrbr_npi").endswith("77")
+    raw.write_raw(rows.filter((year < 1997) | ((year == 1997) & ~few) | (year.between(1998, 1999) & (n > 2))),
+                  raw.table_path(root, "cms_part_d_spending"), replace_table=True)
+    loaded = raw.loaded_counts({"cms_part_d_spending": raw.read_raw(d.spark, root, "cms_part_d_spending")})
+    return raw.load_status(raw.file_counts(d.spark, paths), loaded)
 
 
 STATUS = """
   with f as (select year, count(*) as n,
-      count(*) filter (cast(year as int) < 1998 or (cast(year as int) < 2000 and cast(tot_clms as int) > 2)) as m
+      count(*) filter (cast(year as int) < 1997 or (cast(year as int) = 1997 and prscrbr_npi not like '%77')
+        or (cast(year as int) between 1998 and 1999 and cast(tot_clms as int) > 2)) as m
     from raw_s group by year)
   select 'cms_part_d_spending_' || year || '.csv' as file, 'cms_part_d_spending' as "table", year,
     n as file_rows, m as table_rows,
-    case when m >= cast(floor(n * 0.98) as bigint) then 'COMPLETE'
-      when m > 0 then cast(cast(round_even(m * 100.0e0 / n, 0) as int) as varchar) || '% DONE'
+    case when m >= n then 'COMPLETE' when m > 0 then cast(m * 100 // n as varchar) || '% DONE'
       else 'NOT STARTED' end as status from f"""
 
 
@@ -237,10 +241,20 @@ def counts_sql(pairs: dict[str, str], names: str = "table_name", rows: str = "ro
     return " union all ".join(f"select '{t}' as {names}, count(*) as {rows} from {cte}" for t, cte in pairs.items())
 
 
+EXPORTED = "provider_risk_id, npi, cast(year as varchar) as year, withhold_risk_band"
+
+
 def export_csv(d: Data) -> DataFrame:
+    """All rows of the exported risk table, read back."""
     folder = work_dir(d.spark, "export")
     publish.export_csv(d.house.tables(["analytics"]), folder)
-    return raw.row_counts({t: files.read_raw_csv(d.spark, f"{folder}/{t}") for t in k.EXPORT_TABLES})
+    return files.read_raw_csv(d.spark, f"{folder}/{RISK}").selectExpr("provider_risk_id", "npi", "year", "withhold_risk_band")
+
+
+def known(sample: DataFrame, whole: DataFrame, key: str, *by: str) -> DataFrame:
+    """Of a sample: its rows, its different keys, and those of them that the whole table has."""
+    found = sample.join(whole.select(F.col(key).alias("_key"), F.lit(1).alias("_found")).distinct(), F.col(key) == F.col("_key"), "left")
+    return found.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("ids"), F.count("_found").alias("known_ids"))
 
 
 STRATA = {"High": 400, "Low": 300}
@@ -255,26 +269,11 @@ def capped_sql(counts: dict[str, str], caps: dict[str, int]) -> str:
 
 
 def publish_written(d: Data) -> DataFrame:
+    """All rows of a published table, and how many rows of each table were published without caps."""
     folder = work_dir(d.spark, "publish")
     tables = {t: d.built(t) for t in k.PUBLISH_TABLES}
-    publish.publish(tables, folder, CAPS)
-    return raw.row_counts({t: d.spark.read.parquet(f"{folder}/{t}") for t in tables})
-
-
-def build_audit(d: Data) -> DataFrame:
-    runs = ledger.current_runs(d.spark.read.parquet(f"{d.house.root}/pipeline_runs"))
-    steps = runs.select("pipeline_name", F.col("status").alias("run_status"), F.inline("steps"))
-    return steps.select(
-        "pipeline_name", "run_status", F.col("name").alias("step"), "status", (F.col("duration_sec") > 0).alias("timed"), "detail"
-    )
-
-
-AUDIT_ROWS = {layer_: [t for wave in waves for t in wave] for layer_, waves in built.WAVES.items()}
-AUDIT = " union all ".join(
-    f"""select 'payment_analytics' as pipeline_name, 'success' as run_status, '{step}' as step, 'success' as status,
-        true as timed, concat({", ', ', ".join(f"'{t}=', (select count(*) from {BUILT[t]})" for t in names)}) as detail"""
-    for step, names in AUDIT_ROWS.items()
-)
+    counts = publish.publish(tables, folder).agg(F.sum("source_rows").alias("source_rows"), F.sum("published_rows").alias("published_rows"))
+    return clean(d.spark.read.parquet(f"{folder}/{RISK}")).select("provider_risk_id", "npi", "year", "withhold_risk_band").join(F.broadcast(counts))
 
 
 def runs_from_events(d: Data) -> DataFrame:
@@ -309,29 +308,30 @@ SOURCES = {
         """select c_custkey as cust_key, c_name as "npi_code_(legal)", c_nationkey as nation_key, c_acctbal as acctbal,
              c_mktsegment as mktsegment from customer"""),
     "s04_add_lineage": Query(add_lineage, o.sql(
-        f"select year, '{LOADED}' as loaded_at, count(*) as rows from raw_s group by year")),
+        f"select 'cms_part_d_spending_' || year || '.csv' as file, year, '{LOADED}' as loaded_at, prscrbr_npi, tot_clms, tot_drug_cst from raw_s")),
     "s05_route_files": Query(
         lambda d: files.route_files(file_names(d)),
-        f"""select file, case when regexp_full_match(file, 'cms_part_d_spending_\\d{{4}}\\.csv') then 'cms_part_d_spending'
+        o.sql(f"""select file, case when regexp_full_match(file, 'cms_part_d_spending_\\d{{4}}\\.csv') then 'cms_part_d_spending'
               when regexp_full_match(file, 'cms_provider_utilization_\\d{{4}}\\.csv') then 'cms_provider_utilization'
               else replace(file, '.csv', '') end as "table",
-            nullif(regexp_extract(file, '\\d{{4}}'), '') as year from {FILE_NAMES}"""),
+            nullif(regexp_extract(file, '\\d{{4}}'), '') as year from {FILE_NAMES}""")),
     "s06_select_files": Query(
         lambda d: files.select_files(file_names(d), ONLY),
-        f"""select coalesce(f.file, w.file) as file, f.file is not null as found
-            from (select unnest(['nppes_providers.csv', 'cms_part_d_spending_1999.csv', 'absent_2030.csv']) as file) w
-            left join {FILE_NAMES} f on lower(f.file) = w.file"""),
+        o.sql(f"""select coalesce(f.file, w.file) as file, f.file is not null as found
+            from (select unnest(['cms_part_d_spending_1998.csv', 'cms_part_d_spending_1999.csv', 'absent_2030.csv']) as file) w
+            left join {FILE_NAMES} f on lower(f.file) = w.file""")),
     "s07_full_load": Query(full_load, o.sql(f"select {RAW_SPENDING}, year from raw_s")),
     "s08_append_year": Query(append_year, o.sql(
-        "select year, count(*) as rows, cast(0 as int) as appended_again from raw_s group by year")),
+        f"""select {RAW_SPENDING}, year, (select count(*) from raw_s where year = '{max(YEARS) - 1}') as appended,
+              cast(0 as int) as appended_again from raw_s""")),
     "s09_replace_year": Query(
         replace_year,
         f"""select l_orderkey, l_linenumber, l_partkey, l_quantity + if(year(l_shipdate) = {Y1}, 100, 0) as l_quantity,
               cast(year(l_shipdate) as varchar) as year from lineitem"""),
     "s10_resume_load": Query(resume, o.sql(
         """select *, cast(0 as int) as second_run_files, true as third_run_added from (
-             select 'cms_part_d_spending' as table_name, count(*) as row_count from raw_s
-             union all select 'customers', count(*) from customer)""")),
+             select prscrbr_npi, tot_clms, tot_drug_cst, year from raw_s
+             union all select cast(c_custkey as varchar), c_name, cast(cast(c_acctbal as decimal(18,2)) as varchar), null from customer)""")),
     "s11_load_status": Query(load_status, o.sql(STATUS.replace("with f as (", "select * from (with f as (", 1) + ")")),
     "s12_row_counts": Query(
         lambda d: raw.row_counts({t: d.given(t) for t in GIVEN}), counts_sql({t: t for t in GIVEN})),
@@ -339,20 +339,19 @@ SOURCES = {
         approx_rows, counts_sql({t: t for t in GIVEN}, rows="rows") + " union all select 'absent', 0"),
     "s15_build_layers": Query(
         lambda d: raw.row_counts(d.house.tables(["intermediate", "marts", "analytics"])), o.sql(counts_sql(BUILT))),
-    "s16_export_csv": Query(export_csv, o.sql(counts_sql({t: BUILT[t] for t in k.EXPORT_TABLES}))),
+    "s16_export_csv": Query(export_csv, o.sql(f"select {EXPORTED} from risk")),
     "s17_stratified_cap": Query(
-        lambda d: stratified_cap(d.built(RISK), "withhold_risk_band", STRATA, ["provider_risk_id"])
-        .groupBy("withhold_risk_band").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("provider_risk_id").alias("ids")),
-        o.sql("""select withhold_risk_band, least(count(*), if(withhold_risk_band = 'High', 400, 300)) as rows,
-                   least(count(*), if(withhold_risk_band = 'High', 400, 300)) as ids
-                 from risk where withhold_risk_band <> 'At Median' group by 1""")),
+        lambda d: known(stratified_cap(d.built(RISK), "withhold_risk_band", STRATA, ["provider_risk_id"]),
+                        d.built(RISK), "provider_risk_id", "withhold_risk_band"),
+        o.sql("""select withhold_risk_band, n as rows, n as ids, n as known_ids from (
+                   select withhold_risk_band, least(count(*), if(withhold_risk_band = 'High', 400, 300)) as n
+                   from risk where withhold_risk_band <> 'At Median' group by 1)""")),
     "s18_publish": Query(publish_written, o.sql(
-        "select table_name, published_rows as row_count from ("
-        + capped_sql({t: BUILT[t] for t in k.PUBLISH_TABLES}, CAPS) + ")")),
+        f"""select provider_risk_id, npi, year, withhold_risk_band, source_rows, source_rows as published_rows from risk,
+              (select cast(sum(row_count) as bigint) as source_rows from ({counts_sql({t: BUILT[t] for t in k.PUBLISH_TABLES})}))""")),
     "s18_publish_dry_run": Query(
         lambda d: publish.publish({t: d.built(t) for t in k.PUBLISH_TABLES}, "", CAPS, dry_run=True),
         o.sql(capped_sql({t: BUILT[t] for t in k.PUBLISH_TABLES}, CAPS))),
-    "s19_build_audit": Query(build_audit, o.sql(AUDIT)),
     "s20_latest_runs": Query(
         lambda d: ledger.latest_runs(runs_from_events(d), 5),
         """select cast(event_id as varchar) as run_id, event_type as status, ts as started_at from events
@@ -416,9 +415,11 @@ PROJECTIONS = {
         DIM, lambda dim: lookup.lookup_by_name(dim, "CUSTOMER 00000"),
         f"select {o.CARD} from prov where display_name ilike '%customer 00000%' order by display_name, npi limit 50"),
     "p18_lookup_id_or_name": report(
-        DIM, lambda dim: lookup.lookup(dim, " 200000000 ").unionByName(lookup.lookup(dim, "supplier#")).unionByName(lookup.lookup(dim, "ab")),
+        DIM, lambda dim: lookup.lookup(dim, " 200000000 ").unionByName(lookup.lookup(dim, "supplier#")).unionByName(lookup.lookup(dim, "ab")).unionByName(lookup.lookup(dim, "%")),
         f"""select * from (select {o.CARD} from prov where npi like '200000000%' order by npi limit 50) union all
-            select * from (select {o.CARD} from prov where display_name ilike '%supplier#%' order by display_name, npi limit 50)"""),
+            select * from (select {o.CARD} from prov where display_name ilike '%supplier#%' order by display_name, npi limit 50) union all
+            select * from (select {o.CARD} from prov where contains(lower(display_name), 'ab') order by display_name, npi limit 50) union all
+            select * from (select {o.CARD} from prov where contains(display_name, '%') order by display_name, npi limit 50)"""),
     "p19_provider_detail": report(
         UTIL, lambda u: lookup.provider_detail(u, "2000000005"),
         o.top("""select cms_specialty, hcpcs_code, hcpcs_description, year, service_count, avg_medicare_payment,
@@ -570,7 +571,7 @@ PARETO = f"""
   select drug_name, generic_name, total_medicare_cost, total_claims, prescriber_count,
     cast(sum(total_medicare_cost) over w as decimal(38,2)) as cum_cost,
     cast(sum(total_medicare_cost) over w as double) / cast(sum(total_medicare_cost) over () as double) as cum_pct
-  from ({o.top(f"select * from drugs where year = {Y1}", "total_medicare_cost", 500, "drug_name", "generic_name")})
+  from (select * from drugs where year = {Y1})
   window w as (order by total_medicare_cost desc, drug_name, generic_name nulls last rows unbounded preceding)"""
 WINDOWS = {
     "w01_latest_per_key": Query(
@@ -665,12 +666,23 @@ CONTRACT_SQL = " union all ".join(
 )
 LINE_IDS = "select concat(l_orderkey, '-', l_linenumber) as line_id, nullif(l_returnflag, 'N') as flag from {}"
 
+def sampled_share(d: Data) -> DataFrame:
+    """A sample of the line items: its size against five deviations, and that its rows are the table's."""
+    rows, keys = d.given("lineitem"), ["l_orderkey", "l_linenumber"]
+    sample, whole = q.dq_sample(rows), rows.agg(F.count(F.lit(1)).alias("all_rows"))
+    seen = sample.agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(whole))
+    strange = sample.join(rows.select(*keys), keys, "left_anti").agg(F.count(F.lit(1)).alias("unknown_rows"))
+    off = F.abs(F.col("n") - F.col("all_rows") * k.SAMPLE_FRACTION)
+    spread = F.sqrt(F.col("all_rows") * k.SAMPLE_FRACTION * (1 - k.SAMPLE_FRACTION))
+    return seen.join(F.broadcast(strange)).select("all_rows", (off <= 5 * spread).alias("near_a_hundredth"), "unknown_rows")
+
+
 QUALITY = {
     "q01_check_rows": checks("t", fx.Tables.raw_utilization, lambda df: [q.rows_check()],
                              raw_check("row_count", "case when count(*) > 0 then 1.0e0 else 0.0e0 end", 1.0)),
     "q02_dq_sample": Query(
-        lambda d: q.dq_sample(d.raw_utilization()).agg((F.count(F.lit(1)) <= k.SAMPLE_ROWS).alias("within_limit")),
-        "select true as within_limit"),
+        sampled_share,
+        """select count(*) as all_rows, true as near_a_hundredth, cast(0 as bigint) as unknown_rows from lineitem"""),
     "q03_check_columns": checks(
         "t", fx.Tables.raw_utilization, lambda df: [q.columns_check(df, ["rndrng_npi", "year", "absent_a", "absent_b"])],
         raw_check("required_columns", "0.5e0 + 0 * count(*)", 1.0)),
@@ -723,16 +735,59 @@ QUALITY = {
 
 
 def encoded(d: Data) -> DataFrame:
+    """The test rows' one-hot columns that are set, and two of their numeric columns."""
     train, test = d.split()
-    encoder = ml.fit_encoder(ml._prepared(train))
-    return ml.encode(test, encoder).select("provider_risk_id", "is_high_risk", F.col("features").cast("string").alias("features"))
+    numbers = len(k.NUMERIC)
+    rows = ml.encode(test, ml.fit_encoder(ml._prepared(train))).withColumn("v", vector_to_array("features"))
+    number = lambda name: F.element_at("v", k.NUMERIC.index(name) - numbers)
+    hot = F.aggregate(F.slice("v", F.lit(1), F.size("v") - numbers), F.lit(0.0), lambda x, y: x + y).cast("int")
+    return rows.select("provider_risk_id", "is_high_risk", hot.alias("hot"), number("year").alias("year_value"),
+                       number("service_line_count").alias("lines_value"))
+
+
+def scores(frame: DataFrame) -> DataFrame:
+    """Rows and labels as they are; of the model's output, that it is a probability and fits the prediction."""
+    fits = (F.col("score") > 0.5).cast("int") == F.col("prediction")
+    return frame.select("provider_risk_id", "is_high_risk", F.col("score").between(0.0, 1.0).alias("in_range"), fits.alias("fits"))
+
+
+def gains(d: Data) -> DataFrame:
+    """The importances by the feature that a column was made from."""
+    found = ml.importances(d.model)
+    origin = F.lit(None).cast("string")
+    for name in k.FEATURES:
+        origin = F.when(F.col("feature").startswith(name), F.lit(name)).otherwise(origin)
+    whole = F.abs(F.sum(F.sum("gain")).over(Window.partitionBy()) - 1) < 1e-6
+    return found.groupBy(origin.alias("feature")).agg(
+        F.count(F.lit(1)).alias("columns"), (F.min("gain") >= 0).alias("none_negative"), whole.alias("sum_to_one"))
+
+
+def drops(d: Data) -> DataFrame:
+    found = ml.permutation_importance(d.model, d.split()[1])
+    return found.select("feature", F.col("roc_auc").between(0.0, 1.0).alias("in_range"), F.abs("auc_drop").between(0.0, 1.0).alias("drop_in_range"))
 
 
 def reloaded_metrics(d: Data) -> DataFrame:
     path = work_dir(d.spark, "model")
     ml.save(d.model, path)
     train, test = d.split()
-    return ml.metrics_row(ml.score(ml.load(path), test), train, Y0, Y1).drop("trained_at")
+    scored = f"{path}-scores"
+    ml.score(ml.load(path), test).write.parquet(scored)  # scored once, read by every measure
+    row = ml.metrics_row(d.spark.read.parquet(scored), train, Y0, Y1)
+    return row.withColumn("auc_in_range", F.col("roc_auc").between(0.0, 1.0)).drop("trained_at", "roc_auc")
+
+
+SCORED_SQL = "select provider_risk_id, is_high_risk, true as in_range, true as fits from train where year = "
+GAINS_SQL = " union all ".join(
+    [f"select '{x}' as feature, least(count(distinct coalesce({x}, '__null__')), {k.MAX_CATEGORIES}) as columns, true as none_negative, "
+     f"true as sum_to_one from train where year = {Y0}" for x in k.CATEGORICAL]
+    + [f"select '{x}', 1, true, true" for x in k.NUMERIC])
+ENCODED_SQL = f"""select provider_risk_id, is_high_risk, {" + ".join(
+    f"(coalesce({x}, '__null__') in (select coalesce({x}, '__null__') from train where year = {Y0}))::int" for x in k.CATEGORICAL)} as hot,
+  year::double as year_value, service_line_count::double as lines_value from train where year = {Y1}"""
+METRICS_SQL = f"""select {Y0} as train_year, {Y1} as test_year,
+  (select least(count(*), {k.TRAIN_CAP}) from train where year = {Y0}) as train_rows,
+  count(*) as test_rows, round(avg(is_high_risk::double), 4) as test_high_risk_rate, true as auc_in_range from train where year = {Y1}"""
 
 
 def report_sql() -> str:
@@ -761,15 +816,14 @@ LEARNING = {
     "m02_temporal_split": Query(
         lambda d: ml.temporal_split(d.training(), Y0, Y1)[1], o.sql(f"select * from train where year = {Y1}")),
     "m03_sample_n": Query(
-        lambda d: sample_n(d.training(), 1_000, ["provider_risk_id"]).agg(
-            F.count(F.lit(1)).alias("rows"), F.count_distinct("provider_risk_id").alias("ids")),
-        o.sql("select least(count(*), 1000) as rows, least(count(*), 1000) as ids from train")),
+        lambda d: known(sample_n(d.training(), 1_000, ["provider_risk_id"]), d.training(), "provider_risk_id"),
+        o.sql("select n as rows, n as ids, n as known_ids from (select least(count(*), 1000) as n from train)")),
     "m04_label_rate": Query(
         lambda d: ml.label_rate(d.training()),
         o.sql("select year, count(*) as rows, avg(cast(is_high_risk as double)) as high_risk_rate from train group by year")),
-    "m05_encode": Query(encoded),
-    "m06_fit_classifier": Query(lambda d: ml.score(d.model, d.split()[0])),
-    "m07_score": Query(lambda d: ml.score(d.model, d.split()[1])),
+    "m05_encode": Query(encoded, o.sql(ENCODED_SQL)),
+    "m06_fit_classifier": Query(lambda d: scores(ml.score(d.model, d.split()[0])), o.sql(SCORED_SQL + str(Y0))),
+    "m07_score": Query(lambda d: scores(ml.score(d.model, d.split()[1])), o.sql(SCORED_SQL + str(Y1))),
     "m08_roc_auc": Query(
         lambda d: six(ml.roc_auc(d.scored()), "roc_auc"),
         o.sql("""select round(sum(case when p.score > n.score then p.w * n.w when p.score = n.score then p.w * n.w / 2.0e0 else 0 end)
@@ -783,9 +837,10 @@ LEARNING = {
     "m10_confusion": Query(
         lambda d: ml.confusion(d.scored()),
         o.sql("select is_high_risk as actual, prediction as predicted, count(*) as rows from scored group by 1, 2")),
-    "m11_importances": Query(lambda d: ml.importances(d.model)),
-    "m12_permutation_importance": Query(lambda d: ml.permutation_importance(d.model, d.split()[1])),
-    "m13_save_load_metrics": Query(reloaded_metrics),
+    "m11_importances": Query(gains, o.sql(GAINS_SQL)),
+    "m12_permutation_importance": Query(
+        drops, " union all ".join(f"select '{x}' as feature, true as in_range, true as drop_in_range" for x in k.FEATURES)),
+    "m13_save_load_metrics": Query(reloaded_metrics, o.sql(METRICS_SQL)),
 }
 
 QUERIES: dict[str, Query] = {
