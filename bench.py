@@ -7,6 +7,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from paylens.contract.registry import Data, QUERIES
@@ -32,7 +33,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = session(f"local[{cpus}]", "bench", **{
         "spark_sql_shuffle_partitions": cpus, "spark_driver_memory": "16g", "spark_ui_enabled": "false",
-        "spark_log_level": "ERROR",
+        "spark_log_level": "ERROR", "spark_checkpoint_dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
     })
     data = Data(spark, path)
     data.given("lineitem").count()  # start-up is not part of any query
