@@ -39,7 +39,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>|</?[a-zA-Z][^<>]*+\Z|([^<]++)|<",
     re.S | re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_PART = re.compile(r"[a-z]+")
+_PART = re.compile(r"(?:(?:has|with|no)[-_])?[a-z]+")  # a part that a page has is not the part itself
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "chrome", "hinted", "body", "heading", "listed")
 
