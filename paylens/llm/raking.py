@@ -39,7 +39,8 @@ class Mix:
     """Target shares and sampling rate.
 
     ``shares``: of the values of a margin. Values that are not named share what the named ones
-    leave, by their tokens; named values without tokens are left out and the rest scaled to one.
+    leave, by their tokens (nothing if the named shares add up to one: such documents are never
+    drawn); named values without tokens are left out and the rest scaled to one.
     A margin that is not named here is flattened: its target is tokens to the power ``flatten``.
     ``rate``: share of all tokens to draw. ``rounds``: most rounds; fitting ends before when no
     margin is off by more than ``close`` of all tokens.
@@ -71,6 +72,11 @@ def described(docs: DataFrame) -> DataFrame:
         "__mix_tokens": F.regexp_count(text, F.lit(WORD)).cast("long")})
 
 
+def _share(part: Column, whole: Column) -> Column:
+    """Of nothing, every share is 0."""
+    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+
+
 def targets(cells: DataFrame, margin: str, mix: Mix) -> DataFrame:
     """The margin's values with tokens, and ``target``: the share of all tokens that each should have."""
     sums = cells.groupBy(margin).agg(F.sum("tokens").alias("t"))
@@ -86,7 +92,7 @@ def targets(cells: DataFrame, margin: str, mix: Mix) -> DataFrame:
         sums = sums.join(F.broadcast(total))  # one row
     sums = sums.withColumn("raw", raw)
     whole = sums.agg(F.sum("raw").alias("whole"))
-    return sums.join(F.broadcast(whole)).select(margin, (F.col("raw") / F.col("whole")).alias("target"))
+    return sums.join(F.broadcast(whole)).select(margin, _share(F.col("raw"), F.col("whole")).alias("target"))
 
 
 def raked(cells: DataFrame, mix: Mix) -> DataFrame:
@@ -98,7 +104,7 @@ def raked(cells: DataFrame, mix: Mix) -> DataFrame:
         off = []
         for margin in MARGINS:
             sums = fitted.groupBy(margin).agg(F.sum("weight").alias("_sum"))
-            scale = sums.join(goals[margin], margin).select(margin, (F.col("target") / F.col("_sum")).alias("_scale"))
+            scale = sums.join(goals[margin], margin).select(margin, _share(F.col("target"), F.col("_sum")).alias("_scale"))
             fitted = fitted.join(scale, margin).withColumn("weight", F.col("weight") * F.col("_scale")).drop("_scale")
         fitted = stored(fitted, "raked")
         for margin in MARGINS[:-1]:  # the last one was just met
@@ -116,7 +122,7 @@ def probabilities(docs: DataFrame, mix: Mix) -> DataFrame:
     fitted = raked(stored(cells, "cells"), mix)
     # at most all tokens of a cell can be drawn
     total = fitted.agg(F.sum("tokens").alias("_all"), F.sum("weight").alias("_whole"))
-    wanted = F.col("weight") / F.col("_whole") * F.col("_all") * mix.rate
+    wanted = _share(F.col("weight"), F.col("_whole")) * F.col("_all") * mix.rate
     shared = fitted.join(F.broadcast(total)).withColumn("probability", F.least(F.lit(1.0), wanted / F.col("tokens")))
     return stored(shared.select(*(F.col(m).alias(f"__mix_{m}") for m in MARGINS),
                                 F.col("probability").alias("__mix_chance")), "probabilities")
@@ -163,10 +169,10 @@ def oracle(mix: Mix = Mix()) -> str:
     last = "(select *, tokens as weight from c)"
     for k in range(mix.rounds):
         for m in MARGINS:
-            steps.append(f"w{k}_{m} as materialized (select w.* replace (weight * target / sum(weight) over (partition by w.{m}) as weight) "
+            steps.append(f"w{k}_{m} as materialized (select w.* replace (coalesce(weight * target / nullif(sum(weight) over (partition by w.{m}), 0), 0) as weight) "
                          f"from {last} w join g_{m} g on w.{m} = g.{m})")
             last = f"w{k}_{m}"
-    steps.append(f"p as (select *, least(1e0, weight / sum(weight) over () * sum(tokens) over () * {mix.rate!r}e0 / tokens) as probability from {last})")
+    steps.append(f"p as (select *, least(1e0, coalesce(weight / nullif(sum(weight) over (), 0), 0) * sum(tokens) over () * {mix.rate!r}e0 / tokens) as probability from {last})")
     steps.append("""r as (select d.*, case when d.tokens = 0 then 1e0 else p.probability end as chance,
         ('0x' || substr(md5('%s:' || coalesce(doc_id::varchar, md5(text), '')), 1, 8))::bigint / 4294967296e0 as drawn
         from d left join p on d.source = p.source and d.lang = p.lang and d.topic = p.topic)""" % mix.seed)

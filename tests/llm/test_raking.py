@@ -55,7 +55,7 @@ def test_odd_rows(odd, none):
 
 def test_probabilities_cover_every_cell_with_tokens(odd):
     rows = probabilities(described(odd), Mix(rate=1.0)).collect()
-    assert rows and all(0 < r["__mix_chance"] <= 1 for r in rows)
+    assert rows and all(0 <= r["__mix_chance"] <= 1 for r in rows)
 
 
 @pytest.mark.parametrize("name", ["source", "lang"])
