@@ -8,7 +8,8 @@
    component after step 2 and costs nothing here. The others are compared in bounded blocks, the
    members outside the bucket's largest component against everyone, but only where the shingles
    that a document has in common with any other leave room for a link: an edited copy that is too
-   far from all others has too many shingles of its own and drops out before the pairs are made.
+   far from all others has too many shingles of its own and drops out first. Signatures and full
+   sets are compared where the blocks lie; only links leave them.
 
 No link between different texts is lost but by the banding itself: with 32 bands of 4, a pair at a
 similarity of 0.8 misses all bands with a probability of 5e-8, and the signature test with 1e-8.
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import picked, stored
+from .store import by_ids, picked, stored
 from .words import shingle_set, utf8
 
 
@@ -111,13 +112,6 @@ def _minima(column: pa.Array, rule: Rule) -> np.ndarray:
     return np.frombuffer(joined, np.uint16).reshape(len(column), rule.hashes)
 
 
-def among(docs: DataFrame, ids: DataFrame, limit: int = 1_000_000) -> DataFrame:
-    """The rows of ``docs`` with one of the ids. Texts stay where they are while the ids are few
-    enough to broadcast, which is counted first; beyond that they are shuffled."""
-    ids = stored(ids, "ids")
-    return docs.join(F.broadcast(ids) if ids.count() <= limit else ids, "id", "left_semi")
-
-
 def common_shingles(nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """``id``, ``c``: how many shingles of a node occur in another node of these too."""
 
@@ -129,33 +123,49 @@ def common_shingles(nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
             for at in range(0, len(ids), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at:at + (1 << 16)]), pa.array(every[at:at + (1 << 16)])], ["id", "x"])
 
-    rows = among(docs, nodes.select("id")).mapInArrow(run, "id long, x long")
+    rows = by_ids(docs, nodes, "id", "left_semi").mapInArrow(run, "id long, x long")
     alone = rows.groupBy("x").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).filter("k = 1")
     alone = alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
     sizes = nodes.groupBy("id").agg(F.sum("n").alias("n"))
     return sizes.join(alone, "id", "left").select("id", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs ``a``, ``b`` whose full shingle sets are similar enough; a written table."""
+def linked(own: np.ndarray, others: list[np.ndarray], rule: Rule) -> np.ndarray:
+    """Which of the other sets are similar enough to ``own``; sets are sorted and not empty."""
+    size = np.array([len(x) for x in others])
+    every = np.concatenate(others)
+    place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+    common = np.add.reduceat(own[place] == every, np.cumsum(size) - size, dtype=np.int64)
+    return 100 * common >= rule.percent * (len(own) + size - common)
 
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def full_sets(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
+    """``id``, ``set_key``, ``members``: the shingle sets of the rows with one of the ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(text, rule.words).tobytes() for text in utf8(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "members"])
+            keys = [blake2b(x, digest_size=16).digest() for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["id", "set_key", "members"])
+
+    return by_ids(docs, ids, "id", "left_semi").mapInArrow(run, "id long, set_key binary, members binary")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs ``a``, ``b`` whose full shingle sets are similar enough; a written table."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch.column("x"), batch.column("y")):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * common >= rule.percent * (len(x) + len(y) - common))
+                good.append(bool(linked(x, [y], rule)[0]))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = stored(among(docs, wanted).mapInArrow(to_sets, "id long, members binary"), "sets")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+    sets = stored(full_sets(docs, wanted, rule), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("y"))
     links = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(link, "a long, b long")
@@ -163,11 +173,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def strays(shared: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of one bucket in different components that may be linked, by their signatures, sizes
-    and common shingles.
+    """Links ``a``, ``b`` between members of one bucket that lie in different components.
 
-    Pairs with the bucket's pivot were compared before. A pair is given once, by the first band it
-    shares. Blocks bound the rows of a task's group; a larger bucket is dealt over many of them.
+    Pairs with the bucket's pivot were compared before. A pair is compared once, in the first band
+    it shares. Blocks bound the rows of a task's group; a larger bucket is dealt over many of them.
     """
     comp = F.coalesce("b", "id").alias("comp")
     rows = shared.filter("id != pivot").join(labels.withColumnRenamed("a", "id"), "id", "left").select("key", "band", "id", comp)
@@ -179,13 +188,14 @@ def strays(shared: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFra
                          blocks(F.col("total") - F.col("top.c")).alias("few_blocks"))
     rows = stored(rows.join(mixed, "key"), "mixed")
     nodes = nodes.join(rows.select("id").distinct(), "id", "left_semi")
-    nodes = nodes.join(common_shingles(nodes, docs, rule), "id").filter(100 * F.col("c") >= rule.percent * F.col("n"))
-    rows = stored(rows.join(nodes.select("id", "n", "c", "sig"), "id"), "strays")
+    nodes = stored(nodes.join(common_shingles(nodes, docs, rule), "id").filter(100 * F.col("c") >= rule.percent * F.col("n")), "open-nodes")
+    rows = stored(rows.join(nodes.select("id").distinct(), "id", "left_semi"), "open-rows")
     slot = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    keep = ["key", "band", "id", "comp", "n", "c", "sig"]
+    keep = ["key", "band", "id", "comp"]
     few = rows.filter("comp != top").select(*keep, F.lit(True).alias("few"), slot("few_blocks").alias("i"), every("all_blocks").alias("j"))
     many = rows.select(*keep, F.lit(False).alias("few"), every("few_blocks").alias("i"), slot("all_blocks").alias("j"))
+    known = nodes.join(full_sets(docs, nodes, rule), ["id", "set_key"]).drop("set_key").distinct()
     p = rule.percent
 
     def compare(group: dict[str, np.ndarray]) -> list[tuple[int, int]]:
@@ -198,7 +208,10 @@ def strays(shared: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFra
             same = group["sig"][fits] == group["sig"][k]
             fits, same = fits[ok := same.sum(axis=1) >= rule.agreements], same[ok]
             first = same.reshape(len(fits), rule.bands, rule.rows).all(axis=2).argmax(axis=1)
-            out += [(group["id"][k], group["id"][m]) for m in fits[first == group["band"][k]]]
+            fits = fits[first == group["band"][k]]
+            if len(fits):
+                good = linked(group["members"][k], list(group["members"][fits]), rule)
+                out += [(group["id"][k], group["id"][m]) for m in fits[good]]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,15 +220,27 @@ def strays(shared: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFra
                 low, high = np.sort(np.array(found, np.int64), axis=1).T
                 yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
-    blocked = few.unionByName(many).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return blocked.mapInArrow(run, "a long, b long").distinct()
+    blocked = few.unionByName(many).join(known, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return stored(blocked.mapInArrow(run, "a long, b long"), "links")
+
+
+def _column(batch: pa.RecordBatch, name: str, rule: Rule) -> np.ndarray:
+    column = batch.column(name)
+    if name == "sig":
+        return _minima(column, rule)
+    if name == "members":
+        out = np.empty(len(column), object)
+        for k, value in enumerate(column):
+            out[k] = np.frombuffer(value.as_buffer(), np.uint64)
+        return out
+    return column.to_numpy(zero_copy_only=False)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], by: list[str], rule: Rule) -> Iterator[dict[str, np.ndarray]]:
     """Rows that agree on ``by``, together, from sorted batches."""
     held: dict[str, np.ndarray] = {}
     for batch in batches:
-        new = {c: _minima(batch.column(c), rule) if c == "sig" else batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names}
+        new = {c: _column(batch, c, rule) for c in batch.schema.names}
         held = {c: np.concatenate([held[c], v]) for c, v in new.items()} if held else new
         ends = np.flatnonzero(np.any([held[c][1:] != held[c][:-1] for c in by], axis=0)) + 1
         for lo, hi in zip([0, *ends[:-1]], ends):
@@ -244,8 +269,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     star = shared.filter("id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     links = confirmed(alike(star, nodes, rule), docs, rule)
     labels = components(links)
-    more = confirmed(strays(shared, labels, nodes, docs, rule), docs, rule)
-    labels = components(labels.unionByName(more))
+    labels = components(labels.unionByName(strays(shared, labels, nodes, docs, rule)))
     named = nodes.select("set_key", "id").join(labels.withColumnRenamed("a", "id"), "id", "left")
     named = named.select("set_key", F.coalesce("b", "id").alias("component"))
     linked = rows.join(named, "set_key", "left")
