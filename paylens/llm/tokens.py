@@ -1,9 +1,10 @@
-"""Token ids of texts with a public tokenizer, with a memo of words.
+"""Token ids of texts with a public tokenizer, with a memo of pieces.
 
-The tokenizer lower-cases, drops white space and never looks across it, so the ids of a text are
-those of its words, one after the other. Texts of plain Latin letters, digits and marks are split
-here and each new word goes through the tokenizer's own model once; any other text goes through
-the tokenizer as a whole. Tests hold both ways against each other.
+The tokenizer lower-cases, cuts a text into runs of letters, single digits and runs of marks, and
+never looks across a cut, so the ids of a text are those of its pieces, one after the other. Texts
+of plain Latin letters, digits and marks are cut here and each new piece goes through the
+tokenizer's own model once; any other text goes through the tokenizer as a whole. Tests hold both
+ways against each other.
 """
 
 from __future__ import annotations
@@ -21,20 +22,19 @@ _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-
 class Encoder:
     """Ids as little-endian integers of the smallest of two or four bytes that the vocabulary fits."""
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, memo: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
         self.limit = memo
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(33, 256) if _PLAIN.match(chr(c))]
         self.bytes_of = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
         # the short way holds for tokenizers that treat a probe of its cases alike
         probe = "".join(letters) + " It's we'll DON'T 12a É'd !?s'\n\tx\x0by " + " ".join(letters)
-        self.short = self._words(probe) == self._whole(probe)
+        self.short = self._pieces(probe) == self._whole(probe)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -42,25 +42,18 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         ids = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.bytes_of))]
         found = struct.pack(f"<{len(ids)}{self.code}", *ids)
-        if len(self.pieces) < self.limit:
-            self.pieces[piece] = found
-        return found
-
-    def _word(self, word: str) -> bytes:
-        get, piece = self.pieces.get, self._piece
-        found = b"".join([piece(p) if (known := get(p)) is None else known for p in _PIECE.findall(word)])
         if len(self.memo) < self.limit:
-            self.memo[word] = found
+            self.memo[piece] = found
         return found
 
-    def _words(self, text: str) -> bytes:
-        get, word = self.memo.get, self._word
-        return b"".join([word(w) if (found := get(w)) is None else found for w in text.lower().split()])
+    def _pieces(self, text: str) -> bytes:
+        get, new = self.memo.get, self._piece
+        return b"".join([new(p) if (found := get(p)) is None else found for p in _PIECE.findall(text.lower())])
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, without special tokens around it."""
         if self.short and _PLAIN.match(text) and not any(s in text for s in self.special):
-            return self._words(text)
+            return self._pieces(text)
         return self._whole(text)
 
 
