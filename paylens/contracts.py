@@ -110,6 +110,33 @@ CONTRACTS = {
 }
 LAYERS = ("staging", "intermediate", "marts", "analytics")
 
+# Columns of the built tables and reports, fixed by what reads them -------------------------
+DIM_COLUMNS = (
+    "npi", "entity_type", "entity_type_label", "display_name", "org_name", "last_name", "first_name",
+    "credentials", "city", "state", "zip", "primary_taxonomy_code", "is_sole_proprietor", "_updated_at",
+)
+SPENDING_COLUMNS = (
+    "spending_id", "npi", "provider_name", "provider_city", "provider_state",
+    "provider_taxonomy_or_specialty", "entity_type_label", "drug_name", "generic_name", "bene_count",
+    "total_claim_count", "total_day_supply", "total_drug_cost", "year", "_loaded_at",
+)
+UTILIZATION_COLUMNS = (
+    "utilization_id", "npi", "provider_name", "cms_specialty", "primary_taxonomy_code",
+    "entity_type_label", "provider_city", "provider_state", "credentials", "medicare_participating",
+    "hcpcs_code", "hcpcs_description", "is_drug_service", "place_of_service", "service_count",
+    "unique_beneficiary_count", "beneficiary_service_days", "avg_allowed_amount",
+    "avg_submitted_charge", "avg_medicare_payment", "implied_withhold_rate", "year", "_loaded_at",
+)
+CARD = (
+    "npi", "display_name", "entity_type_label", "city", "state", "primary_taxonomy_code", "credentials",
+)
+RUN_SCHEMA = (
+    "run_id string, pipeline_name string, status string, started_at timestamp, finished_at timestamp, "
+    "steps array<struct<name:string,status:string,duration_sec:double,detail:string>>, "
+    "error_message string, triggered_by string, recorded_at timestamp"
+)
+RUN_STATUSES = ("running", "success", "failed")
+
 # Export and publishing -----------------------------------------------------------------
 EXPORT_TABLES = tuple(CONTRACTS["analytics"])
 EXPORT_STRATA = {"High": 100_000, "Low": 100_000}  # for a thinned export, if one is asked for

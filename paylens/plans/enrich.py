@@ -5,26 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import contracts as k
 from ..functions import columns as c
 from ..operators.joins import lookup_join
 
-DIM_COLUMNS = (
-    "npi", "entity_type", "entity_type_label", "display_name", "org_name", "last_name", "first_name",
-    "credentials", "city", "state", "zip", "primary_taxonomy_code", "is_sole_proprietor", "_updated_at",
-)
-SPENDING_COLUMNS = (
-    "spending_id", "npi", "provider_name", "provider_city", "provider_state",
-    "provider_taxonomy_or_specialty", "entity_type_label", "drug_name", "generic_name", "bene_count",
-    "total_claim_count", "total_day_supply", "total_drug_cost", "year", "_loaded_at",
-)
-UTILIZATION_COLUMNS = (
-    "utilization_id", "npi", "provider_name", "cms_specialty", "primary_taxonomy_code",
-    "entity_type_label", "provider_city", "provider_state", "credentials", "medicare_participating",
-    "hcpcs_code", "hcpcs_description", "is_drug_service", "place_of_service", "service_count",
-    "unique_beneficiary_count", "beneficiary_service_days", "avg_allowed_amount",
-    "avg_submitted_charge", "avg_medicare_payment", "implied_withhold_rate", "year", "_loaded_at",
-)
-
 
 def providers(staged: DataFrame) -> DataFrame:
     """Registry with a name to show and a label for the entity type."""
@@ -37,7 +21,7 @@ def providers(staged: DataFrame) -> DataFrame:
 
 
 def dim_providers(provider: DataFrame) -> DataFrame:
-    return provider.select(*DIM_COLUMNS)
+    return provider.select(*k.DIM_COLUMNS)
 
 
 def _registry(provider: DataFrame) -> DataFrame:
@@ -59,7 +43,7 @@ def enrich_spending(staged: DataFrame, provider: DataFrame, sizes: DataFrame | N
         "provider_taxonomy_or_specialty": c.first_known("reg_primary_taxonomy_code", "specialty"),
         "entity_type_label": F.col("reg_entity_type_label"),
     }
-    return joined.withColumns(merged).select(*SPENDING_COLUMNS)
+    return joined.withColumns(merged).select(*k.SPENDING_COLUMNS)
 
 
 def enrich_utilization(staged: DataFrame, provider: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
@@ -73,8 +57,8 @@ def enrich_utilization(staged: DataFrame, provider: DataFrame, sizes: DataFrame
         "provider_city": F.col("reg_city"),
         "provider_state": F.col("reg_state"),
     }
-    return joined.withColumns(merged).select(*UTILIZATION_COLUMNS)
+    return joined.withColumns(merged).select(*k.UTILIZATION_COLUMNS)
 
 
 def fct_provider_spending(enriched: DataFrame) -> DataFrame:
-    return enriched.select(*SPENDING_COLUMNS)
+    return enriched.select(*k.SPENDING_COLUMNS)

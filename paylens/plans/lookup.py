@@ -5,29 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import contracts as k
 from .reports import top
 
-CARD = (
-    "npi", "display_name", "entity_type_label", "city", "state", "primary_taxonomy_code", "credentials",
-)
-
 
 def lookup_by_id(dim: DataFrame, prefix: str, n: int = 50) -> DataFrame:
     """Ids that start with ``prefix``; the prefix test is pushed into the scan."""
-    return dim.filter(F.col("npi").startswith(prefix)).orderBy("npi").limit(n).select(*CARD)
+    return dim.filter(F.col("npi").startswith(prefix)).orderBy("npi").limit(n).select(*k.CARD)
 
 
 def lookup_by_name(dim: DataFrame, text: str, n: int = 50) -> DataFrame:
     """Names that contain ``text`` in any letter case."""
     hits = dim.filter(F.lower("display_name").contains(text.lower()))
-    return hits.orderBy("display_name", "npi").limit(n).select(*CARD)
+    return hits.orderBy("display_name", "npi").limit(n).select(*k.CARD)
 
 
 def lookup(dim: DataFrame, text: str, n: int = 50) -> DataFrame:
     """Digits search ids, anything else searches names; blank input finds nothing."""
     text = (text or "").strip()
     if not text:
-        return dim.select(*CARD).limit(0)
+        return dim.select(*k.CARD).limit(0)
     return lookup_by_id(dim, text, n) if text.isdigit() else lookup_by_name(dim, text, n)
 
 

@@ -8,25 +8,20 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SCHEMA = (
-    "run_id string, pipeline_name string, status string, started_at timestamp, finished_at timestamp, "
-    "steps array<struct<name:string,status:string,duration_sec:double,detail:string>>, "
-    "error_message string, triggered_by string, recorded_at timestamp"
-)
-STATUSES = ("running", "success", "failed")
+from .. import contracts as k
 
 
 def record_run(spark: SparkSession, path: str, run: dict) -> str:
     """Append the present state of a run and return its id. States are never changed in
     place; :func:`current_runs` gives the newest one of each run."""
-    if run["status"] not in STATUSES:
-        raise ValueError(f"status must be one of {STATUSES}")
+    if run["status"] not in k.RUN_STATUSES:
+        raise ValueError(f"status must be one of {k.RUN_STATUSES}")
     now = datetime.now(timezone.utc)
     row = {
         "run_id": str(uuid4()), "started_at": now, "finished_at": None, "steps": [],
         "error_message": None, "triggered_by": "manual", **run, "recorded_at": now,
     }
-    spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([row], k.RUN_SCHEMA).coalesce(1).write.mode("append").parquet(path)
     return row["run_id"]
 
 

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from paylens import contracts as k
 from paylens.operators.joins import hot_keys, lookup_join, salted_join
 from paylens.plans import enrich
 
@@ -56,7 +57,7 @@ def test_lookup_join_picks_by_size(spark):
 
 
 def test_utilization_keeps_no_state_without_a_match(spark):
-    columns = [x for x in enrich.UTILIZATION_COLUMNS if x not in (
+    columns = [x for x in k.UTILIZATION_COLUMNS if x not in (
         "cms_specialty", "primary_taxonomy_code", "entity_type_label", "provider_city", "provider_state")]
     staged = spark.range(1).select(F.lit("9").alias("npi"), *(F.lit("x").alias(x) for x in columns if x != "npi"),
                                    F.lit("S").alias("specialty"), F.lit("TX").alias("state"), F.lit("c").alias("city"))
