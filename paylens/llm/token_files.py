@@ -107,14 +107,15 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, i
     """Write the ids of all texts of ``docs`` to the new folder ``path``.
 
     Documents are in ascending order of id, those without an id first, ties in the order of their
-    ids of tokens; each ends with ``end_id``. A null or empty text has the end id alone. Repeated
+    texts; each ends with ``end_id``. A null or empty text has the end id alone. Repeated
     rows are written each time. Other columns play no part; an empty table gives a set without
     documents. The vocabulary file must be at the same place on all hosts.
     """
     width = encoder(vocabulary).dtype.itemsize
     rows = picked(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
-    ordered = tokenized(rows, vocabulary, end_id).repartitionByRange("id").sortWithinPartitions("id", "ids")
-    blocks = stored(blocked(ordered, width), "token-blocks")
+    # texts are dealt first: the bounds of the ranges come from a pass of their own over what is dealt
+    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    blocks = stored(blocked(tokenized(ordered, vocabulary, end_id), width), "token-blocks")
     counts = counted(blocks, width).collect()  # no more rows than the vocabulary has entries
     table = np.zeros(max((r.symbol for r in counts), default=-1) + 1, np.int64)
     for r in counts:
