@@ -22,7 +22,7 @@ _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-
 class Encoder:
     """Ids as little-endian integers of the smallest of two or four bytes that the vocabulary fits."""
 
-    def __init__(self, path: str, memo: int = 1_000_000):
+    def __init__(self, path: str, memo: int = 500_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
