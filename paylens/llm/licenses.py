@@ -1,14 +1,17 @@
 """License scans by conditional compression.
 
-Runs of lines with legal words are the candidate blocks. Each block is compressed alone and with
-every template as a raw zstandard dictionary; the templates are ranked by how much smaller that
-makes it. The winners are confirmed by the exact differences in wording.
+The words around every legal word are searched for the templates: common words lead to stretches
+that hold one, whatever lines and paragraphs they are set in. Each stretch is compressed alone and
+with every template as a raw zstandard dictionary; the templates are ranked by how much smaller
+that makes it. The winners are confirmed by the exact differences in wording.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from bisect import bisect
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,24 +25,23 @@ from .license_templates import TEMPLATES
 from .store import picked
 
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_PLACED = re.compile(r"[A-Za-z0-9]+(?:\.[0-9]+)*")
 # Words that license notices are made of and other prose rarely has.
 LEGAL = re.compile(
-    r"\b(?:licen[sc]\w*|sublicens\w*|copyright\w*|copyleft|warrant\w*|redistribut\w*|permission|permitted|rights reserved|"
-    r"public domain|liab\w*|merchantability|noninfringement|spdx\w*|gnu|apache|mozilla|creative commons|cc by|tort|"
-    r"damages|disclaim\w*|free software|without restriction|hereby granted|in no event|trademark\w*)\b", re.I)
+    r"\b(?:licen[sc]\w*|sublicens\w*|copyright\w*|copyleft|warrant\w*|redistribut\w*|permission|permitted|rights[\W_]+reserved|"
+    r"public[\W_]+domain|liab\w*|merchantability|noninfringement|spdx\w*|gnu|apache|mozilla|creative[\W_]+commons|cc[\W_]+by|tort|"
+    r"damages|disclaim\w*|free[\W_]+software|without[\W_]+restriction|hereby[\W_]+granted|in[\W_]+no[\W_]+event|trademark\w*)\b", re.I)
 
 SCHEMA = "start long, end long, license string, rank int, reduction double, wording double, differences string"
 
 
 @dataclass(frozen=True)
 class Scan:
-    """Compression level, least reduction of a winner, least share of equal words, longest block
-    that is compared as one."""
+    """Compression level, least reduction of a winner, least share of equal words."""
 
     level: int = 9
     reduction: float = 0.25
     wording: float = 0.75
-    piece: int = 20_000
 
 
 def words(text: str) -> list[str]:
@@ -68,6 +70,19 @@ def differences(have: list[str], want: list[str]) -> tuple[float, str]:
     return match.ratio(), "; ".join(changes)
 
 
+def stretch(want: list[str], have: list[str]) -> tuple[float, int, int, int]:
+    """The part of ``have`` that is most like ``want``: share of equal words, their number, start and end."""
+    blocks = [m for m in difflib.SequenceMatcher(None, want, have, autojunk=False).get_matching_blocks() if m.size]
+    best = (0.0, 0, 0, 0)
+    for i, first in enumerate(blocks):
+        same = 0
+        for last in blocks[i:]:
+            same += last.size
+            end = last.b + last.size
+            best = max(best, (2 * same / (len(want) + end - first.b), same, first.b, end))
+    return best
+
+
 class Ranker:
     """Compressors of all templates; made once in a worker."""
 
@@ -80,6 +95,15 @@ class Ranker:
                 dict_data=zstandard.ZstdCompressionDict(" ".join(words(text)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)))
             for name, text in TEMPLATES]
         self.known: dict[str, list[tuple]] = {}
+        self.bags = [Counter(text) for _, text, _ in self.given]
+        # one word of a short template, or two of a longer one: more than ``wording`` allows to differ cannot part them all
+        self.seeds: dict[tuple[str, ...], list[tuple[int, int]]] = defaultdict(list)
+        for t, (_, text, _) in enumerate(self.given):
+            size = 1 if len(text) < 6 else 2
+            for j in range(len(text) - size + 1):
+                self.seeds[tuple(text[j:j + size])].append((t, j))
+        self.most_extra = 2 / scan.wording - 2  # words that a stretch can have beyond the template's, as a share of these
+        self.reach = int(max(len(text) for _, text, _ in self.given) * (1 + self.most_extra)) + 1
 
     def rank(self, block: str) -> list[tuple[str, int, float, float, str]]:
         """Confirmed templates of a block, the largest reduction first, then by name."""
@@ -101,26 +125,67 @@ class Ranker:
             self.known[key] = out
         return out
 
-
-def pieces(text: str, start: int, end: int, size: int) -> Iterator[tuple[int, int]]:
-    """A block in parts of whole lines that stay under ``size`` where lines allow it."""
-    while end - start > size:
-        cut = text.rfind("\n", start + 1, start + size)
-        cut = cut if cut > 0 else text.find("\n", start + size, end)
-        if cut < 0:
-            break
-        yield start, cut
-        start = cut + 1
-    yield start, end
+    def near(self, tokens: list[str], lo: int, hi: int) -> list[tuple[int, float, int, int]]:
+        """Stretches of ``tokens[lo:hi]`` that are worded like a template: equal words, their share, start, end."""
+        starts: dict[int, set[int]] = defaultdict(set)
+        for i in range(lo, hi):
+            for size in (1, 2):
+                for t, j in self.seeds.get(tuple(tokens[i:i + size]), ()) if i + size <= hi else ():
+                    starts[t].add((i - j) // max(1, len(self.given[t][1]) // 8))
+        hits = set()
+        for t, begun in starts.items():
+            want, bag = self.given[t][1], self.bags[t]
+            step, extra = max(1, len(want) // 8), int(len(want) * self.most_extra) + 1
+            least = len(want) * self.scan.wording / (2 - self.scan.wording)  # fewer equal words cannot reach the share
+            for k in begun:
+                at = max(lo, k * step - extra)
+                have = tokens[at:max(at, min(hi, (k + 1) * step + len(want) + extra))]
+                if sum(min(c, bag[w]) for w, c in Counter(have).items() if w in bag) < least:
+                    continue
+                share, same, a, b = stretch(want, have)
+                if share >= self.scan.wording:
+                    hits.add((same, share, at + a, at + b))
+        return sorted(hits, key=lambda h: (-h[0], -h[1], h[2], h[3]))
+
+    def scan_words(self, tokens: list[str], lo: int, hi: int) -> list[tuple[int, int]]:
+        """Start and end of the stretches that confirm a template and do not overlap: most equal words first."""
+        chosen: list[tuple[int, int]] = []
+        for _, _, a, b in self.near(tokens, lo, hi):
+            at = bisect(chosen, (a, b))
+            if (at and chosen[at - 1][1] > a) or (at < len(chosen) and chosen[at][0] < b):
+                continue
+            if self.rank(" ".join(tokens[a:b])):
+                chosen.insert(at, (a, b))
+        return chosen
+
+    def find(self, text: str) -> Iterator[tuple[int, int]]:
+        """Start and end of every stretch of ``text`` that confirms a template; marks beside it up to
+        the end of its line count in."""
+        placed = [(m.start(), m.end()) for m in _PLACED.finditer(text)]
+        tokens = [text[a:b].lower() for a, b in placed]
+        regions: list[list[int]] = []
+        for m in LEGAL.finditer(text):
+            at = bisect(placed, (m.start(), len(text)))
+            lo, hi = max(0, at - 1 - self.reach), min(len(placed), at + self.reach)
+            if regions and lo <= regions[-1][1]:
+                regions[-1][1] = hi
+            else:
+                regions.append([lo, hi])
+        for region in regions:
+            for a, b in self.scan_words(tokens, *region):
+                start, end = placed[a][0], placed[b - 1][1]
+                left, right = text.rfind("\n", 0, start) + 1, text.find("\n", end)
+                right = len(text) if right < 0 else right
+                yield (start if _PLACED.search(text, left, start) else left), (end if _PLACED.search(text, end, right) else right)
 
 
 def find_licenses(docs: DataFrame, scan: Scan = Scan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``start``, ``end`` (code points), ``license``, ``rank``, ``reduction``,
-    ``wording``, ``differences``: one row for each block and template that it confirms.
+    ``wording``, ``differences``: one row for each stretch and template that it confirms.
 
-    Blocks that confirm no template, and null and empty texts, give no row. Several licenses may
-    follow one another in a block: where a block of many lines confirms nothing, each of its
-    lines is tried alone. Templates that tie in size are ranked by name; repeated rows give
+    A stretch goes from the first to the last word that it shares with the template that has the
+    most words there, over lines and paragraphs. Texts that confirm no template, and null and
+    empty texts, give no row. Templates that tie in size are ranked by name; repeated rows give
     repeated results; a missing id stays null; other columns play no part; an empty table gives
     an empty result.
     """
@@ -134,15 +199,8 @@ def find_licenses(docs: DataFrame, scan: Scan = Scan(), id_col: str = "doc_id",
             legal = pc.match_substring_regex(batch.column("text"), LEGAL.pattern, ignore_case=True)
             batch = batch.filter(pc.fill_null(legal, False))
             for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                for block in candidate_blocks(text):
-                    for start, end in pieces(text, *block, scan.piece):
-                        found = [(i, start, end, *hit) for hit in ranker.rank(text[start:end])]
-                        if not found and "\n" in text[start:end]:
-                            at = start
-                            for line in text[start:end].split("\n"):
-                                found += [(i, at, at + len(line), *hit) for hit in ranker.rank(line)]
-                                at += len(line) + 1
-                        rows += found
+                for start, end in ranker.find(text):
+                    rows += [(i, start, end, *hit) for hit in ranker.rank(text[start:end])]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 8, kinds)], names)
 
     rows = picked(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))

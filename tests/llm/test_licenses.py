@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import pytest
 
@@ -54,3 +55,19 @@ def test_odd_rows(spark, odd, none):
     got = find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((str(r.doc_id), r.license) for r in got) == [
         ("1", "mit-notice"), ("1", "mit-notice"), ("3", "all-rights-reserved"), ("3", "mit-notice"), ("None", "all-rights-reserved")]
+
+
+PROSE = "The river ran past the old mill, and nobody in the village could say when it had last been used."
+
+
+@pytest.mark.parametrize("width", [70, 75, 80])
+@pytest.mark.parametrize("mark", ["", "# "])
+@pytest.mark.parametrize("name, text", TEMPLATES)
+def test_wrapped_templates_are_found_with_their_paragraphs(name, text, mark, width):
+    """As licences are distributed: short lines, blank lines between paragraphs, other prose around."""
+    parts = re.split(r"(?<=[.:])\s+(?=THE|IN NO|This program is|See the|Unless|The above)", text)
+    inner = "\n\n".join(textwrap.fill(part, width, initial_indent=mark, subsequent_indent=mark) for part in parts)
+    page = f"{PROSE}\n\n{inner}\n\n{PROSE}"
+    (start, end), = RANKER.find(page)
+    assert page[start:end] == inner
+    assert RANKER.rank(page[start:end])[0][0] == name and RANKER.rank(page[start:end])[0][3] == 1.0
