@@ -148,7 +148,8 @@ class Ranker:
         return sorted(hits, key=lambda h: (-h[0], -h[1], h[2], h[3]))
 
     def scan_words(self, tokens: list[str], lo: int, hi: int) -> list[tuple[int, int]]:
-        """Start and end of the stretches that confirm a template and do not overlap: most equal words first."""
+        """Start and end of the stretches that confirm a template and do not overlap: most equal words
+        first, then what they leave is scanned again."""
         chosen: list[tuple[int, int]] = []
         for _, _, a, b in self.near(tokens, lo, hi):
             at = bisect(chosen, (a, b))
@@ -156,7 +157,8 @@ class Ranker:
                 continue
             if self.rank(" ".join(tokens[a:b])):
                 chosen.insert(at, (a, b))
-        return chosen
+        rests = zip([lo, *(b for _, b in chosen)], [*(a for a, _ in chosen), hi]) if chosen else ()
+        return sorted([*chosen, *(found for a, b in rests if b - a > 1 for found in self.scan_words(tokens, a, b))])
 
     def find(self, text: str) -> Iterator[tuple[int, int]]:
         """Start and end of every stretch of ``text`` that confirms a template; marks beside it up to

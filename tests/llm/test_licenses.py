@@ -71,3 +71,35 @@ def test_wrapped_templates_are_found_with_their_paragraphs(name, text, mark, wid
     (start, end), = RANKER.find(page)
     assert page[start:end] == inner
     assert RANKER.rank(page[start:end])[0][0] == name and RANKER.rank(page[start:end])[0][3] == 1.0
+
+
+def found(page):
+    return [(RANKER.rank(page[a:b])[0][0], page[a:b]) for a, b in sorted(RANKER.find(page))]
+
+
+@pytest.mark.parametrize("name, text", TEMPLATES)
+def test_templates_inside_a_line_are_found(name, text):
+    (got, part), = found(f"{PROSE} {text} {PROSE}")
+    assert got == name and words(part) == words(text)
+
+
+def test_licences_that_follow_one_another_are_all_found():
+    wrapped = {name: textwrap.fill(text, 78) for name, text in TEMPLATES}
+    names = ["mit", "bsd-2-clause", "apache-2.0", "mit-notice", "mit-notice", "gpl-3.0", "mit"]
+    for between in ("\n", " "):
+        assert [name for name, _ in found(between.join(wrapped[n] for n in names))] == names
+    notice = dict(TEMPLATES)["mit-notice"]
+    assert [name for name, _ in found(f"{notice} " * 500)] == ["mit-notice"] * 500
+
+
+def test_licences_anywhere_in_a_long_block_are_found():
+    text = textwrap.fill(dict(TEMPLATES)["mit"], 78)
+    for lines in (1040, 1090, 1110):  # around 20,000 characters
+        page = "warranty liability\n" * lines + text + "\ntrademark" * 500
+        assert ("mit", text) in found(page)
+
+
+def test_what_a_longer_licence_leaves_is_scanned_again():
+    cut = " ".join(dict(TEMPLATES)["mit"].split()[:-10])
+    assert [name for name, _ in found(f"All rights reserved. {cut} Licensed under CC BY 4.0. All rights reserved.")] == [
+        "all-rights-reserved", "mit", "cc-by-4.0-notice", "all-rights-reserved"]
