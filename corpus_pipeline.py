@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from paylens.llm.language_id import in_a_language
 from paylens.llm.near_dup import near_duplicates
 from paylens.llm.queries import token_files
-from paylens.llm.raking import sampled
+from paylens.llm.raking import Mix, sampled
 from paylens.llm.store import by_ids, stored, table
 from paylens.llm.tiling import without_leaks
 
+#: The default targets; languages without one keep their own share of the tokens.
+MIX = Mix(own=True)
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: null texts, and texts without a letter."""
@@ -30,8 +33,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are drawn so that tokens match the target shares of sources, languages and topics."""
-    return sampled(docs).filter("__mix_kept").select(*(f"`{c}`" for c in docs.columns))
+    """Documents are drawn so that tokens match the target shares of sources, languages and topics.
+    A missing language, and one without a target, has its own share of the tokens."""
+    return sampled(docs, MIX).filter("__mix_kept").select(*(f"`{c}`" for c in docs.columns))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

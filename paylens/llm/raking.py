@@ -39,8 +39,10 @@ class Mix:
     """Target shares and sampling rate.
 
     ``shares``: of the values of a margin. Values that are not named share what the named ones
-    leave, by their tokens (nothing if the named shares add up to one: such documents are never
-    drawn); named values without tokens are left out and the rest scaled to one.
+    leave, by their tokens; named values without tokens are left out and the rest scaled to one.
+    If the named shares add up to one, nothing is left: such documents are never drawn, which is
+    how the SQL check has it. With ``own``, they have their own share of the tokens then, and the
+    named ones share the rest.
     A margin that is not named here is flattened: its target is tokens to the power ``flatten``.
     ``rate``: share of all tokens to draw. ``rounds``: most rounds; fitting ends before when no
     margin is off by more than ``close`` of all tokens.
@@ -55,6 +57,7 @@ class Mix:
     rounds: int = 6
     close: float = 1e-9
     seed: str = "mix"
+    own: bool = False
 
 
 def topic_of(text: Column) -> Column:
@@ -90,6 +93,10 @@ def targets(cells: DataFrame, margin: str, mix: Mix) -> DataFrame:
         total = sums.agg(F.sum(unnamed).alias("u"))
         raw = F.coalesce(given, F.col("t") / F.col("u") * left)
         sums = sums.join(F.broadcast(total))  # one row
+        if mix.own and left < 1e-9:
+            each = sums.agg(F.sum("t").alias("all"), F.sum(F.when(given.isNotNull(), given)).alias("named"))
+            rest = 1 - F.coalesce(F.col("u"), F.lit(0)) / F.col("all")
+            sums, raw = sums.join(F.broadcast(each)), F.coalesce(given / F.col("named") * rest, F.col("t") / F.col("all"))
     sums = sums.withColumn("raw", raw)
     whole = sums.agg(F.sum("raw").alias("whole"))
     return sums.join(F.broadcast(whole)).select(margin, _share(F.col("raw"), F.col("whole")).alias("target"))
