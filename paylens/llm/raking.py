@@ -9,11 +9,14 @@ moves, and documents meet their cell's probability in a lookup join.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ from .store import stored
 MARGINS = ("source", "lang", "topic")
 NONE = "(none)"
 WORD = "[^\\x20\\x09-\\x0D]+"
+FEW = 200_000  # cells that are fitted in the driver; more are fitted where they lie, by a written table a round
+LOG = logging.getLogger(__name__)
 
 # Marks that put a document under a topic; the first topic with a mark holds.
 TOPICS: dict[str, tuple[str, ...]] = {
@@ -45,7 +50,8 @@ class Mix:
     named ones share the rest.
     A margin that is not named here is flattened: its target is tokens to the power ``flatten``.
     ``rate``: share of all tokens to draw. ``rounds``: most rounds; fitting ends before when no
-    margin is off by more than ``close`` of all tokens.
+    margin is off by more than ``close`` of all tokens. Without ``rounds`` it goes on until then,
+    at most ``most`` rounds. Margins that are still off are logged.
     """
 
     shares: Mapping[str, Mapping[str, float]] = field(default_factory=lambda: {
@@ -54,10 +60,11 @@ class Mix:
     })
     flatten: float = 0.5
     rate: float = 0.4
-    rounds: int = 6
+    rounds: int | None = 6
     close: float = 1e-9
     seed: str = "mix"
     own: bool = False
+    most: int = 10_000
 
 
 def topic_of(text: Column) -> Column:
@@ -102,24 +109,60 @@ def targets(cells: DataFrame, margin: str, mix: Mix) -> DataFrame:
     return sums.join(F.broadcast(whole)).select(margin, _share(F.col("raw"), F.col("whole")).alias("target"))
 
 
-def raked(cells: DataFrame, mix: Mix) -> DataFrame:
-    """``cells`` (margins and ``tokens``) with ``weight``: raked shares, which add up to one."""
-    cells = cells.filter("tokens > 0")
-    goals = {m: stored(targets(cells, m, mix), f"target-{m}") for m in MARGINS}
-    fitted = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(mix.rounds):
+def fit(codes: list[np.ndarray], goals: list[np.ndarray], tokens: np.ndarray, mix: Mix) -> tuple[np.ndarray, float]:
+    """Raked weights of cells, and how far the worst margin is off. ``codes`` has each cell's place in each margin's ``goals``."""
+    weight, worst = tokens / tokens.sum(), 0.0
+    for _ in range(mix.rounds or mix.most):
+        for code, goal in zip(codes, goals):
+            sums = np.bincount(code, weight, len(goal))
+            weight = weight * np.divide(goal, sums, out=np.zeros_like(goal), where=sums > 0)[code]
+        worst = max(np.abs(np.bincount(code, weight, len(goal)) - goal).max() for code, goal in zip(codes, goals))
+        if worst <= mix.close:
+            break
+    return weight, worst
+
+
+def _raked_here(cells: DataFrame, goals: dict[str, DataFrame], mix: Mix) -> tuple[DataFrame, float]:
+    """In the driver, which holds a few numbers for each cell."""
+    rows = cells.select(*MARGINS, "tokens").toArrow()
+    if not rows.num_rows:
+        return cells.withColumn("weight", F.lit(0.0)), 0.0
+    codes, wanted = [], []
+    for m in MARGINS:
+        goal = {r[m]: r["target"] for r in goals[m].collect()}
+        place = {value: k for k, value in enumerate(goal)}
+        codes.append(np.array([place[v] for v in rows.column(m).to_pylist()]))
+        wanted.append(np.array(list(goal.values()), float))
+    weight, worst = fit(codes, wanted, rows.column("tokens").to_numpy().astype(float), mix)
+    return cells.sparkSession.createDataFrame(rows.append_column("weight", pa.array(weight))), worst
+
+
+def _raked_there(cells: DataFrame, goals: dict[str, DataFrame], mix: Mix) -> tuple[DataFrame, float]:
+    """By aggregates and joins."""
+    fitted, worst = cells.withColumn("weight", F.col("tokens") / cells.agg(F.sum("tokens")).first()[0]), 0.0
+    for _ in range(mix.rounds or mix.most):
         off = []
         for margin in MARGINS:
             sums = fitted.groupBy(margin).agg(F.sum("weight").alias("_sum"))
             scale = sums.join(goals[margin], margin).select(margin, _share(F.col("target"), F.col("_sum")).alias("_scale"))
             fitted = fitted.join(scale, margin).withColumn("weight", F.col("weight") * F.col("_scale")).drop("_scale")
         fitted = stored(fitted, "raked")
-        for margin in MARGINS[:-1]:  # the last one was just met
+        for margin in MARGINS:
             sums = fitted.groupBy(margin).agg(F.sum("weight").alias("_sum")).join(goals[margin], margin)
             off.append(sums.select(F.abs(F.col("_sum") - F.col("target")).alias("off")))
-        worst = reduce(DataFrame.union, off).agg(F.max("off")).first()[0]
-        if worst is None or worst <= mix.close:
+        worst = reduce(DataFrame.union, off).agg(F.max("off")).first()[0] or 0.0
+        if worst <= mix.close:
             break
+    return fitted, worst
+
+
+def raked(cells: DataFrame, mix: Mix) -> DataFrame:
+    """``cells`` (margins and ``tokens``) with ``weight``: raked shares, which add up to one."""
+    cells = stored(cells.filter("tokens > 0"), "filled")
+    goals = {m: stored(targets(cells, m, mix), f"target-{m}") for m in MARGINS}
+    fitted, worst = (_raked_here if cells.count() <= FEW else _raked_there)(cells, goals, mix)
+    if worst > mix.close:
+        LOG.warning("mix: a margin is off by %.3g of all tokens after %d rounds", worst, mix.rounds or mix.most)
     return fitted
 
 

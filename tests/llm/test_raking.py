@@ -2,6 +2,8 @@ import duckdb
 import numpy as np
 import pytest
 
+import corpus_pipeline
+from paylens.llm import raking
 from paylens.llm.queries import QUERIES
 from paylens.llm.raking import MARGINS, Mix, described, oracle, probabilities, raked, sampled
 
@@ -62,3 +64,33 @@ def test_probabilities_cover_every_cell_with_tokens(odd):
 def test_one_value_only(spark, name):
     docs = spark.createDataFrame([(1, "a b", "en", "s"), (2, "c", "en", "s")], "doc_id long, text string, lang string, source string")
     assert sampled(docs, Mix(shares={}, rate=1.0)).filter("__mix_kept").count() == 2
+
+
+def skewed(spark):
+    """20 sources, each 95% in one language, one of them with a third of the tokens."""
+    langs, topics = ["en", "de", "fr", "es"], ["general", "legal", "technical", "contact", "noisy"]
+    cells = [(f"s{i}", lang, topic, max(1, int((100_000 if i == 0 else 10_000) * (0.95 if i % 4 == j else 0.05 / 3) / (k + 1))))
+             for i in range(20) for j, lang in enumerate(langs) for k, topic in enumerate(topics)]
+    return spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+
+
+def off(rows, goals, weight):
+    """How far the shares of the worst margin are off."""
+    whole = sum(weight(r) for r in rows)
+    return max(abs(sum(weight(r) for r in rows if r[m] == v) / whole - g) for m in MARGINS for v, g in goals[m].items())
+
+
+def test_pipeline_fits_correlated_margins_until_they_are_met(spark, caplog):
+    cells = skewed(spark)
+    goals = {m: {r[m]: r.target for r in raking.targets(cells, m, Mix()).collect()} for m in MARGINS}
+    assert off(raked(cells, corpus_pipeline.MIX).collect(), goals, lambda r: r.weight) < 1e-8 and not caplog.records
+    assert off(raked(cells, Mix()).collect(), goals, lambda r: r.weight) > 1e-3  # as many rounds as the SQL check writes out
+    assert "off by" in caplog.text
+
+
+def test_many_cells_are_fitted_like_few(spark, monkeypatch):
+    cells, mix = skewed(spark), Mix(rounds=3)
+    here = {tuple(r[m] for m in MARGINS): r.weight for r in raked(cells, mix).collect()}
+    monkeypatch.setattr(raking, "FEW", 0)
+    there = {tuple(r[m] for m in MARGINS): r.weight for r in raked(cells, mix).collect()}
+    assert here.keys() == there.keys() and all(np.isclose(here[k], there[k], rtol=1e-9) for k in here)
