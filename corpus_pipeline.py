@@ -11,8 +11,9 @@ from paylens.llm.raking import Mix, sampled
 from paylens.llm.store import by_ids, stored, table
 from paylens.llm.tiling import without_leaks
 
-#: The default targets, fitted until they are met; languages without one keep their own share of the tokens.
-MIX = Mix(own=True, rounds=None)
+#: The default targets, fitted until they are met with the tokens there are; languages without one keep their
+#: own share of the tokens.
+MIX = Mix(own=True, rounds=None, bounded=True)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

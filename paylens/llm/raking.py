@@ -52,6 +52,11 @@ class Mix:
     ``rate``: share of all tokens to draw. ``rounds``: most rounds; fitting ends before when no
     margin is off by more than ``close`` of all tokens. Without ``rounds`` it goes on until then,
     at most ``most`` rounds. Margins that are still off are logged.
+    ``bounded``: no cell is fitted beyond the tokens it has; what a scarce cell cannot give comes
+    from others of its source, language and topic, and what a scarce value cannot give from the
+    other values of its margin, by their targets. Targets that cannot be met together are moved
+    towards the shares of the tokens, as far as it takes, and logged. Otherwise such cells are cut after fitting, which
+    is how the SQL check has it.
     """
 
     shares: Mapping[str, Mapping[str, float]] = field(default_factory=lambda: {
@@ -65,6 +70,7 @@ class Mix:
     seed: str = "mix"
     own: bool = False
     most: int = 10_000
+    bounded: bool = False
 
 
 def topic_of(text: Column) -> Column:
@@ -109,17 +115,76 @@ def targets(cells: DataFrame, margin: str, mix: Mix) -> DataFrame:
     return sums.join(F.broadcast(whole)).select(margin, _share(F.col("raw"), F.col("whole")).alias("target"))
 
 
-def fit(codes: list[np.ndarray], goals: list[np.ndarray], tokens: np.ndarray, mix: Mix) -> tuple[np.ndarray, float]:
-    """Raked weights of cells, and how far the worst margin is off. ``codes`` has each cell's place in each margin's ``goals``."""
-    weight, worst = tokens / tokens.sum(), 0.0
+def _feasible(goals: list[np.ndarray], codes: list[np.ndarray], cap: np.ndarray) -> list[np.ndarray]:
+    """``goals`` that ``cap`` can meet, each margin by itself: what a value cannot give goes to the others."""
+    alive = np.all([goal[code] > 0 for code, goal in zip(codes, goals)], axis=0)
+    out = []
+    for code, goal in zip(codes, goals):
+        has = np.bincount(code, cap * alive, len(goal))
+        goal = np.minimum(goal, has)
+        while (gap := 1 - goal.sum()) > 1e-15 and (free := (goal > 0) & (goal < has)).any():
+            goal = np.minimum(has, np.where(free, goal * (1 + gap / goal[free].sum()), goal))
+        out.append(goal)
+    least = min(goal.sum() for goal in out)
+    return [goal * _ratio(least, goal.sum()) for goal in out]
+
+
+def _ratio(part, whole):
+    return np.divide(part, whole, out=np.zeros(np.shape(whole)), where=np.asarray(whole) > 0)
+
+
+def _stalled(offs: list[float]) -> bool:
+    """Whether a hundred rounds brought nothing."""
+    return len(offs) > 200 and offs[-1] > 0.98 * offs[-101]
+
+
+def _rake(codes: list[np.ndarray], goals: list[np.ndarray], weight: np.ndarray, cap: np.ndarray, mix: Mix) -> tuple[np.ndarray, float]:
+    """A step scales the cells that are not full to what the full ones leave of the target, and cuts them at ``cap``."""
+    offs: list[float] = []
     for _ in range(mix.rounds or mix.most):
         for code, goal in zip(codes, goals):
             sums = np.bincount(code, weight, len(goal))
-            weight = weight * np.divide(goal, sums, out=np.zeros_like(goal), where=sums > 0)[code]
-        worst = max(np.abs(np.bincount(code, weight, len(goal)) - goal).max() for code, goal in zip(codes, goals))
-        if worst <= mix.close:
+            full = np.bincount(code, np.where(weight >= cap, weight, 0), len(goal))
+            more = np.where(sums - full > 1e-15, _ratio(goal - full, sums - full), 1.0)
+            scale = np.where(goal <= sums, _ratio(goal, sums), more)
+            weight = np.minimum(cap, weight * scale[code])
+        offs.append(max(np.abs(np.bincount(code, weight, len(goal)) - goal).max() for code, goal in zip(codes, goals)))
+        if offs[-1] <= mix.close or (mix.bounded and _stalled(offs)):
             break
-    return weight, worst
+    return weight, offs[-1]
+
+
+def _nearest(attempt, close: float):
+    """The first of the results of ``attempt(0)`` to ``attempt(1)`` in sixteenths that is off by no more than ``close``, and the place."""
+    best, at = attempt(0.0), 0.0
+    low, high = 0, 16
+    if best[1] > close:
+        best, at = attempt(1.0), 1.0
+        while high - low > 1:
+            middle = (low + high) // 2
+            found = attempt(middle / 16)
+            if found[1] <= close:
+                best, at, high = found, middle / 16, middle
+            else:
+                low = middle
+        LOG.warning("mix: the targets cannot be met together; they are moved by %.4g of the way to the shares of the tokens", at)
+    return best
+
+
+def fit(codes: list[np.ndarray], goals: list[np.ndarray], tokens: np.ndarray, mix: Mix) -> tuple[np.ndarray, float]:
+    """Raked weights of cells, and how far the worst margin is off. ``codes`` has each cell's place in each margin's ``goals``."""
+    weight = tokens / tokens.sum()
+    if not mix.bounded:
+        return _rake(codes, goals, weight, np.full(len(tokens), np.inf), mix)
+    cap = weight / mix.rate
+    met = _feasible(goals, codes, cap)
+    short = max(np.abs(a - b).max() for a, b in zip(goals, met))
+    if short > mix.close:
+        LOG.warning("mix: the tokens there are leave a target short by %.3g of all drawn ones", short)
+    alive = np.all([goal[code] > 0 for code, goal in zip(codes, met)], axis=0)
+    held = weight * alive
+    shares = [np.bincount(code, held, len(goal)) * _ratio(goal.sum(), held.sum()) for code, goal in zip(codes, met)]
+    return _nearest(lambda t: _rake(codes, [(1 - t) * goal + t * share for goal, share in zip(met, shares)], held, cap, mix), mix.close)
 
 
 def _raked_here(cells: DataFrame, goals: dict[str, DataFrame], mix: Mix) -> tuple[DataFrame, float]:
@@ -139,25 +204,67 @@ def _raked_here(cells: DataFrame, goals: dict[str, DataFrame], mix: Mix) -> tupl
 
 def _raked_there(cells: DataFrame, goals: dict[str, DataFrame], mix: Mix) -> tuple[DataFrame, float]:
     """By aggregates and joins."""
-    fitted, worst = cells.withColumn("weight", F.col("tokens") / cells.agg(F.sum("tokens")).first()[0]), 0.0
+    weight = F.col("tokens") / cells.agg(F.sum("tokens")).first()[0]
+    begun = cells.withColumn("weight", weight).withColumn("cap", weight / mix.rate if mix.bounded else F.lit(float("inf")))
+    if not mix.bounded:
+        return _rake_there(begun, goals, mix)
+    met = _feasible_there(begun, goals)
+    for m in MARGINS:
+        begun = begun.join(met[m].filter("target > 0").select(m), m, "left_semi")
+    begun = stored(begun, "begun")
+    held = begun.agg(F.sum("weight")).first()[0] or 0.0
+    whole = met[MARGINS[0]].agg(F.sum("target")).first()[0] or 0.0
+    shares = {m: begun.groupBy(m).agg((F.sum("weight") * (whole / held if held else 0.0)).alias("share")) for m in MARGINS}
+    moved = lambda m, t: met[m].join(shares[m], m).select(m, (F.col("target") * (1 - t) + F.col("share") * t).alias("target"))
+    return _nearest(lambda t: _rake_there(begun, {m: stored(moved(m, t), f"target-{m}") for m in MARGINS}, mix), mix.close)
+
+
+def _rake_there(fitted: DataFrame, goals: dict[str, DataFrame], mix: Mix) -> tuple[DataFrame, float]:
+    """:func:`_rake` by aggregates and joins."""
+    offs: list[float] = []
+    full = F.when(F.col("weight") >= F.col("cap"), F.col("weight")).otherwise(0.0)
     for _ in range(mix.rounds or mix.most):
         off = []
         for margin in MARGINS:
-            sums = fitted.groupBy(margin).agg(F.sum("weight").alias("_sum"))
-            scale = sums.join(goals[margin], margin).select(margin, _share(F.col("target"), F.col("_sum")).alias("_scale"))
-            fitted = fitted.join(scale, margin).withColumn("weight", F.col("weight") * F.col("_scale")).drop("_scale")
+            sums = fitted.groupBy(margin).agg(F.sum("weight").alias("_sum"), F.sum(full).alias("_full"))
+            free = F.col("_sum") - F.col("_full")
+            more = F.when(free > 1e-15, (F.col("target") - F.col("_full")) / free).otherwise(1.0)
+            step = F.when(F.col("target") <= F.col("_sum"), _share(F.col("target"), F.col("_sum"))).otherwise(more)
+            scale = sums.join(goals[margin], margin).select(margin, step.alias("_scale"))
+            fitted = fitted.join(scale, margin).withColumn("weight", F.least("cap", F.col("weight") * F.col("_scale"))).drop("_scale")
         fitted = stored(fitted, "raked")
         for margin in MARGINS:
             sums = fitted.groupBy(margin).agg(F.sum("weight").alias("_sum")).join(goals[margin], margin)
             off.append(sums.select(F.abs(F.col("_sum") - F.col("target")).alias("off")))
-        worst = reduce(DataFrame.union, off).agg(F.max("off")).first()[0] or 0.0
-        if worst <= mix.close:
+        offs.append(reduce(DataFrame.union, off).agg(F.max("off")).first()[0] or 0.0)
+        if offs[-1] <= mix.close or (mix.bounded and _stalled(offs)):
             break
-    return fitted, worst
+    return fitted.drop("cap"), offs[-1]
+
+
+def _feasible_there(cells: DataFrame, goals: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """:func:`_feasible` by aggregates and joins."""
+    alive = cells
+    for m in MARGINS:
+        alive = alive.join(goals[m].filter("target > 0").select(m), m, "left_semi")
+    out, wholes = {}, {}
+    for m in MARGINS:
+        has = alive.groupBy(m).agg(F.sum("cap").alias("has"))
+        goal = stored(goals[m].join(has, m, "left").select(m, F.coalesce("has", F.lit(0.0)).alias("has"), F.least("target", F.coalesce("has", F.lit(0.0))).alias("target")), "goal")
+        free = F.when((F.col("target") > 0) & (F.col("target") < F.col("has")), F.col("target"))
+        while True:
+            whole, left = goal.agg(F.sum("target"), F.sum(free)).first()
+            if not left or 1 - whole <= 1e-15:
+                break
+            goal = stored(goal.withColumn("target", F.least("has", F.when(free.isNotNull(), F.col("target") * (1 + (1 - whole) / left)).otherwise(F.col("target")))), "goal")
+        out[m], wholes[m] = goal.drop("has"), whole or 0.0
+    least = min(wholes.values())
+    return {m: goal.withColumn("target", F.col("target") * (least / wholes[m] if wholes[m] else 0.0)) for m, goal in out.items()}
 
 
 def raked(cells: DataFrame, mix: Mix) -> DataFrame:
-    """``cells`` (margins and ``tokens``) with ``weight``: raked shares, which add up to one."""
+    """``cells`` (margins and ``tokens``) with ``weight``: raked shares, which add up to one, or under
+    a bound to less if the targets leave too few tokens."""
     cells = stored(cells.filter("tokens > 0"), "filled")
     goals = {m: stored(targets(cells, m, mix), f"target-{m}") for m in MARGINS}
     fitted, worst = (_raked_here if cells.count() <= FEW else _raked_there)(cells, goals, mix)
@@ -172,7 +279,8 @@ def probabilities(docs: DataFrame, mix: Mix) -> DataFrame:
     fitted = raked(stored(cells, "cells"), mix)
     # at most all tokens of a cell can be drawn
     total = fitted.agg(F.sum("tokens").alias("_all"), F.sum("weight").alias("_whole"))
-    wanted = _share(F.col("weight"), F.col("_whole")) * F.col("_all") * mix.rate
+    share = F.col("weight") if mix.bounded else _share(F.col("weight"), F.col("_whole"))
+    wanted = share * F.col("_all") * mix.rate
     shared = fitted.join(F.broadcast(total)).withColumn("probability", F.least(F.lit(1.0), wanted / F.col("tokens")))
     return stored(shared.select(*(F.col(m).alias(f"__mix_{m}") for m in MARGINS),
                                 F.col("probability").alias("__mix_chance")), "probabilities")

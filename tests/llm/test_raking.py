@@ -1,6 +1,9 @@
+from dataclasses import replace
+
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import Row
 
 import corpus_pipeline
 from paylens.llm import raking
@@ -74,6 +77,13 @@ def skewed(spark):
     return spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
 
 
+def scarce(spark):
+    """Plenty of each value, but one cell has less than its share."""
+    cells = [(f"s{i}", lang, topic, 40 if (i, lang) == (0, "es") else 4000)
+             for i in range(4) for lang in ("en", "de", "fr", "es") for topic in ("general", "legal", "technical", "contact", "noisy")]
+    return spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+
+
 def off(rows, goals, weight):
     """How far the shares of the worst margin are off."""
     whole = sum(weight(r) for r in rows)
@@ -83,14 +93,47 @@ def off(rows, goals, weight):
 def test_pipeline_fits_correlated_margins_until_they_are_met(spark, caplog):
     cells = skewed(spark)
     goals = {m: {r[m]: r.target for r in raking.targets(cells, m, Mix()).collect()} for m in MARGINS}
-    assert off(raked(cells, corpus_pipeline.MIX).collect(), goals, lambda r: r.weight) < 1e-8 and not caplog.records
+    assert off(raked(cells, replace(corpus_pipeline.MIX, rate=0.02)).collect(), goals, lambda r: r.weight) < 1e-8 and not caplog.records
     assert off(raked(cells, Mix()).collect(), goals, lambda r: r.weight) > 1e-3  # as many rounds as the SQL check writes out
     assert "off by" in caplog.text
 
 
-def test_many_cells_are_fitted_like_few(spark, monkeypatch):
-    cells, mix = skewed(spark), Mix(rounds=3)
+@pytest.mark.parametrize("bounded", [False, True])
+def test_many_cells_are_fitted_like_few(spark, monkeypatch, bounded):
+    cells, mix = (scarce if bounded else skewed)(spark), Mix(rounds=None if bounded else 3, close=1e-4, bounded=bounded, rate=0.13)
     here = {tuple(r[m] for m in MARGINS): r.weight for r in raked(cells, mix).collect()}
     monkeypatch.setattr(raking, "FEW", 0)
     there = {tuple(r[m] for m in MARGINS): r.weight for r in raked(cells, mix).collect()}
-    assert here.keys() == there.keys() and all(np.isclose(here[k], there[k], rtol=1e-9) for k in here)
+    assert here.keys() == there.keys() and all(np.isclose(here[k], there[k], rtol=1e-6) for k in here)
+
+
+def test_pipeline_draws_the_targets_where_cells_are_scarce(spark):
+    """The tokens that the probabilities draw meet the rate and every target."""
+    cells, mix = scarce(spark), replace(corpus_pipeline.MIX, rate=0.13)
+    goals = {m: {r[m]: r.target for r in raking.targets(cells, m, mix).collect()} for m in MARGINS}
+    docs = cells.selectExpr("source as __mix_source", "lang as __mix_lang", "topic as __mix_topic", "tokens as __mix_tokens")
+    tokens = {(r.source, r.lang, r.topic): r.tokens for r in cells.collect()}
+
+    def drawn(mix):
+        rows = probabilities(docs, mix).collect()
+        assert all(0 <= r["__mix_chance"] <= 1 for r in rows)
+        return [Row(source=k[0], lang=k[1], topic=k[2], n=r["__mix_chance"] * tokens[k]) for r in rows
+                for k in [(r["__mix_source"], r["__mix_lang"], r["__mix_topic"])]]
+
+    rows = drawn(mix)
+    assert np.isclose(sum(r.n for r in rows), 0.13 * sum(tokens.values())) and off(rows, goals, lambda r: r.n) < 1e-6
+    cut = drawn(replace(mix, bounded=False))
+    assert sum(r.n for r in cut) < 0.1299 * sum(tokens.values())
+
+
+def test_what_a_scarce_value_cannot_give_comes_from_the_others(spark):
+    langs = {"en": 9000, "de": 9000, "fr": 1000, "es": 1000}
+    docs = spark.createDataFrame([("s", k, "general", n) for k, n in langs.items()], "__mix_source string, __mix_lang string, __mix_topic string, __mix_tokens long")
+    drawn = {r["__mix_lang"]: r["__mix_chance"] * langs[r["__mix_lang"]] for r in probabilities(docs, corpus_pipeline.MIX).collect()}
+    assert drawn == pytest.approx({"en": 6000 * 5 / 7, "de": 6000 * 2 / 7, "fr": 1000, "es": 1000})
+
+
+def test_targets_that_cannot_be_met_together_drop_no_cell(spark, caplog):
+    rows = raked(skewed(spark), corpus_pipeline.MIX).collect()
+    assert "cannot be met together" in caplog.text
+    assert np.isclose(sum(r.weight for r in rows), 1) and all(r.weight > 1e-3 * r.tokens / 300_000 for r in rows)
