@@ -17,7 +17,8 @@ MIX = Mix(own=True, rounds=None, bounded=True)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts, and texts without a letter."""
+    """Documents without a language go: null texts, and texts without a letter. A missing
+    language becomes the one that the network predicts, which the later stages use."""
     return in_a_language(docs)
 
 

@@ -243,8 +243,10 @@ def identify(docs: DataFrame, net: Net = Net()) -> DataFrame:
 
 def in_a_language(docs: DataFrame, net: Net = Net()) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has a language: those that :func:`identify`
-    calls ``und`` go. If no language could be learned, nothing is rejected."""
+    calls ``und`` go, and a null ``lang`` becomes the predicted one. If no language could be
+    learned, nothing is rejected."""
     languages, weights = train(labelled_rows(docs), net)
     if not languages:
         return docs
-    return predict(docs, languages, weights, net).filter(F.col("__lang_pred") != UNKNOWN).drop("__lang_pred", "__score")
+    known = predict(docs, languages, weights, net).filter(F.col("__lang_pred") != UNKNOWN)
+    return known.withColumn("lang", F.coalesce("lang", "__lang_pred")).drop("__lang_pred", "__score")

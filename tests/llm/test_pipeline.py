@@ -2,9 +2,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from paylens.llm.language_id import held_out
 from paylens.llm.queries import QUERIES, VOCABULARY
 from paylens.llm.raking import targets
 from paylens.llm.store import stored
@@ -104,3 +106,14 @@ def test_mix_draws_languages_without_a_target(spark):
     assert goals == pytest.approx({"en": 1 / 3, "de": 2 / 15, "fr": 0.1, "es": 0.1, "it": 1 / 6, "(none)": 1 / 6})
     kept = {r.lang: r["count"] for r in corpus_pipeline.mix(spark, docs, SF).groupBy("lang").count().collect()}
     assert all(abs(kept[lang] - 400) < 80 for lang in ("it", None)) and abs(kept["en"] - 800) < 80
+
+
+def test_language_fills_what_is_missing(spark):
+    """Held-out documents without a language get the right one; given languages stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    hidden = docs.withColumn("lang", F.when(~held_out(F.col("doc_id")) | (F.length("text") < 200), F.col("lang")))
+    truth, before = ({r.doc_id: r.lang for r in df.collect()} for df in (docs, hidden))
+    after = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, hidden, SF).collect()}
+    missing = [i for i in after if before[i] is None]
+    assert missing and sum(after[i] == truth[i] for i in missing) >= 0.8 * len(missing)
+    assert all(after[i] == before[i] for i in after if before[i])
