@@ -6,7 +6,7 @@ turns the maxima into language probabilities. A text's language has the largest
 log-probabilities over all its windows, each weighted by its share of the bytes.
 
 The network is fitted on a bounded sample of labelled windows (``Net.per_language`` for each
-language, picked by a hash of the document id); every text is classified as a whole.
+language, ``Net.most`` in all, picked by a hash of the row); every text is classified as a whole.
 """
 
 from __future__ import annotations
@@ -22,20 +22,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .store import picked
-from .words import utf8
+from .words import slices, utf8
 
 UNKNOWN = "und"
 
 
 @dataclass(frozen=True)
 class Net:
-    """Window length, filter widths, filters of each width, embedding size, and how to fit."""
+    """Window length, filter widths, filters of each width, embedding size, how much to learn from, and how to fit."""
 
     window: int = 256
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 16
     dim: int = 8
     per_language: int = 800
+    languages: int = 1000
+    most: int = 100_000
     epochs: int = 6
     batch: int = 64
     rate: float = 0.015
@@ -151,26 +153,24 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample_windows(docs: DataFrame, net: Net) -> list[tuple[str, bytes]]:
-    """At most ``per_language`` labelled windows of each language, one from each picked document."""
+    """Labelled windows, one of a picked row: at most ``per_language`` of each language and ``most`` in all, of
+    the ``languages`` with the most labelled rows. Rows are picked, not ids, and their windows
+    are cut before they are ranked, so that repeated ids bring no more than that."""
     labelled = docs.filter("id is not null and text is not null and lang is not null and not held")
-    rows = labelled.select("id", "lang", F.xxhash64("id", F.lit(net.seed)).alias("draw"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("size")).orderBy(F.desc("size"), "lang").limit(net.languages).collect()
+    if not sizes:
+        return []
+    per = max(1, min(net.per_language, net.most // len(sizes)))
+    known = docs.sparkSession.createDataFrame([(r.lang, r["size"]) for r in sizes], "lang string, size long")
+    rows = labelled.select("lang", "text", F.xxhash64("id", "text", F.lit(net.seed)).alias("draw")).join(F.broadcast(known), "lang")
     share = (F.col("draw") / F.lit(2.0**64) + 0.5) * F.col("size")
-    some = rows.join(F.broadcast(sizes), "lang").filter(share <= 2 * net.per_language + 10)  # so that a window sees few rows
-    first = Window.partitionBy("lang").orderBy("draw", "id")
-    some = some.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= net.per_language)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, draw in zip(utf8(pc.utf8_lower(batch.column("text"))), batch.column("draw").to_pylist()):
-                at = draw % max(1, len(text) - net.window + 1)
-                out.append(bytes(text[at:at + net.window]))
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(out, pa.binary())], ["lang", "part"])
-
-    wanted = F.broadcast(some.select("id", "lang", "draw").distinct())  # bounded by per_language
-    cut_rows = labelled.join(wanted, ["id", "lang"]).select("lang", "text", "draw").mapInArrow(cut, "lang string, part binary")
-    return sorted((r.lang, bytes(r.part)) for r in cut_rows.collect())
+    lower = F.encode(F.lower("text"), "UTF-8")
+    at = F.pmod(F.col("draw"), F.greatest(F.lit(1), F.octet_length(lower) - (net.window - 1)))
+    part = F.substring(lower, at.cast("int") + 1, F.lit(net.window))
+    some = rows.filter(share <= 2 * per + 10).select("lang", "draw", part.alias("part"))  # so that a window sees few rows
+    first = Window.partitionBy("lang").orderBy("draw", "part")
+    some = some.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= per)
+    return sorted((r.lang, bytes(r.part)) for r in some.select("lang", "part").collect())
 
 
 def labelled_rows(docs: DataFrame) -> DataFrame:
@@ -208,16 +208,13 @@ def predict(docs: DataFrame, languages: list[str], weights: Weights, net: Net, t
     """``docs`` with ``__lang_pred`` and ``__score``; rows stay where they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 64):
             text = batch.column(batch.schema.get_field_index(text_col))
             letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             names, scores = np.full(len(batch), UNKNOWN, object), np.zeros(len(batch))
             if languages:
-                lower = pc.utf8_lower(text)
-                for at in range(0, len(batch), 64):
-                    likely = classify(list(utf8(lower.slice(at, 64))), weights, net)
-                    names[at:at + 64] = np.array(languages, object)[likely.argmax(axis=1)]
-                    scores[at:at + 64] = likely.max(axis=1)
+                likely = classify(list(utf8(pc.utf8_lower(text))), weights, net)
+                names, scores = np.array(languages, object)[likely.argmax(axis=1)], likely.max(axis=1)
             names[~letters], scores[~letters] = UNKNOWN, 0.0
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores)], [*batch.schema.names, "__lang_pred", "__score"])

@@ -48,21 +48,6 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def candidate_blocks(text: str) -> Iterator[tuple[int, int]]:
-    """Start and end of every run of neighbouring lines that have a legal word; blank lines end a run."""
-    start = end = None
-    at = 0
-    for line in text.split("\n"):
-        if LEGAL.search(line):
-            start, end = (at if start is None else start), at + len(line)
-        elif start is not None:
-            yield start, end
-            start = None
-        at += len(line) + 1
-    if start is not None:
-        yield start, end
-
-
 def differences(have: list[str], want: list[str]) -> tuple[float, str]:
     """Share of equal words, and every change from the template's wording to the block's."""
     match = difflib.SequenceMatcher(None, want, have, autojunk=False)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import by_ids, picked, stored
-from .words import shingle_set, utf8
+from .words import shingle_set, slices, utf8
 
 
 @dataclass(frozen=True)
@@ -69,7 +69,7 @@ def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
         random = np.random.default_rng(rule.seed)
         a = random.integers(0, 2**63, rule.hashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         b = random.integers(0, 2**63, rule.hashes, dtype=np.uint64)
-        for batch in batches:
+        for batch in slices(batches):
             n, keys, sigs = [], [], []
             for text in utf8(batch.column("text")):
                 found = shingle_set(text, rule.words)
@@ -100,7 +100,7 @@ def alike(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     both = pairs.join(right, "b").join(left, "a").filter(near).select("a", "b", "sa", "sb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             same = (_minima(batch.column("sa"), rule) == _minima(batch.column("sb"), rule)).sum(axis=1)
             yield batch.select(["a", "b"]).filter(pa.array(same >= rule.agreements))
 
@@ -116,12 +116,10 @@ def common_shingles(nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """``id``, ``c``: how many shingles of a node occur in another node of these too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(text, rule.words) for text in utf8(batch.column("text"))]
             ids = np.repeat(batch.column("id").to_numpy(), [len(s) for s in sets])
-            every = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            for at in range(0, len(ids), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at:at + (1 << 16)]), pa.array(every[at:at + (1 << 16)])], ["id", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], ["id", "x"])
 
     rows = by_ids(docs, nodes, "id", "left_semi").mapInArrow(run, "id long, x long")
     alone = rows.groupBy("x").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).filter("k = 1")
@@ -143,7 +141,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
     """``id``, ``set_key``, ``members``: the shingle sets of the rows with one of the ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(text, rule.words).tobytes() for text in utf8(batch.column("text"))]
             keys = [blake2b(x, digest_size=16).digest() for x in sets]
             yield pa.RecordBatch.from_arrays(
@@ -156,7 +154,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs ``a``, ``b`` whose full shingle sets are similar enough; a written table."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             good = []
             for x, y in zip(batch.column("x"), batch.column("y")):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
@@ -231,15 +229,15 @@ def _column(batch: pa.RecordBatch, name: str, rule: Rule) -> np.ndarray:
     if name == "members":
         out = np.empty(len(column), object)
         for k, value in enumerate(column):
-            out[k] = np.frombuffer(value.as_buffer(), np.uint64)
+            out[k] = np.frombuffer(value.as_py(), np.uint64)  # a copy, so that no batch is kept alive
         return out
     return column.to_numpy(zero_copy_only=False)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], by: list[str], rule: Rule) -> Iterator[dict[str, np.ndarray]]:
-    """Rows that agree on ``by``, together, from sorted batches."""
+    """Rows that agree on ``by``, together, from sorted batches; one such group and one slice are held at a time."""
     held: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in slices(batches):
         new = {c: _column(batch, c, rule) for c in batch.schema.names}
         held = {c: np.concatenate([held[c], v]) for c, v in new.items()} if held else new
         ends = np.flatnonzero(np.any([held[c][1:] != held[c][:-1] for c in by], axis=0)) + 1
@@ -272,7 +270,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     labels = components(labels.unionByName(strays(shared, labels, nodes, docs, rule)))
     named = nodes.select("set_key", "id").join(labels.withColumnRenamed("a", "id"), "id", "left")
     named = named.select("set_key", F.coalesce("b", "id").alias("component"))
-    linked = rows.join(named, "set_key", "left")
+    # rows with an empty set stay where they are: a join would bring them all into one task
+    linked = rows.filter("n > 0").join(named, "set_key", "left").unionByName(rows.filter("n = 0"), allowMissingColumns=True)
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return linked.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),

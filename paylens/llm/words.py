@@ -34,7 +34,7 @@ def powers(base: int, n: int) -> np.ndarray:
         while filled < size:
             have[filled:2 * filled] = have[:filled] * np.uint64(pow(base, filled, 2**64))
             filled *= 2
-        if size <= 1 << 24:
+        if size <= 1 << 20:  # longer tables are made anew
             _powers[base] = have
     return have[:n]
 
@@ -46,6 +46,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, so that what is made of a slice stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
     """Each value as a view of its UTF-8 bytes; a null is empty."""
     for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:

@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from paylens.llm.language_id import Net, classify, fit, gradients, identify, in_a_language, log_probabilities, forward, windows
+from paylens.llm.language_id import Net, classify, fit, gradients, identify, in_a_language, labelled_rows, log_probabilities, forward, sample_windows, windows
 
 SMALL = Net(window=16, filters=3, dim=2, epochs=1, batch=8)
 
@@ -77,3 +77,14 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "text", None), (4, None, "en")], "doc_id long, text string, lang string")
     assert {(r.lang_pred, r.score) for r in identify(docs).collect()} == {("und", 0.0)}
     assert in_a_language(docs).count() == 2
+
+
+def test_the_sample_is_bounded_where_ids_repeat_and_languages_are_many(spark):
+    """20 ids of 1,500 rows each, and 500 languages of 10 rows each."""
+    hot = spark.range(30_000).selectExpr("id % 20 as doc_id", "concat('text number ', id) as text", "'aa' as lang")
+    many = spark.range(5_000).selectExpr("1000 + id as doc_id", "concat('other text ', id) as text", "concat('b', id % 500) as lang")
+    rows = labelled_rows(hot.unionByName(many))
+    found = [lang for lang, _ in sample_windows(rows, Net(per_language=100))]
+    assert found.count("aa") == 100 and len(set(found)) == 501 and max(map(found.count, set(found))) <= 100
+    few = sample_windows(rows, Net(per_language=100, languages=50, most=200))
+    assert len({lang for lang, _ in few}) == 50 and "aa" in {lang for lang, _ in few} and len(few) <= 200

@@ -115,3 +115,18 @@ def test_components_of_random_graphs(spark, seed):
     got = components(spark.createDataFrame([*edges, (None, 1)], "a long, b long")).collect()
     truth = plain_components({n for e in edges for n in e}, edges)
     assert {r.a: r.b for r in got} == {n: c for n, c in truth.items() if n != c}
+
+
+def test_half_of_the_texts_empty_and_one_id_on_a_tenth_of_the_rows(spark):
+    text = "concat('alpha beta gamma ', id % 7, ' delta epsilon zeta ', id % 7, ' eta theta ', id % 7)"
+    docs = spark.range(2_000).selectExpr("if(id % 10 = 1, 5L, id) as doc_id", f"case id % 4 when 0 then null when 2 then ' ' else {text} end as text")
+    rows = near_duplicates(docs, Rule(words=2)).collect()
+    assert len(rows) == 2_000 and sum(r.n_shingles == 0 for r in rows) == 1_000
+    assert all(r.kept and r.component_id == r.doc_id for r in rows if not r.n_shingles)
+    filled = docs.filter("trim(text) != ''").collect()
+    smallest, want = {}, {}
+    for r in filled:
+        smallest[r.text] = min(r.doc_id, smallest.get(r.text, r.doc_id))
+    for r in filled:
+        want.setdefault(r.doc_id, set()).add(smallest[r.text])
+    assert all(r.component_id in want[r.doc_id] for r in rows if r.n_shingles)
