@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import raking, warc
+from . import bag_search, raking, warc
+from .alignment import token_links
 from .html_blocks import extract
 from .language_id import identify
 from .licenses import find_licenses
@@ -74,6 +75,15 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Rule(words=2))
 
 
+def op12_lockstep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_links(table(spark, sf_dir, "documents"), *paths)
+
+
+def op13_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_crf": op1_pii_crf,
     "op2_string_tiling": op2_string_tiling,
@@ -85,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_compression": op8_license_compression,
     "op9_byte_cnn": op9_byte_cnn,
     "op10_minhash": op10_minhash,
+    "op12_lockstep": op12_lockstep,
+    "op13_bag_search": op13_bag_search,
 }
 
-ORACLES: dict[str, str] = {"op7_raking": raking.oracle()}
+ORACLES: dict[str, str] = {"op7_raking": raking.oracle(), "op13_bag_search": bag_search.oracle()}

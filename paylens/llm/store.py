@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,3 +32,14 @@ def by_ids(df: DataFrame, ids: DataFrame, column: str, how: str, limit: int = 1_
     counted first; beyond that they are shuffled."""
     ids = stored(ids.select(F.col("id").alias("__id")).distinct(), "ids")
     return df.join(F.broadcast(ids) if ids.count() <= limit else ids, F.col(f"`{column}`") == F.col("__id"), how)
+
+
+ARROW_ROWS = 1000  # texts are long: batches of Spark's default size take tens of MB on either side of every task
+
+
+def mapped(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of at most :data:`ARROW_ROWS` rows, a setting that the session keeps."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= ARROW_ROWS:
+        conf.set(name, ARROW_ROWS)
+    return df.mapInArrow(run, schema)
