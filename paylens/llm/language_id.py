@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import picked
+from .store import mapped, picked
 from .words import slices, utf8
 
 UNKNOWN = "und"
@@ -220,7 +220,7 @@ def predict(docs: DataFrame, languages: list[str], weights: Weights, net: Net, t
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores)], [*batch.schema.names, "__lang_pred", "__score"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("__lang_pred", T.StringType()), T.StructField("__score", T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)
 
 
 def identify(docs: DataFrame, net: Net = Net()) -> DataFrame:

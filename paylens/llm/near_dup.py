@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import by_ids, picked, stored
+from .store import by_ids, mapped, picked, stored
 from .words import shingle_set, slices, utf8
 
 
@@ -80,7 +80,7 @@ def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
                 [batch.column("id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
                 ["id", "n", "set_key", "sig"])
 
-    return docs.mapInArrow(run, "id long, n long, set_key binary, sig binary")
+    return mapped(docs, run, "id long, n long, set_key binary, sig binary")
 
 
 def buckets(nodes: DataFrame, rule: Rule) -> DataFrame:
@@ -104,7 +104,7 @@ def alike(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
             same = (_minima(batch.column("sa"), rule) == _minima(batch.column("sb"), rule)).sum(axis=1)
             yield batch.select(["a", "b"]).filter(pa.array(same >= rule.agreements))
 
-    return both.mapInArrow(run, "a long, b long")
+    return mapped(both, run, "a long, b long")
 
 
 def _minima(column: pa.Array, rule: Rule) -> np.ndarray:
@@ -121,7 +121,7 @@ def common_shingles(nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
             ids = np.repeat(batch.column("id").to_numpy(), [len(s) for s in sets])
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], ["id", "x"])
 
-    rows = by_ids(docs, nodes, "id", "left_semi").mapInArrow(run, "id long, x long")
+    rows = mapped(by_ids(docs, nodes, "id", "left_semi"), run, "id long, x long")
     alone = rows.groupBy("x").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).filter("k = 1")
     alone = alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
     sizes = nodes.groupBy("id").agg(F.sum("n").alias("n"))
@@ -147,7 +147,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["id", "set_key", "members"])
 
-    return by_ids(docs, ids, "id", "left_semi").mapInArrow(run, "id long, set_key binary, members binary")
+    return mapped(by_ids(docs, ids, "id", "left_semi"), run, "id long, set_key binary, members binary")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
@@ -166,7 +166,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     sets = stored(full_sets(docs, wanted, rule), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("y"))
-    links = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(link, "a long, b long")
+    links = mapped(pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y"), link, "a long, b long")
     return stored(links, "links")
 
 
@@ -219,7 +219,7 @@ def strays(shared: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
     blocked = few.unionByName(many).join(known, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return stored(blocked.mapInArrow(run, "a long, b long"), "links")
+    return stored(mapped(blocked, run, "a long, b long"), "links")
 
 
 def _column(batch: pa.RecordBatch, name: str, rule: Rule) -> np.ndarray:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import picked
+from .store import mapped, picked
 from .words import NOT_LETTERS, rolling, utf8, word_hashes
 
 SCHEMA = "doc_id long, item_id long, covered long, n_words long, coverage double, longest long, tiles string"
@@ -148,7 +148,7 @@ def _against(docs: DataFrame, items: Items, rule: Tiling) -> DataFrame:
             rows = [(name, *row) for name, text in zip(batch.column("id").to_pylist(), texts) for row in leaks(text, items, rule)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 7, kinds)], names)
 
-    return docs.mapInArrow(run, SCHEMA)
+    return mapped(docs, run, SCHEMA)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, rule: Tiling = Tiling(),
@@ -187,5 +187,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, rule: Tiling = Tiling()
                 texts = pc.utf8_lower(batch.column(batch.schema.get_field_index(text_col)))
                 yield batch.filter(pa.array([not leaks(text, items, rule) for text in utf8(texts)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = mapped(docs, run, docs.schema)
     return docs

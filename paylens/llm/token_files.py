@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import rans
-from .store import picked, stored
+from .store import mapped, picked, stored
 from .tokens import encoder
 
 BLOCK = 1 << 18  # a block is closed once it has so many ids
@@ -33,7 +33,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
             ids = [coder.encode(text) + end if text else end for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.large_binary()).cast(pa.binary())], ["id", "ids"])
 
-    return docs.mapInArrow(run, "id long, ids binary")
+    return mapped(docs, run, "id long, ids binary")
 
 
 def blocked(rows: DataFrame, width: int) -> DataFrame:
@@ -64,7 +64,7 @@ def blocked(rows: DataFrame, width: int) -> DataFrame:
         if names:
             yield close()
 
-    return rows.mapInArrow(run, _ROWS)
+    return mapped(rows, run, _ROWS)
 
 
 def counted(blocks: DataFrame, width: int) -> DataFrame:
@@ -82,7 +82,7 @@ def counted(blocks: DataFrame, width: int) -> DataFrame:
         if len(seen):
             yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["symbol", "count"])
 
-    return blocks.select("ids").mapInArrow(run, "symbol long, count long").groupBy("symbol").agg(F.sum("count").alias("count"))
+    return mapped(blocks.select("ids"), run, "symbol long, count long").groupBy("symbol").agg(F.sum("count").alias("count"))
 
 
 def coded(blocks: DataFrame, counts: np.ndarray, starts: dict[int, int], width: int) -> DataFrame:
@@ -100,7 +100,7 @@ def coded(blocks: DataFrame, counts: np.ndarray, starts: dict[int, int], width:
                      rows.column("sizes"), pa.array(rans.encode_all(ids, table), pa.binary())],
                     ["start", "n", "doc_ids", "known", "sizes", "block"])
 
-    return blocks.mapInArrow(run, "start long, n long, doc_ids binary, known binary, sizes binary, block binary")
+    return mapped(blocks, run, "start long, n long, doc_ids binary, known binary, sizes binary, block binary")
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -150,4 +150,4 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                      pa.array([ids[4 * a:4 * b] for a, b in zip(ends - size, ends)], pa.binary())],
                     ["doc_id", "start", "n_tokens", "ids"])
 
-    return spark.read.parquet(f"{path}/blocks").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return mapped(spark.read.parquet(f"{path}/blocks"), run, "doc_id long, start long, n_tokens long, ids binary")
