@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import bag_search, raking, warc
+from . import bag_search, raking, url_filter, warc
 from .alignment import token_links
 from .html_blocks import extract
 from .language_id import identify
@@ -75,9 +75,15 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Rule(words=2))
 
 
+def op11_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judged(table(spark, sf_dir, "pages"), model)
+
+
 def op12_lockstep(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-    return token_links(table(spark, sf_dir, "documents"), *paths)
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return token_links(table(spark, sf_dir, "documents"), *paths, ranks=ranks)
 
 
 def op13_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_compression": op8_license_compression,
     "op9_byte_cnn": op9_byte_cnn,
     "op10_minhash": op10_minhash,
+    "op11_url_trees": op11_url_trees,
     "op12_lockstep": op12_lockstep,
     "op13_bag_search": op13_bag_search,
 }
