@@ -11,14 +11,16 @@ against these counts.
 
 from __future__ import annotations
 
+import base64
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,31 +31,27 @@ from .store import mapped, picked, stored
 SCHEMA = ("row long, id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
           "pairs array<long>, times array<long>")
 _PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*\Z")
-_ROUGH = re.compile(r"\s |\s\Z")  # white space before a blank or at the end
-_UNIT = re.compile(r"\s*\S+(?:[^\S ]\s*\S+)*(?:[^\S ]\s*\Z)?|\s+")  # up to a blank that follows no white space
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
 
 @dataclass(frozen=True)
 class Align:
-    """Bytes of text that are merged at once, tokens of a lane, units that a worker remembers, pairs that are broadcast."""
+    """Bytes of text that are merged at once, tokens of a lane, pairs that are broadcast."""
 
-    batch_bytes: int = 4 << 20
-    lane: int = 4096
-    memo: int = 300_000
+    batch_bytes: int = 1 << 20
+    lane: int = 512
     few: int = 1_000_000
 
 
 class Pair:
-    """The two tokenizers, the bytes of each of their tokens, and a memo of the units of texts.
+    """The two tokenizers and the bytes of each of their tokens.
 
-    A unit runs from a blank to the last character before the next blank that follows no white
-    space. The first tokenizer cuts texts there before it merges anything, and no piece of the second
-    one goes on over such a place (checked when it is loaded), so the ids of a text of plain Latin letters, digits and
-    marks are those of its units, one after the other. Any other text goes through both as a whole.
+    ``ranks`` is the first tokenizer's vocabulary as ranks, with the pattern that it cuts texts by. Texts of plain Latin letters, digits and
+    marks go through these, which gives the same ids several times faster; any other text goes through the tokenizer itself. That
+    the ranks are the tokenizer's own tokens is checked when they are loaded, and equal ids by the tests.
     """
 
-    def __init__(self, a_path: str, b_path: str, memo: int):
+    def __init__(self, a_path: str, b_path: str, ranks: tuple[str, str] | None = None):
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True  # their strings are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
@@ -62,67 +60,36 @@ class Pair:
         back = {c: b for b, c in shown.items()}
         names = [self.a.id_to_token(k) or "" for k in range(self.a.get_vocab_size(with_added_tokens=True))]
         self.a_bytes = [bytes(back[c] for c in name) if all(c in back for c in name) else name.encode() for name in names]
-        pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(m[1], 16)]) if (m := _BYTE.match(p)) else p.replace("▁", " ").encode() for p in pieces]
+        parts = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
+        self.b_bytes = [bytes([int(m[1], 16)]) if (m := _BYTE.match(p)) else p.replace("▁", " ").encode() for p in parts]
         self.a_size, self.b_size = (np.array([len(x) for x in y], np.int32) for y in (self.a_bytes, self.b_bytes))
-        self.short = not any(re.search("[^▁]▁", p) for p in pieces)
-        self.limit = memo
-        self.known: tuple[dict[str, bytes | None], dict[str, bytes | None]] = ({}, {})
-
-    def _joined(self, ids: Sequence[int], table: list[bytes]) -> bytes:
-        return b"".join(map(table.__getitem__, ids))
-
-    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
-        want = (" " + text).encode()
-        if self._joined(a, self.a_bytes) != want or self._joined(b, self.b_bytes) != want:
-            return None
-        return np.array(a, np.int32), np.array(b, np.int32)
-
-    def _learn(self, words: list[str]) -> None:
-        """The ids of new units; None for one whose bytes differ, so that its text is taken as a whole."""
-        if len(self.known[0]) + len(words) > self.limit:
-            for memo in self.known:
-                memo.clear()
-        found = self.a.encode_batch([" " + w for w in words], add_special_tokens=False)
-        for w, a, b in zip(words, (e.ids for e in found), self.b.encode(words)):
-            want = (" " + w).encode()
-            same = self._joined(a, self.a_bytes) == want and self._joined(b, self.b_bytes) == want
-            self.known[0][w] = np.array(a, np.int32).tobytes() if same else None
-            self.known[1][w] = np.array(b, np.int32).tobytes() if same else None
+        self.apart = not any(re.search("[^▁]▁", p) for p in parts)  # no piece goes on over a blank
+        self.fast = None
+        if ranks:
+            path, pattern = ranks
+            with open(path, "rb") as lines:
+                found = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            if any(self.a_bytes[rank] != token for token, rank in found.items()):
+                raise ValueError(f"{path} has other tokens than {a_path}")
+            self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=found, special_tokens={})
 
     def plain(self, text: str) -> bool:
-        return self.short and bool(_PLAIN.match(text))
+        return bool(_PLAIN.match(text))
 
-    def units(self, text: str) -> list[str] | None:
-        """The units of a text without their first blank; None if it has to be taken as a whole."""
-        if not self.plain(text):
-            return None
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids by both; None where their bytes are not those of a blank and the text."""
         full = " " + text
-        return [u[1:] for u in _UNIT.findall(full)] if _ROUGH.search(full) else text.split(" ")
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of each text by both; None where their bytes are not those of a blank and the text."""
-        units = [self.units(t) for t in texts]
-        words = set().union(*(u for u in units if u is not None))
-        new = [w for w in words if w not in self.known[0]]
-        if len(self.known[0]) + len(new) > self.limit:
-            new = list(words)  # the memo starts anew
-        if new:
-            self._learn(new)
-        out = []
-        for text, unit in zip(texts, units):
-            try:
-                out.append(self._whole(text) if unit is None else tuple(
-                    np.frombuffer(b"".join(map(memo.__getitem__, unit)), np.int32) for memo in self.known))
-            except TypeError:  # a unit whose bytes differ
-                out.append(self._whole(text))
-        return out
+        a = self.fast.encode_ordinary(full) if self.fast and self.plain(text) else self.a.encode(full, add_special_tokens=False).ids
+        b, want = self.b.encode(text), full.encode()
+        if b"".join(map(self.a_bytes.__getitem__, a)) != want or b"".join(map(self.b_bytes.__getitem__, b)) != want:
+            return None
+        return np.array(a, np.int32), np.array(b, np.int32)
 
 
 def pieces(text: str, size: int) -> Iterator[str]:
     """A long plain text in parts of about ``size`` characters, which both tokenizers treat by themselves: a
-    part begins behind a blank that follows no white space and does not hold that blank."""
+    part begins behind a blank that follows no white space and does not hold that blank. The first tokenizer cuts texts
+    before such a blank, and no piece of the second one goes on over it."""
     at = 0
     while len(text) - at > size:
         cut = re.compile(r"(?<=\S) ").search(text, at + size)
@@ -216,7 +183,7 @@ def align(parts: list[tuple[np.ndarray, np.ndarray]], pair: Pair, shown: np.ndar
         yield pairs[of[k]:of[k + 1]], text[:-1]
 
 
-def aligned(docs: DataFrame, a_path: str, b_path: str, rule: Align) -> DataFrame:
+def aligned(docs: DataFrame, a_path: str, b_path: str, rule: Align, ranks: tuple[str, str] | None) -> DataFrame:
     """The columns of :data:`SCHEMA`: one row for each row of ``id``, ``text``, with a number of its own."""
 
     def batched(rows: Iterator[tuple[int | None, str]]) -> Iterator[list]:
@@ -231,17 +198,17 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, rule: Align) -> DataFrame
             yield held
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(a_path, b_path, rule.memo)
+        pair = Pair(a_path, b_path, ranks)
         shown = shown_ids(max(len(pair.a_bytes), len(pair.b_bytes)))
         number = TaskContext.get().partitionId() << 33
         rows = ((i, t or "") for batch in batches for i, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()))
         for held in batched(rows):
             found = [Found() for _ in held]
             # a part at a time of a text that fills a batch by itself
-            one = len(held) == 1 and len(held[0][1]) > rule.batch_bytes and pair.plain(held[0][1])
+            one = len(held) == 1 and len(held[0][1]) > rule.batch_bytes and pair.apart and pair.plain(held[0][1])
             todo = [[(0, p)] for p in pieces(held[0][1], rule.batch_bytes)] if one else [[(k, t) for k, (_, t) in enumerate(held) if t]]
             for some in todo:
-                coded = [(k, c) for (k, _), c in zip(some, pair.encode([t for _, t in some])) if c is not None]
+                coded = [(k, c) for k, t in some if (c := pair.encode(t)) is not None]
                 if one and not coded:  # other bytes in a part are other bytes in the text
                     found = [Found()]
                     break
@@ -284,7 +251,7 @@ def with_counts(links: DataFrame, known: DataFrame, few: int) -> DataFrame:
     return links.join(F.broadcast(common), "pair").unionByName(left.join(rare, "pair"))
 
 
-def token_links(docs: DataFrame, a_path: str, b_path: str, rule: Align = Align(),
+def token_links(docs: DataFrame, a_path: str, b_path: str, rule: Align = Align(), ranks: tuple[str, str] | None = None,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum``, ``groups_sha256``: one row for each row of ``docs``.
 
@@ -296,7 +263,7 @@ def token_links(docs: DataFrame, a_path: str, b_path: str, rule: Align = Align()
     empty table gives an empty result.
     """
     docs = picked(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
-    rows = stored(aligned(docs, a_path, b_path, rule), "aligned")
+    rows = stored(aligned(docs, a_path, b_path, rule, ranks), "aligned")
     links = rows.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("x")).select("row", F.col("x.pairs").alias("pair"), F.col("x.times").alias("times"))
     known = stored(pair_counts(links), "pair-counts")
     sums = with_counts(links, known, rule.few).groupBy("row").agg(

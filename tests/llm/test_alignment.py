@@ -16,7 +16,8 @@ from paylens.llm.alignment import Align, Pair, lanes, merge, token_links
 from paylens.llm.queries import QUERIES
 
 A, B = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-PAIR = Pair(A, B, 1000)
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+PAIR = Pair(A, B, RANKS)
 ONE, TWO = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
 ONE.encode_special_tokens = True
 FIELDS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
@@ -86,7 +87,7 @@ def test_odd_texts(spark):
     docs = [(k, t) for k, t in enumerate(ODD)] + [(None, "one"), (1, "one"), (1, "one"), (99, None)]
     make = spark.createDataFrame(docs, "doc_id long, text string")
     assert rows(token_links(make, A, B)) == plain(docs)
-    assert rows(token_links(make, A, B, Align(batch_bytes=20, lane=3, memo=4))) == plain(docs)
+    assert rows(token_links(make, A, B, Align(batch_bytes=20, lane=3), RANKS)) == plain(docs)
 
 
 def test_odd_rows(odd, none):
@@ -105,14 +106,30 @@ def test_pairs_beyond_the_broadcast_are_joined(spark, given):
     assert rows(token_links(docs, A, B, Align(few=50))) == rows(token_links(docs, A, B)) == rows(token_links(docs, A, B, Align(few=0)))
 
 
-@settings(max_examples=200, deadline=None)
-@cases(st.text(alphabet=st.sampled_from("aB é\n\t'.1<s>\r-ß\xa0▁日 "), max_size=40))
-def test_units_give_the_ids_of_whole_texts(text):
+@settings(max_examples=300, deadline=None)
+@cases(st.one_of(st.text(alphabet=st.sampled_from("aBé\n\t'.1<s>\r-ß§°²½ªµ×÷ "), max_size=40), st.text(max_size=20),
+                 st.lists(st.sampled_from(["I'll", "don't", " 'S", "12x", "naïve", "\r\n", "   ", "<|endoftext|>", "ÀÖ", "--", "the"])).map("".join)))
+def test_ranks_give_the_tokenizer_s_ids(text):
     if text:
-        got = PAIR.encode([text])[0]
-        want = PAIR._whole(text)
-        assert (got is None) == (want is None)
-        assert got is None or all(x.tolist() == y.tolist() for x, y in zip(got, want))
+        got = PAIR.encode(text)
+        assert (got is None) == (groups(text) == [])
+        if got is not None:
+            assert got[0].tolist() == ONE.encode(" " + text, add_special_tokens=False).ids and got[1].tolist() == TWO.encode(text)
+
+
+def test_ranks_of_another_vocabulary_are_refused():
+    with pytest.raises(ValueError, match="other tokens"):
+        Pair(A, B, (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
+@settings(max_examples=100, deadline=None)
+@cases(st.text(alphabet="ab \n\t.", max_size=60), st.integers(1, 9))
+def test_parts_have_the_ids_of_the_whole_text(text, size):
+    """Each part with its own blank in front."""
+    parts = [PAIR.encode(p) for p in alignment.pieces(text, size)] if text else []
+    if text and all(p is not None for p in parts):
+        want = PAIR.encode(text)
+        assert [x for p in parts for x in p[0].tolist()] == want[0].tolist() and [x for p in parts for x in p[1].tolist()] == want[1].tolist()
 
 
 @settings(max_examples=100, deadline=None)
