@@ -43,20 +43,16 @@ OTHER = "general"
 class Mix:
     """Target shares and sampling rate.
 
-    ``shares``: of the values of a margin. Values that are not named share what the named ones
-    leave, by their tokens; named values without tokens are left out and the rest scaled to one.
-    If the named shares add up to one, nothing is left: such documents are never drawn, which is
-    how the SQL check has it. With ``own``, they have their own share of the tokens then, and the
-    named ones share the rest.
-    A margin that is not named here is flattened: its target is tokens to the power ``flatten``.
-    ``rate``: share of all tokens to draw. ``rounds``: most rounds; fitting ends before when no
-    margin is off by more than ``close`` of all tokens. Without ``rounds`` it goes on until then,
-    at most ``most`` rounds. Margins that are still off are logged.
+    ``shares``: of the values of a margin. Values that are not named, and missing ones, share what the named
+    ones leave, by their tokens; if the named shares add up to one, they have their own share of the tokens and the
+    named ones share the rest (without ``own`` they are never drawn then). Named values without tokens are left out and
+    the rest scaled to one. A margin that is not named here is flattened: its target is tokens to the power ``flatten``.
+    ``rate``: share of all tokens to draw. Fitting goes on until no margin is off by more than ``close`` of all drawn tokens, at
+    most ``rounds``, or ``most`` rounds. Margins that are still off are logged.
     ``bounded``: no cell is fitted beyond the tokens it has; what a scarce cell cannot give comes
     from others of its source, language and topic, and what a scarce value cannot give from the
     other values of its margin, by their targets. Targets that cannot be met together are moved
-    towards the shares of the tokens, as far as it takes, and logged. Otherwise such cells are cut after fitting, which
-    is how the SQL check has it.
+    towards the shares of the tokens, as far as it takes, and logged. Otherwise such cells are cut after fitting.
     """
 
     shares: Mapping[str, Mapping[str, float]] = field(default_factory=lambda: {
@@ -65,12 +61,12 @@ class Mix:
     })
     flatten: float = 0.5
     rate: float = 0.4
-    rounds: int | None = 6
+    rounds: int | None = None
     close: float = 1e-9
     seed: str = "mix"
-    own: bool = False
+    own: bool = True
     most: int = 10_000
-    bounded: bool = False
+    bounded: bool = True
 
 
 def topic_of(text: Column) -> Column:
@@ -299,14 +295,15 @@ def sampled(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     chances = probabilities(rows, mix)
     keys = [f"__mix_{m}" for m in MARGINS]
     joined = lookup_join(rows, chances, keys, ["doc_id"])
-    chance = F.when(F.col("__mix_tokens") == 0, F.lit(1.0)).otherwise(F.col("__mix_chance"))
+    chance = F.when(F.col("__mix_tokens") == 0, F.lit(1.0)).otherwise(F.coalesce("__mix_chance", F.lit(0.0)))
     name = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text")), F.lit(""))
     drawn = F.conv(F.substring(F.md5(F.concat(F.lit(mix.seed + ":"), name)), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
     return joined.withColumn("__mix_probability", chance).withColumn("__mix_kept", drawn < F.col("__mix_probability")).drop("__mix_chance")
 
 
 def oracle(mix: Mix = Mix()) -> str:
-    """The result of the query over ``documents`` in DuckDB, all rounds written out."""
+    """The result of the query over ``documents`` in DuckDB, where the targets can be met together. Targets are
+    filled up, and rounds repeated, by recursion."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     topic = " ".join(f"when {' or '.join(f'contains(x, {quoted(m)})' for m in marks)} then '{name}'" for name, marks in TOPICS.items())
     steps = [
@@ -320,19 +317,37 @@ def oracle(mix: Mix = Mix()) -> str:
             given = f"case {m} " + " ".join(f"when {quoted(k)} then {v!r}e0" for k, v in named.items()) + " end"
             left = max(0.0, 1.0 - sum(named.values()))
             raw = f"coalesce({given}, t / (sum(case when {given} is null then t end) over ()) * {left!r}e0)"
+            if left < 1e-9:
+                rest = f"(1 - coalesce(sum(case when {given} is null then t end) over (), 0) / sum(t) over ())"
+                raw = f"coalesce({given} / sum({given}) over () * {rest}, t / sum(t) over ())"
         else:
             raw = f"pow(t, {mix.flatten!r}e0)"
-        steps.append(f"g_{m} as materialized (select {m}, raw / sum(raw) over () as target from (select {m}, {raw} as raw from "
+        steps.append(f"t_{m} as materialized (select {m}, raw / sum(raw) over () as target from (select {m}, {raw} as raw from "
                      f"(select {m}, sum(tokens) as t from c group by 1)))")
-    last = "(select *, tokens as weight from c)"
-    for k in range(mix.rounds):
-        for m in MARGINS:
-            steps.append(f"w{k}_{m} as materialized (select w.* replace (coalesce(weight * target / nullif(sum(weight) over (partition by w.{m}), 0), 0) as weight) "
-                         f"from {last} w join g_{m} g on w.{m} = g.{m})")
-            last = f"w{k}_{m}"
-    steps.append(f"p as (select *, least(1e0, coalesce(weight / nullif(sum(weight) over (), 0), 0) * sum(tokens) over () * {mix.rate!r}e0 / tokens) as probability from {last})")
-    steps.append("""r as (select d.*, case when d.tokens = 0 then 1e0 else p.probability end as chance,
+    wanted = " and ".join(f"{m} in (select {m} from t_{m} where target > 0)" for m in MARGINS)
+    steps.append(f"""b as materialized (select * from (select *, tokens / sum(tokens) over () as weight, tokens / sum(tokens) over () / {mix.rate!r}e0 as cap from c)
+        where {wanted})""")
+    for m in MARGINS:
+        free = "target > 0 and target < has"
+        steps.append(f"""h_{m} as (select 0 as step, {m}, has, least(target, has) as target from t_{m} join (select {m}, sum(cap) as has from b group by 1) using ({m})
+            union all select step + 1, {m}, has, least(has, if({free}, target * (1 + (1 - whole) / free), target)) from
+              (select *, sum(target) over () as whole, sum(target) filter ({free}) over () as free from h_{m}) where free > 0 and 1 - whole > 1e-15)""")
+        steps.append(f"f_{m} as materialized (select {m}, target, sum(target) over () as whole from h_{m} where step = (select max(step) from h_{m}))")
+    least = f"least({', '.join(f'(select max(whole) from f_{m})' for m in MARGINS)})"
+    steps += [f"g_{m} as materialized (select {m}, target * ({least} / whole) as target from f_{m})" for m in MARGINS]
+    inner = f"select * from w where off > {mix.close!r}::double and round < {mix.most}"
+    for m in MARGINS:
+        step = f"""case when g.target <= s then coalesce(g.target / nullif(s, 0), 0) when s - f > 1e-15 then (g.target - f) / (s - f) else 1 end"""
+        inner = f"""select x.* exclude (s, f) replace (least(cap, weight * ({step})) as weight) from (select *, sum(weight) over (partition by {m}) as s,
+            sum(if(weight >= cap, weight, 0)) over (partition by {m}) as f from ({inner})) x join g_{m} g using ({m})"""
+    far = ", ".join(f"max(abs(s_{m} - g_{m}.target)) over ()" for m in MARGINS)
+    sums = ", ".join(f"sum(weight) over (partition by {m}) as s_{m}" for m in MARGINS)
+    steps.append(f"""w as (select 0 as round, source, lang, topic, tokens, weight, cap, 1e9::double as off from b
+        union all select round + 1, source, lang, topic, tokens, weight, cap, greatest({far}) from
+          (select *, {sums} from ({inner})) {' '.join(f'join g_{m} using ({m})' for m in MARGINS)})""")
+    steps.append(f"""p as (select *, least(1e0, weight * (select sum(tokens) from c) * {mix.rate!r}e0 / tokens) as probability from w where round = (select max(round) from w))""")
+    steps.append("""r as (select d.*, case when d.tokens = 0 then 1e0 else coalesce(p.probability, 0) end as chance,
         ('0x' || substr(md5('%s:' || coalesce(doc_id::varchar, md5(text), '')), 1, 8))::bigint / 4294967296e0 as drawn
         from d left join p on d.source = p.source and d.lang = p.lang and d.topic = p.topic)""" % mix.seed)
-    return "with " + ", ".join(steps) + """ select doc_id, source, lang, topic, tokens::bigint as n_tokens, round(chance, 6) as probability,
+    return "with recursive " + ", ".join(steps) + """ select doc_id, source, lang, topic, tokens::bigint as n_tokens, round(chance, 6) as probability,
         drawn < chance as kept from r"""

@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from paylens.llm.language_id import held_out
 from paylens.llm.queries import QUERIES, VOCABULARY
-from paylens.llm.raking import targets
+from paylens.llm.raking import Mix, targets
 from paylens.llm.store import stored
 
 from .test_near_dup import plain
@@ -88,21 +88,22 @@ def test_odd_rows_pass_through_all_stages(spark, odd, none):
 
 
 def test_every_operator_has_a_query():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
 
 
 def test_operators_run_by_their_queries(spark):
     sizes = {name: query(spark, SF).count() for name, query in QUERIES.items()}
     n, pages = spark.read.parquet(f"{SF}/documents.parquet").count(), spark.read.parquet(f"{SF}/pages.parquet").count()
-    assert all(sizes[name] == n for name in sizes if name.split("_")[0] in ("op1", "op3", "op4", "op7", "op9", "op10"))
+    assert all(sizes[name] == n for name in sizes if name.split("_")[0] in ("op1", "op3", "op4", "op7", "op9", "op10", "op12"))
     assert sizes["op5_html_blocks"] == pages and sizes["op6_warc_derivatives"] == 2 * pages
+    assert sizes["op11_url_trees"] == pages and 0 < sizes["op13_bag_search"] <= 20 * spark.read.parquet(f"{SF}/benchmark.parquet").count()
 
 
 def test_mix_draws_languages_without_a_target(spark):
     """A null language and a fifth one keep their own share; the named ones share the rest by their targets."""
     langs = ["'en'", "'de'", "'fr'", "'es'", "'it'", "cast(null as string)"]
     docs = spark.range(6000).selectExpr("id as doc_id", "'a b c' as text", f"array({', '.join(langs)})[id % 6] as lang", "concat('s', id % 5) as source")
-    goals = {r.lang: r.target for r in targets(docs.selectExpr("coalesce(lang, '(none)') as lang", "3 as tokens"), "lang", corpus_pipeline.MIX).collect()}
+    goals = {r.lang: r.target for r in targets(docs.selectExpr("coalesce(lang, '(none)') as lang", "3 as tokens"), "lang", Mix()).collect()}
     assert goals == pytest.approx({"en": 1 / 3, "de": 2 / 15, "fr": 0.1, "es": 0.1, "it": 1 / 6, "(none)": 1 / 6})
     kept = {r.lang: r["count"] for r in corpus_pipeline.mix(spark, docs, SF).groupBy("lang").count().collect()}
     assert all(abs(kept[lang] - 400) < 80 for lang in ("it", None)) and abs(kept["en"] - 800) < 80
