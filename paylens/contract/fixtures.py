@@ -9,6 +9,7 @@ unmatched and repeated providers) are derived from the data by fixed rules.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import contracts as k
 from ..plans import enrich, marts, staging
@@ -141,10 +142,10 @@ class Tables:
         return enrich.dim_providers(self.providers())
 
     def utilization(self) -> DataFrame:
-        return enrich.enrich_utilization(self.staged_utilization(), self.providers())
+        return enrich.enrich_utilization(self.staged_utilization(), self.providers(), self.raw_utilization().select(F.col("rndrng_npi").alias("npi")))
 
     def spending(self) -> DataFrame:
-        return enrich.enrich_spending(self.staged_spending(), self.providers())
+        return enrich.enrich_spending(self.staged_spending(), self.providers(), self.raw_spending().select(F.col("prscrbr_npi").alias("npi")))
 
     def fact(self) -> DataFrame:
         return enrich.fct_provider_spending(self.spending())

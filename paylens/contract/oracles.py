@@ -232,9 +232,9 @@ def nullish(x: str) -> str:
     return f"({x} is null or trim({x}) = '' or lower(trim({x})) in ('nan', 'none', 'null', '<na>'))"
 
 
-def check_row(table: str, check: str, rate: str, need: float, severity: str = "error") -> str:
+def check_row(table: str, check: str, rate: str, need: float, severity: str = "error", unmeasured: str | None = None) -> str:
     return f"""select '{table}' as "table", '{check}' as "check", coalesce(rate >= {need!r}, false) as passed,
-        '{severity}' as severity, rate, cast({need!r} as double) as threshold from (select {rate} as rate from raw)"""
+        case when rate is null then '{unmeasured or severity}' else '{severity}' end as severity, rate, cast({need!r} as double) as threshold from (select {rate} as rate from raw)"""
 
 
 def share(condition: str) -> str:
@@ -254,8 +254,8 @@ def utilization_checks(strict: bool) -> str:
         ),
         check_row(t, "payment_amounts",
                   f"avg(case when {a} > 0 and {p} is not null then cast({p} / {a} between 0 and 1.10 as double) end)",
-                  0.95 if strict else 0.80, "error" if strict else "warn"),
-        check_row(t, "npi_format:rndrng_npi", id_rate("rndrng_npi"), 0.95, "warn"),
+                  0.95 if strict else 0.80, "error" if strict else "warn", "warn"),
+        check_row(t, "npi_format:rndrng_npi", id_rate("rndrng_npi"), 0.95, "warn", "error"),
         check_row(t, f"years_{Y0}_{Y1}", share(f"try_cast(year as double) in ({Y0}, {Y1})"), 0.99 if strict else 0.95),
     ]
     return sql("select * from (" + " union all ".join(rows).replace("from raw)", "from raw_u)") + ")")

@@ -8,6 +8,7 @@ session builds all layers once, with Spark, into the shared work folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -25,9 +26,11 @@ from ..operators.sampling import sample_n, stratified_cap
 from ..plans import build as built
 from ..plans import lookup, marts
 from ..plans import reports as r
+from ..plans.states import YearStates
 from ..session import work_dir
 from ..sources import files, ledger, publish, raw
 from ..streaming.resume import resume_load
+from . import boosted_checks as trees
 from . import fixtures as fx
 from . import oracles as o
 
@@ -37,6 +40,7 @@ LOADED = "2024-01-01 00:00:00"
 
 _houses: dict[tuple[str, str], built.Warehouse] = {}
 _models: dict[tuple[str, str], object] = {}
+_states: dict[tuple[str, str], YearStates] = {}
 
 
 class Data(fx.Tables):
@@ -74,6 +78,16 @@ class Data(fx.Tables):
             _models[self._key] = ml.fit_classifier(self.split()[0])
         return _models[self._key]
 
+    def states(self) -> YearStates:
+        """All years but the last one, then that one."""
+        if self._key not in _states:
+            states = YearStates(self.spark, work_dir(self.spark, "states"))
+            frames = self.built(UTIL), self.built(FACT)
+            states.put(YEARS[:-1], *frames)
+            states.put(YEARS[-1:], *frames)
+            _states[self._key] = states
+        return _states[self._key]
+
     def scored(self) -> DataFrame:
         """A fixed score, so that the metrics can be checked without a fitted model."""
         seventeenth = F.col("service_line_count") % 17
@@ -231,6 +245,23 @@ def approx_rows(d: Data) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+CATALOGUED = ("customer", "orders", "lineitem", "part")
+
+
+def catalog_rows(d: Data) -> DataFrame:
+    """Row counts that the catalog holds of analysed tables, which are external and dropped again."""
+    counts = []
+    for name in CATALOGUED:
+        table = f"counted_{uuid.uuid4().hex[:12]}"
+        d.spark.sql(f"create table {table} using parquet location '{d.path}/{name}.parquet'")
+        try:
+            d.spark.sql(f"analyze table {table} compute statistics")
+            counts.append((name, raw.catalog_rows(d.spark, table)))
+        finally:
+            d.spark.sql(f"drop table {table}")
+    return d.spark.createDataFrame(counts, "table_name string, rows long")
+
+
 BUILT = {
     "int_providers": "prov", "int_utilization_enriched": "util", "int_spending_enriched": "spend",
     DIM: "prov", FACT: "spend", BENCH: "bench", KPI: "kpi", NAT: "nat", STATE: "st", YOY: "yoy", DRUGS: "drugs", RISK: "risk",
@@ -335,6 +366,7 @@ SOURCES = {
     "s11_load_status": Query(load_status, o.sql(STATUS.replace("with f as (", "select * from (with f as (", 1) + ")")),
     "s12_row_counts": Query(
         lambda d: raw.row_counts({t: d.given(t) for t in GIVEN}), counts_sql({t: t for t in GIVEN})),
+    "s13_catalog_rows": Query(catalog_rows, counts_sql({t: t for t in CATALOGUED}, rows="rows")),
     "s13_approx_rows": Query(
         approx_rows, counts_sql({t: t for t in GIVEN}, rows="rows") + " union all select 'absent', 0"),
     "s15_build_layers": Query(
@@ -486,6 +518,9 @@ AGGREGATIONS = {
     "a02_drug_spending": layer(lambda d: marts.drug_spending(d.built(FACT)), "drugs"),
     "a03_kpi_overview": Query(
         lambda d: clean(marts.kpi_overview(d.built(DIM), d.built(BENCH), d.built(FACT))), o.sql("select * from kpi")),
+    "a01_benchmark_by_year": Query(lambda d: clean(d.states().benchmark()), o.sql("select * from bench")),
+    "a02_drugs_by_year": Query(lambda d: d.states().drugs(), o.sql("select * from drugs")),
+    "a03_kpi_by_year": Query(lambda d: clean(d.states().kpi(d.built(DIM))), o.sql("select * from kpi")),
     "a04_national_benchmark": layer(lambda d: marts.national_benchmark(d.built(BENCH)), "nat"),
     "a05_state_benchmark": layer(lambda d: marts.state_benchmark(d.built(BENCH)), "st"),
     "a06_year_over_year": layer(lambda d: marts.year_over_year(d.built(NAT), Y0, Y1), "yoy"),
@@ -644,6 +679,11 @@ def fixture_validate(d: Data, strict: bool) -> DataFrame:
     return q.validate(d.raw_utilization(), "cms_provider_utilization", strict=strict, years=(Y0, Y1)).drop("detail")
 
 
+def no_charges(d: Data) -> DataFrame:
+    """Raw rows none of which has a charge."""
+    return d.raw_utilization().withColumn("avg_sbmtd_chrg", F.lit(None).cast("string"))
+
+
 def unique_sql(table: str, column: str, cte: str) -> str:
     return f"""select '{table}' as "table", '{column}' as "column", 'unique' as test, count(*) as failures, count(*) = 0 as passed
         from (select {column} from {cte} where {column} is not null group by {column} having count(*) > 1)"""
@@ -708,11 +748,23 @@ QUALITY = {
         raw_check("payment_amounts",
                   "avg(case when cast(avg_sbmtd_chrg as double) > 0 then cast(cast(avg_mdcr_pymt_amt as double) / "
                   "cast(avg_sbmtd_chrg as double) between 0 and 1.10 as double) end)", 0.95)),
+    "q07_no_eligible_row": checks(
+        "t", no_charges, lambda df: [q.ratio_check(df, "avg_mdcr_pymt_amt", "avg_sbmtd_chrg", strict) for strict in (False, True)],
+        o.sql(" union all ".join(
+            f"""select 't' as "table", 'payment_amounts' as "check", false as passed, 'warn' as severity, cast(null as double) as rate,
+                cast({need} as double) as threshold from (select count(*) from raw_u)""" for need in (0.80, 0.95)))),
     "q08_check_pattern": checks(
-        "t", lambda d: d.given("customer"), lambda df: [q.id_check(df, "c_name", rf"^{CUSTOMER_ID}$"), q.id_check(df, "c_custkey")],
+        "t", lambda d: d.given("customer").withColumn("no_id", F.lit(" ")),
+        lambda df: [q.id_check(df, "c_name", rf"^{CUSTOMER_ID}$"), q.id_check(df, "c_custkey"), q.id_check(df, "no_id")],
         " union all ".join(
-            o.check_row("t", f"npi_format:{x}", o.id_rate(f"cast({x} as varchar)", pattern), 0.95, "warn").replace("from raw)", "from customer)")
-            for x, pattern in (("c_name", CUSTOMER_ID), ("c_custkey", r"\d{10}")))),
+            o.check_row("t", f"npi_format:{x}", o.id_rate(f"cast({x} as varchar)", pattern), 0.95, "warn", "error").replace("from raw)", "from customer)")
+            for x, pattern in (("c_name", CUSTOMER_ID), ("c_custkey", r"\d{10}")))
+        + """ union all select 't', 'npi_format:no_id', false, 'error', null, 0.95::double"""),
+    "q09_verdict_of_empty_cases": Query(
+        lambda d: q.verdict(q.run_checks(no_charges(d), "ratio", [q.ratio_check(no_charges(d), "avg_mdcr_pymt_amt", "avg_sbmtd_chrg", True)])
+                            .unionByName(q.run_checks(no_charges(d), "id", [q.id_check(no_charges(d), "avg_sbmtd_chrg")]))),
+        """select 'ratio' as "table", true as passed, 1::bigint as warnings, 0::bigint as failures from (select count(*) from lineitem)
+           union all select 'id', false, 0, 1 from (select count(*) from lineitem)"""),
     "q09_validate": Query(lambda d: fixture_validate(d, False), o.utilization_checks(False)),
     "q09_validate_strict": Query(lambda d: fixture_validate(d, True), o.utilization_checks(True)),
     "q09_verdict": Query(
@@ -841,6 +893,13 @@ LEARNING = {
     "m12_permutation_importance": Query(
         drops, " union all ".join(f"select '{x}' as feature, true as in_range, true as drop_in_range" for x in k.FEATURES)),
     "m13_save_load_metrics": Query(reloaded_metrics, o.sql(METRICS_SQL)),
+    "m06_boosted_tree": Query(lambda d: trees.first_tree(d.split()[0]), o.sql(f"""select * from ({trees.first_tree_sql(f"select * from train where year = {Y0}")})""")),
+    "m07_boosted_score": Query(lambda d: trees.fixed_scores(d.split()[1]), o.sql(trees.fixed_scores_sql(f"select * from train where year = {Y1}"))),
+    "m11_boosted_gains": Query(
+        lambda d: trees.first_gains(d.split()[0]),
+        o.sql(f"""select if(category is null, feature, concat(feature, '_', category)) as feature, round(sum(gain), 9) as gain
+                  from ({trees.first_tree_sql(f"select * from train where year = {Y0}")}) where feature is not null group by all""")),
+    "m12_attribution": Query(lambda d: trees.fixed_attributions(d.split()[1]), o.sql(f"""select * from ({trees.fixed_attributions_sql(f"select * from train where year = {Y1}")})""")),
 }
 
 QUERIES: dict[str, Query] = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import contracts as k
 from ..functions.columns import normalize_headers, null_tokens
+from . import quoted
 
 SOURCE = "_source_file"
 # A row with too many or too few fields stops the read; it is never cut or filled up.
@@ -84,7 +86,7 @@ def route(path: str, routes: Mapping[str, str] = k.FILE_ROUTES) -> tuple[str, st
 @dataclass(frozen=True)
 class Part:
     """A file or part file: its header line, and whether it has line breaks inside quotes, told
-    by a line with an odd number of quotes. Such files are parsed whole, others are split."""
+    by a line with an odd number of quotes."""
 
     path: str
     header: str
@@ -104,11 +106,19 @@ def survey(spark: SparkSession, paths: str | Sequence[str]) -> list[Part]:
 
 def scans(spark: SparkSession, parts: Sequence[Part]) -> list[DataFrame]:
     """Text frames of the parts: those with the same header line are one scan, so that columns are
-    read by name even where parts order them differently."""
+    read by name even where parts order them differently. All of them are read in splits; those with line breaks inside
+    quotes by :mod:`quoted`, unless the header itself has one, or names that are missing or twice there."""
     groups: dict[tuple[str, bool], list[str]] = {}
     for part in parts:
         groups.setdefault((part.header, part.whole), []).append(part.path)
-    return [spark.read.options(**CSV_OPTIONS).option("multiLine", whole).csv(members) for (_, whole), members in groups.items()]
+    frames = []
+    for (header, whole), members in groups.items():
+        names = next(csv.reader([header.rstrip("\r")]), [])
+        if whole and header.count('"') % 2 == 0 and all(names) and len({x.lower() for x in names}) == len(names):
+            frames.append(quoted.parsed(spark, members, names, CSV_OPTIONS))
+        else:
+            frames.append(spark.read.options(**CSV_OPTIONS).option("multiLine", whole).csv(members))
+    return frames
 
 
 def read_raw_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -116,18 +126,21 @@ def read_raw_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     frames = scans(spark, survey(spark, paths))
     if not frames:
         raise ValueError(f"{paths}: no header line")
-    return union_years(frames)
+    if len(frames) == 1 and quoted.PATH not in frames[0].columns:
+        return frames[0]  # with the file's metadata columns
+    return union_years([frame.drop(quoted.PATH) for frame in frames])
 
 
 def add_lineage(df: DataFrame, loaded_at: datetime | str) -> DataFrame:
     """File name, load time, and the year from the file name if the file has no such column.
     The file name includes the part for a file that is a directory of parts."""
-    file = F.regexp_extract("_metadata.file_path", r"[^/]+(?:\.csv/[^/]+)?$", 0)
+    path = quoted.PATH if quoted.PATH in df.columns else "_metadata.file_path"
+    file = F.regexp_extract(path, r"[^/]+(?:\.csv/[^/]+)?$", 0)
     out = df.withColumn(SOURCE, F.regexp_replace(file, f"^{PREFIX}", ""))
     if "year" not in [x.strip().lower() for x in df.columns]:
         name = F.element_at(F.split(SOURCE, "/"), 1)
         out = out.withColumn("year", year_of(stem(name)))
-    return out.withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp"))
+    return out.drop(quoted.PATH).withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp"))
 
 
 def load_files(spark: SparkSession, paths: Sequence[str], loaded_at: datetime | str) -> DataFrame:

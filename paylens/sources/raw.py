@@ -1,13 +1,14 @@
 """Raw tables: full load, append or replace a year, status, counts.
 
-A raw table is a Parquet folder laid out by ``year`` (if its rows have one) and source
-file. A load writes whole ``year``/file folders, so a repeated or retried load replaces
-what it wrote before instead of adding to it.
+A raw table is versioned (:mod:`versions`): a load writes a new folder, laid out by ``year`` if its rows have one, and a
+commit to the manifest makes its rows count and ends those they replace. So readers see the old rows or the new ones, and a repeated or
+retried load replaces what it wrote before instead of adding to it.
 """
 
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.reports import row_counts
-from .files import SOURCE, entry_name, list_files, load_files, route, route_files, select_files
+from . import versions
+from .files import PREFIX, entry_name, list_files, load_files, route, route_files, select_files
 
 log = logging.getLogger(__name__)
 UNREADABLE = (PySparkException, Py4JJavaError, ValueError)  # a failed task surfaces as the second
@@ -33,29 +35,31 @@ def table_path(root: str, table: str) -> str:
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a table can be read there."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
+    return versions.exists(spark, path)
 
 
 def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A raw table with ``year`` as text, as it was loaded."""
-    df = spark.read.option("mergeSchema", "true").parquet(table_path(root, table))
-    return df.withColumn("year", F.col("year").cast("string")) if "year" in df.columns else df
+    return versions.read(spark, table_path(root, table))
+
 
+def write_raw(df: DataFrame, path: str, replace_table: bool, sources: Sequence[str] = ()) -> int:
+    """Make the rows of ``df`` those of the table, or of the files that ``df`` has rows of. Returns them.
+    ``sources``: the paths they come from, whose lengths and times are kept."""
+    known = signatures(df.sparkSession, sources) if sources else {}
+    return versions.publish(df, path, versions.TABLE if replace_table else versions.FILE, signatures=known)
 
-def _layout(df: DataFrame) -> list[str]:
-    return ["year", SOURCE] if "year" in df.columns else [SOURCE]
 
+def source_name(path: str) -> str:
+    """What :func:`files.add_lineage` calls the file or part at a path."""
+    return re.search(r"[^/]+(?:\.csv/[^/]+)?$", path)[0].removeprefix(PREFIX)
 
-def write_raw(df: DataFrame, path: str, replace_table: bool) -> None:
-    """Write whole year/file folders: of the table, or only those that ``df`` has rows for."""
-    scope = "static" if replace_table else "dynamic"
-    df.write.mode("overwrite").option("partitionOverwriteMode", scope).partitionBy(*_layout(df)).parquet(path)
+
+def signatures(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """Length and time of every file and part, by its name. Contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    rows = found.select("path", "length", "modificationTime").collect()  # a row for each file
+    return {source_name(r.path): f"{r.length} {r.modificationTime.isoformat()}" for r in rows}
 
 
 class LoadError(RuntimeError):
@@ -87,13 +91,13 @@ def full_load(spark: SparkSession, folder: str, root: str, only: Sequence[str] |
     for table, members in by_table.items():
         target = table_path(root, table)
         try:
-            write_raw(load_files(spark, members, now()), target, replace_table=True)
+            write_raw(load_files(spark, members, now()), target, True, members)
             loaded.append(table)
         except UNREADABLE:  # find the file at fault and load the others
             first = True
             for path in members:
                 try:
-                    write_raw(load_files(spark, [path], now()), target, replace_table=first)
+                    write_raw(load_files(spark, [path], now()), target, first, [path])
                     first = False
                 except UNREADABLE as error:
                     failed[path] = str(error)
@@ -105,55 +109,57 @@ def full_load(spark: SparkSession, folder: str, root: str, only: Sequence[str] |
     return counts
 
 
-def rows_of_file(spark: SparkSession, root: str, table: str, year: str, file: str) -> int:
-    """Rows that a table has of a file (all its parts) in a year."""
-    if not exists(spark, table_path(root, table)):
-        return 0
-    name = F.element_at(F.split(SOURCE, "/"), 1)
-    return read_raw(spark, root, table).filter((F.col("year") == str(year)) & (name == file)).count()
-
-
-def own_year(df: DataFrame, year: int | str) -> int:
-    """The rows of ``df``; raises if any of them is not of that year."""
-    is_own = F.coalesce(F.col("year").cast("string") == str(year), F.lit(False))
-    seen = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(~is_own).alias("others")).first()
-    if seen.others:
-        raise ValueError(f"{seen.others} of {seen.n} rows are not of {year}")
-    return seen.n
+def file_state(spark: SparkSession, root: str, table: str) -> dict[str, dict[str, str | None]]:
+    """Of every file that a table has, its parts and what they were like when they were loaded; from the manifest."""
+    path, out = table_path(root, table), {}
+    if exists(spark, path):
+        rows = versions.live(spark, path).groupBy("file").agg(F.min("signature").alias("signature"), F.sum("rows").alias("rows")).collect()
+        for r in rows:  # a row for each part
+            out.setdefault(r.file.split("/")[0], {})[r.file] = r.signature
+    return out
 
 
-def replace_year(df: DataFrame, root: str, table: str, year: int | str) -> int:
-    """Make ``df`` the only rows of that year: its folder is overwritten, others are not touched.
-    Raises before anything is written if ``df`` has rows of another year, or without one.
-    Returns the rows written."""
-    rows = own_year(df, year)
-    target = f"{table_path(root, table)}/year={year}"
-    df.drop("year").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(SOURCE).parquet(target)
-    return rows
+def replace_year(df: DataFrame, root: str, table: str, year: int | str, sources: Sequence[str] = ()) -> int:
+    """Make ``df`` the only rows of that year; the rows of other years stay as they are. Raises before anything
+    counts if ``df`` has rows of another year, or without one. Rows are counted as they are written, so
+    the source is read once, and it cannot change between the count and the write. Returns the rows."""
+    known = signatures(df.sparkSession, sources) if sources else {}
+    return versions.publish(df, table_path(root, table), versions.YEAR, str(year), known)
 
 
 def append_year(spark: SparkSession, path: str, root: str, replace: bool = False) -> int:
-    """Add a yearly file to its table. A file whose rows are all there is left alone unless
-    ``replace``; anything less is loaded again. Returns the rows written."""
+    """Add a yearly file to its table. A file that was loaded whole and has not changed since is left alone
+    unless ``replace``, without reading it; otherwise its rows become those of the year. Returns the rows written."""
     table, year = route(path)
     if year is None:
         raise ValueError(f"{path}: the file name must have a 4-digit year")
-    rows = load_files(spark, [path], now())
-    total = own_year(rows, year)
-    present = rows_of_file(spark, root, table, year, entry_name(path))
-    if present == total and total and not replace:
-        log.info("%s %s is complete (%d rows)", table, year, present)
+    before = file_state(spark, root, table).get(entry_name(path))
+    if before and not replace and before == signatures(spark, [path]):
+        log.info("%s %s is complete", table, year)
         return 0
-    return replace_year(rows, root, table, year)
+    return replace_year(load_files(spark, [path], now()), root, table, year, [path])
+
+
+def changed_files(spark: SparkSession, paths: Sequence[str], root: str) -> list[str]:
+    """Of the given files those that their table has, but as they were before they changed."""
+    like = signatures(spark, paths) if paths else {}
+    kept: dict[str, str | None] = {}
+    for table in sorted({route(path)[0] for path in paths}):
+        for parts in file_state(spark, root, table).values():
+            kept |= parts
+    changed = {part.split("/")[0] for part, now_like in like.items() if kept.get(part) not in (None, now_like)}
+    return [path for path in paths if entry_name(path) in changed]
 
 
 # Status ---------------------------------------------------------------------------------------
 def file_counts(spark: SparkSession, paths: Sequence[str], at: datetime | None = None) -> DataFrame:
-    """Parsed data rows per file (a line count would count quoted line breaks as rows)."""
+    """Parsed data rows per file (a line count would count quoted line breaks as rows). All columns are parsed, so that
+    a file with a row that does not fit its header raises here as it would in a load."""
     frames = load_files(spark, paths, at or now())
-    name = F.element_at(F.split(SOURCE, "/"), 1)
-    counted = frames.groupBy(name.alias("file")).agg(F.count(F.lit(1)).alias("file_rows"))
-    return route_files(counted)
+    name = F.element_at(F.split(versions.SOURCE, "/"), 1)
+    parsed = F.max(F.xxhash64(*(f"`{c}`" for c in frames.columns)))
+    counted = frames.groupBy(name.alias("file")).agg(F.count(F.lit(1)).alias("file_rows"), parsed.alias("_parsed"))
+    return route_files(counted.filter("_parsed is not null or file_rows >= 0").drop("_parsed"))
 
 
 def loaded_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -197,10 +203,15 @@ def load_status(files: DataFrame, loaded: DataFrame) -> DataFrame:
 
 
 def approx_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Row count from the Parquet footers, 0 for a table that is not there."""
-    if not exists(spark, path):
-        return spark.range(1).select(F.lit(0).cast("bigint").alias("rows"))
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+    """Row count from the manifest of a raw table, or from the Parquet footers; 0 for a table that is not there."""
+    if exists(spark, path):
+        return versions.live(spark, path).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+    try:
+        return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    return spark.range(1).select(F.lit(0).cast("bigint").alias("rows"))
 
 
 def catalog_rows(spark: SparkSession, table: str) -> int | None:

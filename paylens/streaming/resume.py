@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.files import load_files, route
-from ..sources.raw import now, table_path, write_raw
+from ..sources.files import list_files, load_files, route
+from ..sources.raw import changed_files, now, table_path, write_raw
 
 
 def resume_load(
@@ -17,7 +17,8 @@ def resume_load(
     The stream carries file paths only; its checkpoint records which files are done. A
     micro-batch hands its paths to the batch loader, which writes whole year/file folders:
     a batch that is run again after a failure replaces its own output, so each file ends
-    up loaded exactly once. Files are taken as immutable.
+    up loaded exactly once. The checkpoint knows files by their path only: one that was replaced since
+    it was loaded is found by the length and time in its table's manifest, and loaded again.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -28,14 +29,19 @@ def resume_load(
     )
     done = 0
 
+    changed = changed_files(spark, [r.path for r in list_files(spark, folder).collect()], root)
+
     def load(batch: DataFrame, _: int) -> None:
-        nonlocal done
         by_table: dict[str, list[str]] = {}
         for row in batch.collect():  # at most files_per_batch paths
             by_table.setdefault(route(row.path)[0], []).append(row.path)
         for table, paths in by_table.items():
-            write_raw(load_files(spark, sorted(paths), now()), table_path(root, table), replace_table=False)
-            done += len(paths)
+            put(table, sorted(paths))
+
+    def put(table: str, paths: list[str]) -> None:
+        nonlocal done
+        write_raw(load_files(spark, paths, now()), table_path(root, table), False, paths)
+        done += len(paths)
 
     query = (
         files.writeStream.foreachBatch(load)
@@ -44,4 +50,6 @@ def resume_load(
         .start()
     )
     query.awaitTermination()
+    for path in changed:
+        put(route(path)[0], [path])
     return done
