@@ -9,7 +9,7 @@ from paylens.operators import boosting as b
 from paylens.operators.attribution import attribution_summary, attributions, expected
 from paylens.operators.boosting import Boost, Boosted, Node, fit, margin
 
-ALL = Boost(trees=3, depth=3, rate=0.5, rows=1.0, columns=1.0, least_weight=1.0, written=2)
+ALL = Boost(trees=2, depth=3, rate=0.5, rows=1.0, columns=1.0, least_weight=1.0, written=1)
 CUTS = {"u": [2.0, 5.0, 8.0], "v": [0.25, 0.5, 0.75]}
 
 
@@ -91,7 +91,7 @@ def test_same_trees_as_row_by_row(frame):
 
 
 def test_order_of_rows_does_not_matter(frame):
-    params = Boost(trees=3, depth=3, bins=16)
+    params = Boost(trees=2, depth=2, bins=16)
     one = fit(frame.repartition(1), "y", ["u", "v"], ["c"], ["id"], params)
     assert one == fit(frame.orderBy(F.desc("v")).repartition(7), "y", ["u", "v"], ["c"], ["id"], params)
     assert b.loads(b.dumps(one)) == one
@@ -100,7 +100,7 @@ def test_order_of_rows_does_not_matter(frame):
 
 
 def test_rows_and_columns_are_drawn_once_for_a_tree(frame):
-    model = fit(frame, "y", ["u", "v"], ["c"], ["id"], Boost(trees=4, depth=4, columns=0.2, rows=0.5, bins=8))
+    model = fit(frame, "y", ["u", "v"], ["c"], ["id"], Boost(trees=2, depth=3, columns=0.2, rows=0.5, bins=8))
     for tree in model.trees:
         assert len({n.column for n in tree.values() if n.feature}) <= 1  # 8 columns, one drawn
         assert tree[1].weight < 0.25 * 300
@@ -108,7 +108,7 @@ def test_rows_and_columns_are_drawn_once_for_a_tree(frame):
 
 def test_learns(spark):
     frame = spark.createDataFrame(rows_of(3000, 5), "id long, u double, v double, c string, y int")
-    model = fit(frame, "y", ["u", "v"], ["c"], ["id"], Boost(trees=10, depth=3, rate=0.3, bins=32))
+    model = fit(frame, "y", ["u", "v"], ["c"], ["id"], Boost(trees=4, depth=3, rate=0.5, bins=32))
     new = spark.createDataFrame(rows_of(2000, 6), "id long, u double, v double, c string, y int")
     right = new.filter((margin(model) > 0) == (F.col("y") == 1)).count() / 2000
     assert right > 0.75
