@@ -25,7 +25,7 @@ from .store import picked
 
 VERSION = b"WARC/1.1"
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "warc-derivatives")
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<svg\b[^>]*/>|<(script|style|template|noscript|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _INLINE = re.compile(r"</?(?:a|abbr|b|bdi|bdo|big|cite|code|del|dfn|em|font|i|ins|kbd|mark|q|s|samp|small|span|strong|sub|sup|tt|u|var|wbr)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[!?/a-zA-Z][^<>]*(?:>|\Z)")
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)

@@ -4,7 +4,7 @@ import json
 import pytest
 
 from paylens.llm import warc
-from paylens.llm.html_blocks import blocks, extract, features, keeps, main_text, trained
+from paylens.llm.html_blocks import FEATURES, blocks, extract, features, keeps, main_text, trained
 from paylens.llm.html_labels import PAGES
 
 TREE = trained()
@@ -76,6 +76,13 @@ def test_derivatives_of_a_response(pages):
     assert about["http-headers"]["content-type"] == "text/html; charset=utf-8" and about["warc-headers"] == fields
 
 
+def test_closed_svg_hides_nothing():
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>One</p><svg width='1'/><p>Two<svg><text>no</text></svg></p>"
+    record = warc.serialize([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>"), ("WARC-Target-URI", "http://a/b/"),
+                             ("Content-Length", str(len(block)))], block)
+    assert warc.parse(warc.derive(record)[1][-1])[1].decode() == "One\nTwo"
+
+
 def test_links_titles_and_charsets():
     body = "<title>Grüße &amp; mehr</title><a href='/x?a=1&amp;b=2'>x</a><p>Süß".encode("latin-1")
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=ISO-8859-1\r\n\r\n" + body
@@ -99,3 +106,35 @@ def test_derivatives_odd_rows(spark, pages):
     assert len({r.record_id for r in rows}) == 2 * (pages.count() - 1)  # repeated rows have the same ids
     records = spark.createDataFrame([("a", None), ("b", bytearray(b""))], "source_id string, record binary")
     assert warc.derivatives(records).collect() == [] and warc.derivatives(records.limit(0)).collect() == []
+
+
+def used(node):
+    return set() if node.feature < 0 else {FEATURES[node.feature]} | used(node.low) | used(node.high)
+
+
+def test_neighbours_decide():
+    assert len(used(TREE) & {"words_before", "links_before", "words_after", "links_after"}) >= 2
+    link = "<div><a href=x>Elsewhere</a></div>"
+    label = "<div>Three more stories</div>"
+    assert main_text(f"{link}{label}{link}<div>{PROSE}</div>{label}<div>{PROSE}</div>{link}", TREE) == f"{PROSE} Three more stories {PROSE}"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<svg viewBox='0'/><article><p>{PROSE}<svg><title>t</title><path d='a'/><text>no</text></svg>x</p></article>", f"{PROSE}x"),
+    (f"<math/><article><p>{PROSE}</p></article>", PROSE),
+    (f"<article><p>{PROSE}<svg><svg></svg> no</svg> yes</p></article>", f"{PROSE} yes"),
+    (f"<div><select><option>no</div><article><p>{PROSE}</p></article>", PROSE),
+    (f"<div><noscript><p>no</div><article><p>{PROSE}</p></article>", PROSE),
+    (f"<article><p>{PROSE}</p><textarea></p></div> no</textarea><p>yes, it goes on</p></article>", f"{PROSE} yes, it goes on"),
+    (f"<article><p>{PROSE}</p><script>no <p>{PROSE}", PROSE),
+    (f"<form><nav><a href=1>Home</a></nav><div><h1>Late news</h1><p>{PROSE}</p><p>{PROSE}</p></div></form>", f"Late news {PROSE} {PROSE}"),
+    (f"<form><div><a href=1>Home</a></div><article><p>{PROSE}</p></article></form>", PROSE),
+    (f"<article><p>{PROSE}</p><form><p>{PROSE}</p></form></article>", PROSE),
+    (f"<form><p>{PROSE}</p></form>", ""),
+    (f"<div class='copyright-law'><article><p>{PROSE}</p></article></div>", PROSE),
+    (f"<div class='legal-notice'><p>{PROSE}</p></div><article><p>{PROSE}</p></article>", PROSE),
+    ("<select>" * 20_000, None), ("<textarea>" * 20_000, None), ("<svg><p>" * 10_000, None), ("<form><h1>" * 3_000, None),
+])
+def test_unseen_elements_forms_and_topics(page, text):
+    found = main_text(page, TREE)
+    assert text is None or found == text
