@@ -446,6 +446,9 @@ PROJECTIONS = {
     "p17_lookup_by_name": report(
         DIM, lambda dim: lookup.lookup_by_name(dim, "CUSTOMER 00000"),
         f"select {o.CARD} from prov where display_name ilike '%customer 00000%' order by display_name, npi limit 50"),
+    "p17_indexed_by_name": Query(
+        lambda d: lookup.indexed_by_name(d.built(DIM), d.house.name_index, "CUSTOMER 00000"),
+        o.sql(f"select {o.CARD} from prov where display_name ilike '%customer 00000%' order by display_name, npi limit 50")),
     "p18_lookup_id_or_name": report(
         DIM, lambda dim: lookup.lookup(dim, " 200000000 ").unionByName(lookup.lookup(dim, "supplier#")).unionByName(lookup.lookup(dim, "ab")).unionByName(lookup.lookup(dim, "%")),
         f"""select * from (select {o.CARD} from prov where npi like '200000000%' order by npi limit 50) union all

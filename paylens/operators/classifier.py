@@ -17,6 +17,7 @@ from .. import contracts as k
 from ..session import work_dir
 from . import boosting
 from .attribution import attributions
+from .running import running_sums
 from .sampling import sample_n
 
 LABEL = "is_high_risk"
@@ -128,44 +129,20 @@ def explain(model: boosting.Boosted, frame: DataFrame, n: int | None = None, see
 
 
 # Metrics ----------------------------------------------------------------------------------
-def _sliced(points: DataFrame, value: str, cells: int) -> DataFrame:
-    """Add ``_cell``, the number of the slice a value falls in, in the order of the values."""
-    if cells < 2:
-        return points.withColumn("_cell", F.lit(0))
-    shares = F.array(*(F.lit(i / cells) for i in range(1, cells)))
-    cuts = points.agg(F.percentile_approx(value, shares, F.lit(10_000))).scalar()
-    cell = F.size(F.filter("_cuts", lambda cut: cut <= F.col(value)))
-    return points.withColumn("_cuts", cuts).withColumn("_cell", cell).drop("_cuts")
-
-
-def roc_auc(scored: DataFrame, label: str = LABEL, value: str = "score", by: Sequence[str] = (), cells: int = 256) -> DataFrame:
+def roc_auc(scored: DataFrame, label: str = LABEL, value: str = "score", by: Sequence[str] = (), cells: int | None = None) -> DataFrame:
     """Exact area under the ROC curve (ties count half), per group of ``by``.
 
-    Equal scores are combined first. The running count of positives is then built in two
-    steps, over about ``cells`` slices of the scores and inside each slice, so no task has
-    to walk through all scores. The slices are cut at quantiles of the distinct scores and
-    stay even however the scores bunch; where exactly they are cut does not change the result.
+    Equal scores are combined first. The running count of positives is then built over ``cells``
+    ranges of the scores, by default as many as shuffle partitions, so no task has to walk
+    through all scores; where the ranges are cut does not change the result.
     """
     by = list(by)
     hits, misses = F.sum(F.col(label).cast("bigint")), F.sum(F.lit(1).cast("bigint") - F.col(label))
     points = scored.groupBy(*by, F.col(value).alias("_s")).agg(hits.alias("_p"), misses.alias("_n"))
-    points = _sliced(points, "_s", cells)
-    # pairs inside a slice
-    above = Window.partitionBy(*by, "_cell").orderBy(F.col("_s").desc())
-    before = F.coalesce(F.sum("_p").over(above.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    twice = (2 * before + F.col("_p")) * F.col("_n")  # doubled, to stay in whole numbers
-    inner = points.withColumn("_pairs", twice.cast("decimal(38,0)"))
-    slices = inner.groupBy(*by, "_cell").agg(
-        F.sum("_pairs").alias("_pairs"), F.sum("_p").alias("_p"), F.sum("_n").alias("_n")
-    )
-    # positives in the slices above: at most cells+1 rows per group
-    higher = Window.partitionBy(*by).orderBy(F.col("_cell").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    outer = 2 * F.coalesce(F.sum("_p").over(higher), F.lit(0)) * F.col("_n")
-    total = slices.withColumn("_pairs", F.col("_pairs") + outer.cast("decimal(38,0)"))
+    points = running_sums(points, [F.col("_s").desc()], {"_upto": "_p"}, by, cells)
+    twice = (2 * F.col("_upto") - F.col("_p")).cast("decimal(19,0)") * F.col("_n").cast("decimal(19,0)")  # doubled, to stay in whole numbers
     possible = 2.0 * F.sum("_p").cast("double") * F.sum("_n").cast("double")
-    return total.groupBy(*by).agg(
-        (F.sum("_pairs").cast("double") / F.nullif(possible, F.lit(0.0))).alias("roc_auc")
-    )
+    return points.groupBy(*by).agg((F.sum(twice).cast("double") / F.nullif(possible, F.lit(0.0))).alias("roc_auc"))
 
 
 def confusion(scored: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:

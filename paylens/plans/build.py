@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 from .. import contracts as k
 from ..sources.ledger import record_run
 from ..sources.raw import now
-from . import enrich, marts, staging
+from . import enrich, lookup, marts, staging
 
 # Written by year, so that a read of one year opens that year's folder only, and cut into ranges
 # of providers, so that a provider's rows of a year lie in one file, or few neighbouring ones, and
 # the others are skipped by their statistics. The files are as many as the shuffle's partitions,
 # which adaptive execution sizes by the data.
 BY_YEAR = {"int_utilization_enriched", "int_spending_enriched", "anl_provider_withhold_risk"}
+# Not split by year, but read by provider as well.
+BY_PROVIDER = {"dim_providers"}
+# A provider's rows are looked up by id: besides the ranges, Bloom filters tell row groups without it.
+POINT_READS = {"parquet.bloom.filter.enabled#npi": "true"}
 
 # Tables of a layer that do not read each other are written at the same time: the tail of
 # one job leaves executors free for the next.
@@ -89,12 +93,19 @@ class Warehouse:
         }
         return plans[name]()
 
+    @property
+    def name_index(self) -> str:
+        """Where the postings of the registry's names lie."""
+        return f"{self.root}/dim_providers_names"
+
     def write(self, name: str) -> int:
         """Build one table and return its rows, counted by the write itself."""
         seen = Observation(name)
         df = self.plan(name).observe(seen, F.count(F.lit(1)).alias("rows"))
         if name in BY_YEAR:
-            writer = df.repartitionByRange("year", "npi").sortWithinPartitions("year", "npi").write.partitionBy("year")
+            writer = df.repartitionByRange("year", "npi").sortWithinPartitions("year", "npi").write.partitionBy("year").options(**POINT_READS)
+        elif name in BY_PROVIDER:
+            writer = df.repartitionByRange("npi").sortWithinPartitions("npi").write.options(**POINT_READS)
         else:
             writer = df.write
         writer.mode("overwrite").parquet(f"{self.root}/{name}")
@@ -105,6 +116,8 @@ class Warehouse:
         with ThreadPoolExecutor(max_workers=8) as pool:
             for wave in WAVES[layer]:
                 rows.update(zip(wave, pool.map(self.write, wave)))
+        if "dim_providers" in rows:
+            lookup.write_name_index(self.table("dim_providers"), self.name_index)
         return rows
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as c
 from ..operators.joins import lookup_join
+from ..operators.running import running_sums
 from .marts import RATE, one_row
 
 
@@ -162,31 +163,22 @@ def cost_by_year(drugs: DataFrame) -> DataFrame:
     return drugs.groupBy("year").agg(F.sum("total_medicare_cost").alias("total_medicare_cost"))
 
 
-def pareto(drugs: DataFrame, year: int, n: int | None = None, slices: int = 256) -> DataFrame:
+def pareto(drugs: DataFrame, year: int, n: int | None = None, slices: int | None = None) -> DataFrame:
     """Running cost and its share over all rows of a year, or over its ``n`` costliest ones.
 
-    The running sum is built in two steps: over slices of the costs, cut at their quantiles, and
-    inside each slice, so that no task walks through all rows. Where the cuts lie does not change
-    the result.
+    The running sum is built over ranges of the costs and inside each range, so that no task walks
+    through all rows. Where the ranges are cut does not change the result.
     """
     rows = _in_year(drugs, year)
     if n is not None:
         rows = top(rows, "total_medicare_cost", n, "drug_name", "generic_name")
     rows = rows.select("drug_name", "generic_name", "total_medicare_cost", "total_claims", "prescriber_count")
-    cost = F.col("total_medicare_cost")
-    shares = F.array(*(F.lit(i / slices) for i in range(1, slices)))
-    cuts = rows.agg(F.percentile_approx(cost.cast("double"), shares, F.lit(10_000)).alias("_cuts"))
-    sliced = rows.join(F.broadcast(cuts)).withColumn(  # one row
-        "_slice", F.size(F.filter("_cuts", lambda cut: cut <= F.coalesce(cost.cast("double"), F.lit(float("-inf")))))).drop("_cuts")
-    sums = sliced.groupBy("_slice").agg(F.sum(cost).alias("_sum"))  # at most as many rows as slices
-    higher = Window.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select("_slice", F.sum("_sum").over(higher).alias("_before"), F.sum("_sum").over(Window.partitionBy()).alias("_total"))
-    order = Window.partitionBy("_slice").orderBy(cost.desc_nulls_last(), "drug_name", F.col("generic_name").asc_nulls_last())
-    inside = F.sum(cost).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    running = F.coalesce(F.col("_before") + F.coalesce(inside, F.lit(0)), inside)
-    return sliced.join(F.broadcast(before), "_slice").withColumn("cum_cost", running.cast("decimal(38,2)")).withColumn(
+    order = [F.col("total_medicare_cost").desc_nulls_last(), F.col("drug_name").asc(), F.col("generic_name").asc_nulls_last()]
+    cost = "total_medicare_cost"
+    added = running_sums(rows, order, {"cum_cost": cost}, slices=slices, totals={"_total": cost})
+    return added.withColumn("cum_cost", F.col("cum_cost").cast("decimal(38,2)")).withColumn(
         "cum_pct", F.col("cum_cost").cast("double") / F.col("_total").cast("double")
-    ).drop("_slice", "_before", "_total")
+    ).drop("_total")
 
 
 def pareto_cutoff(ranked: DataFrame, share: float = 0.8) -> DataFrame:

@@ -37,12 +37,6 @@ def test_auc_equals_all_pairs(spark, pairs):
         assert got == want or abs(got - want) < 1e-12
 
 
-def test_auc_slices_stay_even_when_scores_bunch(spark):
-    scores = spark.range(4_000).selectExpr("0.5 + id / 1e9 as _s")
-    sizes = [r["count"] for r in ml._sliced(scores, "_s", 16).groupBy("_cell").count().collect()]
-    assert len(sizes) == 16 and max(sizes) < 300
-
-
 def test_auc_per_group(spark):
     df = spark.createDataFrame([("a", 1, 0.9), ("a", 0, 0.1), ("b", 1, 0.1), ("b", 0, 0.9)], "g string, is_high_risk int, score double")
     assert {r.g: r.roc_auc for r in ml.roc_auc(df, by=["g"]).collect()} == {"a": 1.0, "b": 0.0}
