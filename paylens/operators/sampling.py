@@ -3,14 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BITS = 16  # the hash range is counted in 2**BITS slots
 
 
+def _hashed(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
+    hashed = df.withColumn("_hash", F.xxhash64(*keys, F.lit(seed)))
+    return hashed.withColumn("_slot", F.shiftrightunsigned("_hash", 64 - BITS))
+
+
+def _place(keys: Sequence[str], *group: str) -> Column:
+    """The place of a row inside a slot."""
+    rest = [F.col(f"`{x}`").asc_nulls_last() for x in keys]
+    return F.row_number().over(Window.partitionBy(*group).orderBy("_hash", *rest))
+
+
 def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all rows if there are fewer): those with the smallest seeded hash
     of ``keys``, which should identify a row. The same input gives the same sample.
@@ -20,8 +30,7 @@ def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> Data
     1/2**BITS of the table, is ordered to fill the sample up. So no task ever holds the
     sample, unlike with a sort and limit.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(*keys, F.lit(seed)))
-    hashed = hashed.withColumn("_slot", F.shiftrightunsigned("_hash", 64 - BITS))
+    hashed = _hashed(df, keys, seed)
     counts = hashed.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows"))
     running = F.sum("_rows").over(Window.orderBy("_slot"))  # at most 2**BITS rows
     last = (
@@ -33,9 +42,7 @@ def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> Data
     room = last.select(F.lit(n) - F.col("_last._upto") + F.col("_last._rows")).scalar()
 
     whole = hashed.filter(F.col("_slot") < slot)
-    rest = [F.col(f"`{x}`").asc_nulls_last() for x in keys]
-    place = F.row_number().over(Window.partitionBy("_slot").orderBy("_hash", *rest))
-    part = hashed.filter(F.col("_slot") == slot).withColumn("_place", place)
+    part = hashed.filter(F.col("_slot") == slot).withColumn("_place", _place(keys, "_slot"))
     part = part.filter(F.col("_place") <= room).drop("_place")
     return whole.unionByName(part).drop("_hash", "_slot")
 
@@ -46,5 +53,22 @@ def stratified_cap(
     """Thin a table to at most the given number of rows per stratum; strata that are not
     named are dropped. A table has no row order, so "the first n" and "a sample of n" are
     the same repeatable choice here."""
-    parts = [sample_n(df.filter(F.col(column) == value), n, keys, seed) for value, n in strata.items()]
-    return reduce(DataFrame.unionByName, parts)
+
+    # All strata are counted by slot in one pass, and cut as ``sample_n`` cuts a table.
+    if not strata:
+        return df.limit(0)
+    cap = F.create_map(*(F.lit(x) for pair in strata.items() for x in pair))
+    hashed = _hashed(df.filter(F.col(column).isin(*strata)), keys, seed)
+    counts = hashed.groupBy(F.col(column).alias("_stratum"), "_slot").agg(F.count(F.lit(1)).alias("_rows"))
+    running = F.sum("_rows").over(Window.partitionBy("_stratum").orderBy("_slot"))  # at most 2**BITS rows a stratum
+    last = (
+        counts.withColumn("_upto", running)
+        .filter(F.col("_upto") >= cap[F.col("_stratum")])
+        .groupBy("_stratum").agg(F.min(F.struct("_slot", "_upto", "_rows")).alias("_last"))
+        .select("_stratum", F.col("_last._slot").alias("_end"), (cap[F.col("_stratum")] - F.col("_last._upto") + F.col("_last._rows")).alias("_room"))
+    )
+    placed = hashed.join(F.broadcast(last), F.col(column) == F.col("_stratum"), "left")  # a row for each named stratum at most
+    whole = placed.filter("_end is null or _slot < _end")
+    part = placed.filter("_slot = _end").withColumn("_place", _place(keys, "_stratum", "_slot"))
+    part = part.filter("_place <= _room").drop("_place")
+    return whole.unionByName(part).select(*(F.col(f"`{x}`") for x in df.columns))

@@ -41,3 +41,22 @@ def test_stratified_cap_drops_other_strata(spark):
     df = spark.range(3_000).withColumn("band", F.element_at(F.array(F.lit("High"), F.lit("Low"), F.lit("At Median")), (F.col("id") % 3 + 1).cast("int")))
     got = {r.band: r["count"] for r in stratified_cap(df, "band", {"High": 100, "Low": 5_000}, ["id"]).groupBy("band").count().collect()}
     assert got == {"High": 100, "Low": 1_000}
+
+
+def test_strata_are_the_samples_of_each(spark):
+    """A stratum with most of the rows, a small one, one that gets nothing, nulls and one that is not there."""
+    band = F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 == 7, "small").when(F.col("id") % 10 == 8, "none")
+    df = spark.range(4_000).withColumn("band", band)
+    caps = {"hot": 900, "small": 399, "none": 0, "absent": 5}
+    got = stratified_cap(df, "band", caps, ["id"], seed=3)
+    assert got.columns == df.columns
+    want = [i for value, n in caps.items() for i in ids(sample_n(df.filter(F.col("band") == value), n, ["id"], 3))]
+    assert ids(got) == sorted(want) and len(want) == 1_299
+    assert stratified_cap(df, "band", {}, ["id"]).collect() == [] and stratified_cap(df.limit(0), "band", caps, ["id"]).collect() == []
+
+
+def test_more_strata_take_no_more_scans(spark, folder):
+    spark.range(100).selectExpr("id", "cast(id % 5 as string) as band").write.parquet(folder + "/rows")
+    df = spark.read.parquet(folder + "/rows")
+    scans = [stratified_cap(df, "band", {str(i): 9 for i in range(k)}, ["id"])._jdf.queryExecution().optimizedPlan().toString().count("parquet") for k in (1, 5)]
+    assert scans[0] == scans[1]
