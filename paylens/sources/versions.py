@@ -137,7 +137,9 @@ def publish(df: DataFrame, path: str, ends: str, year: str | None = None, signat
     marks = spark.createDataFrame([(str(year) if year is not None else None,)], "year string").select("year", F.lit(None).cast("string").alias("file"), F.lit(0).cast("long").alias("rows"), F.lit(None).cast("string").alias("signature"))
     entries = found.unionByName(marks).select(
         F.lit(number).cast("long").alias("number"), F.lit(version).alias("version"), F.current_timestamp().alias("at"), F.lit(ends).alias("ends"),
-        "year", "file", "rows", "signature", F.lit(kind.json()).alias("schema")).coalesce(1).persist()
+        "year", "file", "rows", "signature", F.lit(kind.json()).alias("schema"))
+    # one file, by a shuffle of these few rows: a coalesce would run the count and the join of all partitions inside one task
+    entries = entries.repartition(1).persist()
     try:
         counted = entries.agg(F.sum("rows")).first()[0]
         if counted != total:

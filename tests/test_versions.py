@@ -129,3 +129,16 @@ def test_ragged_files_show_in_the_status(spark, folder):
     path = put(folder, "t_2024.csv", "a,b\n1,2\n3\n")
     with pytest.raises(Exception, match="(?i)malformed"):
         raw.file_counts(spark, [path]).collect()
+
+
+def test_the_manifest_is_not_counted_and_joined_by_one_task(spark, folder):
+    plans = []
+
+    def commit(entries, where):
+        plans.append(entries._jdf.queryExecution().toString())
+        versions._append(entries, where)
+
+    versions.publish(frame(spark, ("1", "2023", "x"), ("2", "2024", "y")), folder + "/t", versions.TABLE, commit=commit)
+    assert "Coalesce 1" not in plans[0]  # it pulls all partitions of the join into its task
+    assert len(list(Path(folder, "t", "manifest").glob("part-*.parquet"))) == 1
+    assert rows(spark, folder + "/t") == [("1", "2023", "x"), ("2", "2024", "y")]
