@@ -85,12 +85,13 @@ def route(path: str, routes: Mapping[str, str] = k.FILE_ROUTES) -> tuple[str, st
 # Reading ------------------------------------------------------------------------------------
 @dataclass(frozen=True)
 class Part:
-    """A file or part file: its header line, and whether it has line breaks inside quotes, told
-    by a line with an odd number of quotes."""
+    """A file or part file: its header line, whether it has line breaks inside quotes, told
+    by a line with an odd number of quotes, and its path as rows name it."""
 
     path: str
     header: str
     whole: bool
+    uri: str
 
 
 def survey(spark: SparkSession, paths: str | Sequence[str]) -> list[Part]:
@@ -101,7 +102,7 @@ def survey(spark: SparkSession, paths: str | Sequence[str]) -> list[Part]:
         F.col("_metadata.file_path").alias("path"), "value", (quotes % 2 == 1).alias("odd"),
         F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"))
     found = placed.groupBy("path").agg(F.min_by("value", "place").alias("header"), F.bool_or("odd").alias("whole"))
-    return [Part(unquote(r.path), r.header, r.whole) for r in found.orderBy("path").collect()]  # a row for each file
+    return [Part(unquote(r.path), r.header, r.whole, r.path) for r in found.orderBy("path").collect()]  # a row for each file
 
 
 def scans(spark: SparkSession, parts: Sequence[Part]) -> list[DataFrame]:
@@ -131,16 +132,38 @@ def read_raw_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return union_years([frame.drop(quoted.PATH) for frame in frames])
 
 
-def add_lineage(df: DataFrame, loaded_at: datetime | str) -> DataFrame:
+def _file_name(path: Column | str) -> Column:
+    """What a row's file is called: its name, with the part for a file that is a directory of parts."""
+    return F.regexp_replace(F.regexp_extract(path, r"[^/]+(?:\.csv/[^/]+)?$", 0), f"^{PREFIX}", "")
+
+
+def _file_year(name: Column | str) -> Column:
+    return year_of(stem(F.element_at(F.split(name, "/"), 1)))
+
+
+def names_of(spark: SparkSession, parts: Sequence[Part]) -> DataFrame:
+    """A row for each part: its path, and the name and year that its rows get."""
+    paths = spark.createDataFrame([(part.uri,) for part in parts], "_part string")
+    named = paths.withColumn("_part_name", _file_name("_part")).withColumn("_part_year", _file_year("_part_name"))
+    # values: Spark would infer filters on the expressions for the scans as well
+    return spark.createDataFrame(named.collect(), named.schema)  # a row for each part
+
+
+def add_lineage(df: DataFrame, loaded_at: datetime | str, names: DataFrame | None = None) -> DataFrame:
     """File name, load time, and the year from the file name if the file has no such column.
-    The file name includes the part for a file that is a directory of parts."""
-    path = quoted.PATH if quoted.PATH in df.columns else "_metadata.file_path"
-    file = F.regexp_extract(path, r"[^/]+(?:\.csv/[^/]+)?$", 0)
-    out = df.withColumn(SOURCE, F.regexp_replace(file, f"^{PREFIX}", ""))
-    if "year" not in [x.strip().lower() for x in df.columns]:
-        name = F.element_at(F.split(SOURCE, "/"), 1)
-        out = out.withColumn("year", year_of(stem(name)))
-    return out.drop(quoted.PATH).withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp"))
+    The file name includes the part for a file that is a directory of parts.
+
+    ``names``: optional, of :func:`names_of`; name and year are then worked out once for a file, not for every row
+    and, as filters repeat the expressions they are on, many times over."""
+    path, had = quoted.PATH if quoted.PATH in df.columns else "_metadata.file_path", df.columns
+    name, year = _file_name(path), _file_year(SOURCE)
+    if names is not None:
+        df = df.select("*", F.col(path).alias("_path")).join(F.broadcast(names), F.col("_path") == F.col("_part"), "left")
+        name, year = F.col("_part_name"), F.col("_part_year")
+    out = df.withColumn(SOURCE, name)
+    if "year" not in [x.strip().lower() for x in had]:
+        out = out.withColumn("year", year)
+    return out.drop(quoted.PATH, "_path", "_part", "_part_name", "_part_year").withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp"))
 
 
 def load_files(spark: SparkSession, paths: Sequence[str], loaded_at: datetime | str) -> DataFrame:
@@ -151,7 +174,8 @@ def load_files(spark: SparkSession, paths: Sequence[str], loaded_at: datetime |
     found = {entry_name(part.path) for part in parts}
     if empty := [path for path in paths if entry_name(unquote(path)) not in found]:
         raise ValueError(f"no header line: {', '.join(empty)}")
-    return union_years([null_tokens(normalize_headers(add_lineage(frame, loaded_at))) for frame in scans(spark, parts)])
+    names = names_of(spark, parts)
+    return union_years([null_tokens(normalize_headers(add_lineage(frame, loaded_at, names))) for frame in scans(spark, parts)])
 
 
 def union_years(frames: Sequence[DataFrame]) -> DataFrame:

@@ -193,3 +193,18 @@ def test_publish_and_export(spark, folder):
     publish.export_csv(tables, folder + "/csv", ["anl_provider_withhold_risk"])
     back = files.read_raw_csv(spark, folder + "/csv/anl_provider_withhold_risk")
     assert back.columns == risk.columns and back.count() == 1_000
+
+
+def test_names_and_years_are_worked_out_once_for_a_file(spark, folder):
+    put(folder, "file=t_2023.csv/part-0.csv", "a\n1\n")
+    put(folder, "t_2024.csv", 'a\n"2\n2"\n')
+    put(folder, "u.csv", "a,Year\n3,1999\n4,NA\n")
+    paths = [row.path for row in files.list_files(spark, folder).collect()]
+    loaded = files.load_files(spark, paths, "2024-01-01 00:00:00")
+    got = sorted(((r.a, r[files.SOURCE], r.year) for r in loaded.collect()), key=str)
+    assert got == [("1", "t_2023.csv/part-0.csv", "2023"), ("2\n2", "t_2024.csv", "2024"), ("3", "u.csv", "1999"), ("4", "u.csv", None)]
+    assert loaded.columns == ["a", files.SOURCE, "year", "_loaded_at"]
+    few = loaded.filter((F.col("year").cast("int") < 2000) | (F.col("year").cast("int") == 2023))
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan  # neither in the scans nor in the filters inferred for them
+    assert few.count() == 2
