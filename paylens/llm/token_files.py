@@ -23,23 +23,16 @@ BLOCK = 1 << 18  # a block is closed once it has so many ids
 _ROWS = "part int, at long, n long, ids binary, doc_ids binary, known binary, sizes binary"
 
 
-def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """``id`` and ``ids``: each text's ids and the end id, as little-endian integers."""
+def blocked(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+    """Ordered documents in blocks: the partition, the ids before a block in it, and its documents, each
+    with its text's ids and the end id as little-endian integers.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path)
-        end = np.array([end_id], coder.dtype).tobytes()
-        for batch in batches:
-            ids = [coder.encode(text) + end if text else end for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.large_binary()).cast(pa.binary())], ["id", "ids"])
-
-    return mapped(docs, run, "id long, ids binary")
-
-
-def blocked(rows: DataFrame, width: int) -> DataFrame:
-    """Ordered documents in blocks: the partition, the ids before a block in it, and its documents."""
+    One step: as two, every task would hold two Python workers, and the ids would pass between them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(path)
+        width, end = coder.dtype.itemsize, np.array([end_id], coder.dtype).tobytes()
         part, at = TaskContext.get().partitionId(), 0
         ids: list[bytes] = []
         names: list[int | None] = []
@@ -54,7 +47,9 @@ def blocked(rows: DataFrame, width: int) -> DataFrame:
                                               ["part", "at", "n", "ids", "doc_ids", "known", "sizes"])
 
         for batch in batches:
-            for name, found in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist()):
+            for name, text in zip(batch.column("id").to_pylist(), batch.column("text")):
+                text = text.as_py()  # one at a time: a batch of long texts is held once only
+                found = coder.encode(text) + end if text else end
                 names.append(name)
                 ids.append(found)
                 size += len(found) // width
@@ -64,7 +59,7 @@ def blocked(rows: DataFrame, width: int) -> DataFrame:
         if names:
             yield close()
 
-    return mapped(rows, run, _ROWS)
+    return mapped(docs, run, _ROWS)
 
 
 def counted(blocks: DataFrame, width: int) -> DataFrame:
@@ -115,7 +110,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, i
     rows = picked(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
     # texts are dealt first: the bounds of the ranges come from a pass of their own over what is dealt
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-    blocks = stored(blocked(tokenized(ordered, vocabulary, end_id), width), "token-blocks")
+    blocks = stored(blocked(ordered, vocabulary, end_id), "token-blocks")
     counts = counted(blocks, width).collect()  # no more rows than the vocabulary has entries
     table = np.zeros(max((r.symbol for r in counts), default=-1) + 1, np.int64)
     for r in counts:

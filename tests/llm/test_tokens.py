@@ -8,7 +8,9 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from paylens.llm import rans
+from paylens.llm import token_files as files
 from paylens.llm.queries import VOCABULARY, token_files
+from paylens.llm.store import stored
 from paylens.llm.token_files import read_tokens, write_tokens
 from paylens.llm.tokens import Encoder
 
@@ -89,3 +91,18 @@ def test_odd_rows(spark, odd, none, folder):
     assert all(found == [*ids(texts[i]), 1] for i, found in by.items())
     write_tokens(none, f"{folder}/none", VOCABULARY)
     assert read_tokens(spark, f"{folder}/none").collect() == []
+
+
+def test_a_task_holds_one_python_worker(spark, folder, monkeypatch):
+    """Two steps in a row hold two workers, and executors have memory for one a task."""
+    seen = []
+
+    def noted(df, name):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(files, "stored", noted)
+    write_tokens(spark.createDataFrame([(2, "b c"), (1, None), (None, "a")], "doc_id long, text string"), f"{folder}/t", VOCABULARY)
+    assert [plan.count("MapInArrow") for plan in seen] == [1]
+    got = {r.doc_id: (r.start, r.n_tokens) for r in read_tokens(spark, f"{folder}/t").collect()}
+    assert got == {None: (0, len(ids("a")) + 1), 1: (len(ids("a")) + 1, 1), 2: (len(ids("a")) + 2, len(ids("b c")) + 1)}
