@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from paylens import contracts as k
 from paylens.operators.dedupe import latest_per_key, one_per_key
+from paylens.operators.joins import hot_keys
 from paylens.plans import enrich, staging
+from paylens.plans.build import Warehouse
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 2, 1)
 
@@ -97,3 +99,34 @@ def test_copies_are_dropped_before_the_shuffle(spark):
     text = plan(staging.stage_spending(raw))
     above, below = text.split("Exchange hashpartitioning", 1)
     assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
+
+
+def test_rows_of_a_fact_are_shuffled_once(spark, folder):
+    rows = [("1", f"B{i % 7}", None, "1", str(i), "2023", T1) for i in range(60)]  # more rows than an average partition
+    rows += [(str(2 + i % 9), f"B{i % 3}", "G", "1", str(i), str(2023 + i % 2), (T1, T2)[i % 2]) for i in range(40)]
+    rows += [("", "B", "G", "1", "1", "2023", T1), (None, "B", "G", "1", "1", "2023", T1)]
+    raw = spending(spark, *rows).repartition(3)
+    people = [{"npi": str(i), "entity_type_code": "2", k.REGISTRY_ORG_OTHER: f"Org {i}"} for i in (1, 2, 3, 99)]
+    provider = enrich.providers(staging.stage_providers(registry(spark, *people))).drop("_updated_at")
+    plain = enrich.enrich_spending(staging.stage_spending(raw), provider).drop("_loaded_at")
+    wanted = sorted(map(str, plain.collect()))
+    house = Warehouse(spark, folder, {"cms_part_d_spending": raw})
+    provider.write.parquet(f"{folder}/int_providers")
+    for limit, shuffle in (("10m", "rangepartitioning(year"), ("-1", "hashpartitioning(npi")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            facts = house.plan("int_spending_enriched")
+            text = plan(facts)
+            assert "_salt" not in text
+            assert [shuffle in x for x in text.splitlines() if "REPARTITION_BY_COL" in x and "_spot" not in x].count(True) >= 1
+            assert sum("Exchange" in x and "_spot" in x for x in text.splitlines()) == 1  # the few providers with very many rows
+            assert sorted(map(str, facts.drop("_loaded_at").collect())) == wanted
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert house.write("int_spending_enriched") == len(wanted)
+    assert sorted(map(str, house.table("int_spending_enriched").select(*plain.columns).collect())) == wanted
+
+
+def test_weighted_hot_keys(spark):
+    sizes = spark.createDataFrame([("1", 5), ("1", 4), ("2", 1), ("3", 2)], "npi string, rows long")
+    assert [r.npi for r in hot_keys(sizes, ["npi"], 0.5, "rows").collect()] == ["1"]
