@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import builtins
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -23,7 +24,7 @@ from .sampling import sample_n
 LABEL = "is_high_risk"
 ROW_KEY = "provider_risk_id"
 NO_CATEGORY = "__null__"
-ROWS_PER_TASK = 10_000
+ROWS_PER_TASK = 25_000  # a level of a tree is a job: below this a task's start costs as much as its work
 
 
 # Data -------------------------------------------------------------------------------------
@@ -91,12 +92,13 @@ def encode(frame: DataFrame, encoder: PipelineModel) -> DataFrame:
 
 def fit_classifier(train: DataFrame, params: Mapping | None = None) -> PipelineModel:
     """Boosted trees. The training set is capped and read once for every tree level, so it is
-    kept in memory and spread by its size: a task per few thousand rows, not per core."""
+    kept in memory and spread by its size: a task per ``ROWS_PER_TASK`` rows, not per core. It is shuffled
+    for that: every task carries the plan of what it reads, up to the last shuffle."""
     ready = _prepared(train).persist()
     try:
-        parts = ready.count() // ROWS_PER_TASK + 1
+        parts = max(1, math.ceil(ready.count() / ROWS_PER_TASK))
         encoder = fit_encoder(ready)
-        data = encoder.transform(ready).select("features", LABEL).coalesce(parts)
+        data = encoder.transform(ready).select("features", LABEL).repartition(parts)
         settings = {**k.GBT_PARAMS, **(params or {})}
         model = GBTClassifier(labelCol=LABEL, featuresCol="features", maxMemoryInMB=512, **settings).fit(data)
     finally:

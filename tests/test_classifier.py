@@ -98,3 +98,20 @@ def test_training_frame(spark):
     out = ml.training_frame(risk, 2023, 2024)
     assert out.count() == risk.filter("withhold_risk_band <> 'At Median'").count()
     assert out.agg(F.sum("is_high_risk")).first()[0] == risk.filter("withhold_risk_band = 'High'").count()
+
+
+def test_fit_spreads_its_rows_by_their_number(spark, monkeypatch):
+    """400 rows in tasks of about 50, whatever the partitions of the input, in a plan that starts at a shuffle."""
+    sizes, plans = [], []
+
+    class Watched(ml.GBTClassifier):
+        def fit(self, data):
+            sizes.extend(r.n for r in data.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect())
+            plans.append(data._jdf.queryExecution().optimizedPlan().toString())
+            return super().fit(data)
+
+    monkeypatch.setattr(ml, "GBTClassifier", Watched)
+    monkeypatch.setattr(ml, "ROWS_PER_TASK", 50)
+    ml.fit_classifier(frame(spark).coalesce(2), {"maxIter": 1})
+    assert len(sizes) == 8 and sum(sizes) == 400 and max(sizes) <= 60
+    assert plans[0].startswith("Repartition 8, true")
