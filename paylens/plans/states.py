@@ -9,6 +9,7 @@ state is a versioned table (:mod:`..sources.versions`), in which a year's rows a
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,15 +59,20 @@ class YearStates:
 
     def put(self, years: Sequence[int], utilization: DataFrame, fact: DataFrame) -> dict[str, int]:
         """Build the states of these years, from their rows alone, in place of what there was of them. Of
-        other years nothing is read or changed. Returns the rows of each state."""
+        other years nothing is read or changed. Returns the rows of each state.
+
+        The states do not read each other, so they are written at the same time: the tail of one leaves
+        executors free for the next."""
         names = {f"year={y}": "" for y in years}  # a year without rows ends its old ones too
-        out = {}
-        for states, rows in ((UTILIZATION, utilization), (FACT, fact)):
-            own = rows.filter(F.col("year").isin(*years))
-            for name, make in states.items():
-                state = make(own).withColumn(SOURCE, F.concat(F.lit("year="), F.col("year").cast("string")))
-                out[name] = versions.publish(state, f"{self.root}/{name}", versions.FILE, signatures=names)
-        return out
+
+        def write(name: str, make: Callable[[DataFrame], DataFrame], rows: DataFrame) -> int:
+            state = make(rows.filter(F.col("year").isin(*years)))
+            state = state.withColumn(SOURCE, F.concat(F.lit("year="), F.col("year").cast("string")))
+            return versions.publish(state, f"{self.root}/{name}", versions.FILE, signatures=names)
+
+        jobs = [(name, make, rows) for states, rows in ((UTILIZATION, utilization), (FACT, fact)) for name, make in states.items()]
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            return {job[0]: rows for job, rows in zip(jobs, pool.map(lambda job: write(*job), jobs))}
 
     def state(self, name: str) -> DataFrame:
         rows = versions.read(self.spark, f"{self.root}/{name}").drop(SOURCE)

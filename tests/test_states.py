@@ -1,9 +1,12 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
 from paylens.contract.registry import Data
 from paylens.plans import marts
 from paylens.plans.states import YearStates
+from paylens.sources import versions
 
 
 @pytest.fixture(scope="module")
@@ -50,3 +53,12 @@ def test_a_new_year_reads_its_own_rows_only(spark, folder, frames):
     before = states.drugs().filter("year = 1998").count()
     out = states.put([1999], read("u"), read("f"))
     assert out["drugs"] == states.drugs().filter("year = 1999").count() and states.drugs().filter("year = 1998").count() == before
+
+
+def test_states_are_written_at_the_same_time(spark, folder, frames, monkeypatch):
+    """None is published before all of them have begun."""
+    utilization, fact, _ = frames
+    names = {"benchmark", "drugs", "costs", "ids", "names"}
+    begun = threading.Barrier(len(names), timeout=20)
+    monkeypatch.setattr(versions, "publish", lambda state, path, *rest, **signed: begun.wait() * 0 + len(path.split("/")[-1]))
+    assert YearStates(spark, folder).put([1999], utilization, fact) == {name: len(name) for name in names}
