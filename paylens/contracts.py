@@ -160,4 +160,3 @@ GBT_PARAMS = {
     "featureSubsetStrategy": "0.8", "seed": 42,
 }
 MAX_CATEGORIES = 50
-TRAIN_CAP = 300_000

@@ -40,7 +40,8 @@ def temporal_split(frame: DataFrame, first: int, second: int) -> tuple[DataFrame
     return frame.filter(F.col("year") == first), frame.filter(F.col("year") == second)
 
 
-def cap_rows(train: DataFrame, n: int = k.TRAIN_CAP, seed: int = 42) -> DataFrame:
+def cap_rows(train: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """A seeded sample of ``n`` rows, for a trial fit; no registered query takes one."""
     return sample_n(train, n, [ROW_KEY], seed)
 
 
@@ -91,7 +92,7 @@ def encode(frame: DataFrame, encoder: PipelineModel) -> DataFrame:
 
 
 def fit_classifier(train: DataFrame, params: Mapping | None = None) -> PipelineModel:
-    """Boosted trees. The training set is capped and read once for every tree level, so it is
+    """Boosted trees over all rows. The training set is read once for every tree level, so it is
     kept in memory and spread by its size: a task per ``ROWS_PER_TASK`` rows, not per core. It is shuffled
     for that: every task carries the plan of what it reads, up to the last shuffle."""
     ready = _prepared(train).persist()

@@ -4,6 +4,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from paylens import contracts as k
+from paylens.contract import registry
 from paylens.operators import classifier as ml
 
 
@@ -115,3 +116,11 @@ def test_fit_spreads_its_rows_by_their_number(spark, monkeypatch):
     ml.fit_classifier(frame(spark).coalesce(2), {"maxIter": 1})
     assert len(sizes) == 8 and sum(sizes) == 400 and max(sizes) <= 60
     assert plans[0].startswith("Repartition 8, true")
+
+
+def test_split_takes_every_training_row(spark, monkeypatch):
+    rows = spark.range(300_007).select(F.concat(F.lit("id"), "id").alias("provider_risk_id"), F.lit(registry.Y0).alias("year"))
+    whole = rows.unionByName(rows.limit(5).withColumn("year", F.lit(registry.Y1)))
+    monkeypatch.setattr(registry.Data, "training", lambda self: whole)
+    assert [x.count() for x in registry.Data(spark, "").split()] == [300_007, 5]
+    assert "least(" not in registry.METRICS_SQL
