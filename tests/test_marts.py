@@ -141,3 +141,13 @@ def test_provider_year_first_step_is_a_hash_aggregate(spark):
     text = marts.provider_year(spark.createDataFrame([line()], UTIL))._jdf.queryExecution().executedPlan().toString()
     first = text[text.rindex("Exchange hashpartitioning"):]  # the part that reads the lines
     assert "HashAggregate" in first and "SortAggregate" not in first
+
+
+def test_prescribers_are_counted_without_the_sums(spark):
+    """What is shuffled by provider is the id and its group."""
+    text = marts.drug_spending(spark.createDataFrame([], "npi string, drug_name string, generic_name string, year int, total_claim_count int, "
+                                                     "total_day_supply int, total_drug_cost decimal(18,2)"))._jdf.queryExecution().executedPlan().toString()
+    sent = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "npi" in line]
+    assert len(sent) == 1
+    below = text[text.index(sent[0]):].splitlines()[1]
+    assert "HashAggregate" in below and "sum(" not in below

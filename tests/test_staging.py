@@ -130,3 +130,33 @@ def test_rows_of_a_fact_are_shuffled_once(spark, folder):
 def test_weighted_hot_keys(spark):
     sizes = spark.createDataFrame([("1", 5), ("1", 4), ("2", 1), ("3", 2)], "npi string, rows long")
     assert [r.npi for r in hot_keys(sizes, ["npi"], 0.5, "rows").collect()] == ["1"]
+
+
+def test_a_row_comes_back_as_it_went(spark):
+    odd = [None, "", "a", " ", "-", "\u0001", "\u0002", "a\u0001", "\u0002b", "\\", "é\u0003", "\u0001\u0002", "x" * 99]
+    rows = [(str(i), x, y, i, odd[(i * 5) % 13]) for i, (x, y) in enumerate((x, y) for x in odd for y in odd)]
+    typed = spark.createDataFrame([*rows, (None, None, None, None, None), (None, "", None, 1, "")], "npi string, a string, b string, n int, c string")
+    for some in (typed, typed.select("npi", "n"), typed.select("a")):
+        got = staging.dealt(some, lambda x: x.repartition(3))
+        assert got.dtypes == some.dtypes and sorted(map(str, got.collect())) == sorted(map(str, some.collect()))
+
+
+def test_texts_are_shuffled_as_one(spark):
+    raw = spending(spark, ("1", "B", "G", "1", "10", "2023", T1))
+    text = staging.stage_spending(raw, lambda x: x.repartition("npi"))._jdf.queryExecution().executedPlan().toString()
+    sent = text.split("REPARTITION_BY_COL")[1]  # below the shuffle
+    assert "AS _texts" in sent and "AS _parts" in text.split("REPARTITION_BY_COL")[0]
+
+
+def test_without_a_hot_provider_a_fact_is_read_once(spark):
+    raw = spending(spark, *((str(i), "B", "G", "1", str(i), "2023", T1) for i in range(40)))
+    provider = enrich.providers(staging.stage_providers(registry(spark, {"npi": "1", k.REGISTRY_ORG_OTHER: "Org"})))
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            facts = enrich.spending(raw, provider)
+            text = plan(facts)
+            assert "Union" not in text and text.count("prscrbr_city") == plan(staging.stage_spending(raw)).count("prscrbr_city")
+            assert sorted(r.npi for r in facts.collect()) == sorted(str(i) for i in range(40))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
