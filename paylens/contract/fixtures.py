@@ -116,7 +116,7 @@ REGISTRY_HEADERS = {
 
 # Line items on their way to the tables they are joined to: bits that a value takes in a number of 64. Half of the shuffles that
 # read the facts is less than half of the bytes in this form; a row with a value that does not fit, or none, sends its values as they are.
-BITS = ({"l_shipdate": 20, "l_linenumber": 8, "l_quantity": 16, "l_discount": 8, "l_tax": 8}, {"l_suppkey": 31, "l_extendedprice": 32})
+BITS = ({"l_shipdate": 16, "l_linenumber": 4, "l_quantity": 16, "l_extendedprice": 27}, {"l_suppkey": 31, "l_discount": 8, "l_tax": 8})
 
 
 def _code(name: str, kind: str) -> tuple[Column, Column]:
@@ -142,7 +142,8 @@ def _value(code: Column, kind: str) -> Column:
 def joined_packed(lines: DataFrame, names: Sequence[str], join: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``join`` of the line items, whose columns ``names`` are a few whole numbers up to there."""
     kinds = dict(lines.dtypes)
-    groups = [{x: bits for x, bits in group.items() if x in names and kinds[x] in ("int", "bigint", "double", "timestamp_ntz")} for group in BITS]
+    fit = {x for x in names if kinds.get(x) in ("int", "bigint", "double", "timestamp_ntz")}
+    groups = [found for group in BITS if (found := {x: bits for x, bits in group.items() if x in fit})]
     codes = {x: _code(x, kinds[x]) for group in groups for x in group}
     held = F.spark_partition_id() >= 0  # always so; it keeps filters from being moved, with all of this in them, below the packing
     for group in groups:
@@ -179,6 +180,8 @@ class Tables:
         """A mapping of line items; they are packed on their way through its joins, which follow ``others``."""
         head, source = text.split("\nfrom ")
         lines, tables = self.given("lineitem"), {x: self.given(x) for x in others}
+        if "orders" in tables:  # only its year is used, which a day has as well
+            tables["orders"] = tables["orders"].withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
         used = {x for x in (y for frame in (lines, *tables.values()) for y in frame.columns) if re.search(rf"\b{x}\b", text)}
 
         def join(sent: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,3 +85,13 @@ def lookup_join(
     if estimated_bytes(lookup) <= broadcast_limit(lookup):
         return facts.join(lookup, list(keys), how)
     return salted_join(facts, lookup, keys, spread_on, how, sizes)
+
+
+def with_distinct(groups: DataFrame, rows: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
+    """``groups``, aggregated from ``rows`` by ``keys``, with the number of different values that a group has in ``column``.
+
+    In one aggregate with them the sums would be shuffled once for each value in a group, which for ids is nearly as often as
+    there are rows. Here only the value and its group are. ``rows`` is read twice, so it should be a stored table."""
+    counts = rows.groupBy(*(F.col(x).alias(f"_in_{x}") for x in keys)).agg(F.count_distinct(column).alias(name))
+    same = reduce(and_, (F.col(x).eqNullSafe(F.col(f"_in_{x}")) for x in keys))
+    return groups.join(counts, same).select(*keys, name, *(x for x in groups.columns if x not in keys))

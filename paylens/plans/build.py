@@ -76,7 +76,7 @@ class Warehouse:
             "int_spending_enriched": lambda: enrich.spending(
                 self.raw["cms_part_d_spending"], need("int_providers"), self.sizes.get("cms_part_d_spending"), layout=True),
             "dim_providers": lambda: enrich.dim_providers(need("int_providers")),
-            "fct_utilization_by_specialty": lambda: marts.specialty_benchmark(need("int_utilization_enriched")),
+            "fct_utilization_by_specialty": lambda: marts.specialty_benchmark(need("int_utilization_enriched"), stored=True),
             "anl_kpi_overview": lambda: marts.kpi_overview(
                 need("dim_providers"), need("fct_utilization_by_specialty"), need("fct_provider_spending")
             ),
@@ -100,7 +100,7 @@ class Warehouse:
         seen = Observation(name)
         df = self.plan(name).observe(seen, F.count(F.lit(1)).alias("rows"))
         if name in BY_YEAR:
-            laid = df if name in LAID_OUT else df.repartitionByRange("year", "npi")
+            laid = df if name in LAID_OUT else staging.dealt(df, lambda x: x.repartitionByRange("year", "npi"))
             writer = laid.sortWithinPartitions("year", "npi").write.partitionBy("year").options(**POINT_READS)
         elif name in BY_PROVIDER:
             writer = df.repartitionByRange("npi").sortWithinPartitions("npi").write.options(**POINT_READS)

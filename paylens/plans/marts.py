@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
+from ..operators.joins import with_distinct
 
 RATE = "decimal(24,4)"
 
@@ -38,15 +39,17 @@ def group_medians(lines: DataFrame) -> DataFrame:
     return counts.groupBy(*GROUP).agg(c.tidy_double(median, 4).alias("median_withhold_rate"))
 
 
-def specialty_benchmark(utilization: DataFrame) -> DataFrame:
-    """Specialty x state x year benchmark over the lines that have a rate.
+def specialty_benchmark(utilization: DataFrame, stored: bool = False) -> DataFrame:
+    """Specialty x state x year benchmark over the lines that have a rate. With ``stored``, for a table that is cheap to read
+    once more, the providers are counted apart from the sums, which then are not shuffled once for each of them.
 
     The medians are a branch of their own: next to a distinct count they would keep every
     provider's rates apart up to the last step, in an aggregate without code generation.
     """
     lines = rated_lines(utilization)
+    providers = [] if stored else [F.count_distinct("npi").alias("provider_count")]
     sums = lines.groupBy(*GROUP).agg(
-        F.count_distinct("npi").alias("provider_count"),
+        *providers,
         F.count(F.lit(1)).alias("service_line_count"),
         F.sum("service_count").alias("total_services"),
         F.sum("unique_beneficiary_count").alias("total_beneficiaries"),
@@ -55,6 +58,8 @@ def specialty_benchmark(utilization: DataFrame) -> DataFrame:
         c.exact_mean("implied_withhold_rate", 4).cast(RATE).alias("avg_withhold_rate"),
         F.max("implied_withhold_rate").alias("max_withhold_rate"),
     )
+    if stored:
+        sums = with_distinct(sums, lines, GROUP, "npi", "provider_count")
     medians = group_medians(lines).select(*(F.col(x).alias(f"m_{x}") for x in GROUP), "median_withhold_rate")
     same_group = reduce(and_, (F.col(x).eqNullSafe(F.col(f"m_{x}")) for x in GROUP))
     key = c.surrogate_key(GROUP, strict=["specialty", "state"])
@@ -68,11 +73,7 @@ def specialty_benchmark(utilization: DataFrame) -> DataFrame:
 
 
 def drug_spending(fact: DataFrame) -> DataFrame:
-    """Drug x generic x year totals; rows that name no drug at all are left out.
-
-    The distinct counts are a branch of their own: in one aggregate with them the sums would be
-    shuffled once for each provider of a drug, which is nearly as often as the fact has rows.
-    """
+    """Drug x generic x year totals; rows that name no drug at all are left out."""
     keys = ("drug_name", "generic_name", "year")
     named = fact.filter(F.col("drug_name").isNotNull() | F.col("generic_name").isNotNull())
     named = named.withColumn("drug_name", c.or_unknown(c.first_known("drug_name", "generic_name")))
@@ -82,9 +83,7 @@ def drug_spending(fact: DataFrame) -> DataFrame:
         F.sum("total_drug_cost").alias("total_medicare_cost"),
         c.exact_mean("total_drug_cost", 2, 2).alias("avg_cost_per_row"),
     )
-    people = named.groupBy(*(F.col(x).alias(f"p_{x}") for x in keys)).agg(F.count_distinct("npi").alias("prescriber_count"))
-    same_group = reduce(and_, (F.col(x).eqNullSafe(F.col(f"p_{x}")) for x in keys))
-    return sums.join(people, same_group).select(*keys, "prescriber_count", *sums.columns[len(keys):])
+    return with_distinct(sums, named, keys, "npi", "prescriber_count")
 
 
 def one_row(frames: list[DataFrame]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from ..operators.joins import lookup_join
+from ..operators.joins import lookup_join, with_distinct
 from ..operators.running import running_sums
 from .marts import RATE, one_row
 
@@ -127,12 +127,13 @@ def year_pairs(yoy: DataFrame) -> DataFrame:
 # Drugs ----------------------------------------------------------------------------------
 def top_drugs_from_fact(fact: DataFrame, n: int = 20) -> DataFrame:
     """Drug x year straight from the fact; rows that name no drug count as Unknown."""
-    drug = c.or_unknown(c.first_known("drug_name", "generic_name"))
-    rows = fact.groupBy(drug.alias("drug"), "year").agg(
-        F.count_distinct("npi").alias("prescriber_count"),
+    keys = ("drug", "year")
+    named = fact.withColumn("drug", c.or_unknown(c.first_known("drug_name", "generic_name")))
+    sums = named.groupBy(*keys).agg(
         F.sum("total_claim_count").alias("claims"),
         F.sum("total_drug_cost").alias("total_medicare_cost"),
     )
+    rows = with_distinct(sums, named, keys, "npi", "prescriber_count")
     return top(rows, "total_medicare_cost", n, "drug", "year")
 
 

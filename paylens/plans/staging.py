@@ -51,7 +51,9 @@ def _newest(typed: DataFrame, pair: tuple[str, str], together: Callable[[DataFra
     are, and a key sends all of its copies.
     """
     if together is not None:
-        typed = dealt(typed, together)
+        plain = F.col("year").cast("string")  # as the year's text mostly is: it is sent only where it differs
+        typed = dealt(typed.withColumn("_year_text", F.nullif("_year_text", plain)), together)
+        typed = typed.withColumn("_year_text", F.coalesce("_year_text", plain))
     first, second = (F.coalesce(F.col(x), F.lit("")) for x in pair)
     ties = [x for x in typed.columns if x not in ("npi", "year", *HIDDEN)]
     keyed = typed.withColumn("_pair", F.concat(first, F.lit("-"), second))

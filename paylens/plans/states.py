@@ -23,7 +23,7 @@ PLAIN = r"^[1-9]\d{0,17}$"  # ids that are told apart as numbers
 
 
 def benchmark_state(utilization: DataFrame) -> DataFrame:
-    return marts.specialty_benchmark(utilization).drop("_updated_at")
+    return marts.specialty_benchmark(utilization, stored=True).drop("_updated_at")
 
 
 def drug_state(fact: DataFrame) -> DataFrame:

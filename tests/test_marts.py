@@ -145,9 +145,32 @@ def test_provider_year_first_step_is_a_hash_aggregate(spark):
 
 def test_prescribers_are_counted_without_the_sums(spark):
     """What is shuffled by provider is the id and its group."""
-    text = marts.drug_spending(spark.createDataFrame([], "npi string, drug_name string, generic_name string, year int, total_claim_count int, "
-                                                     "total_day_supply int, total_drug_cost decimal(18,2)"))._jdf.queryExecution().executedPlan().toString()
-    sent = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "npi" in line]
-    assert len(sent) == 1
-    below = text[text.index(sent[0]):].splitlines()[1]
-    assert "HashAggregate" in below and "sum(" not in below
+    fact = spark.createDataFrame([], "npi string, drug_name string, generic_name string, year int, total_claim_count int, "
+                                 "total_day_supply int, total_drug_cost decimal(18,2)")
+    for made in (marts.drug_spending(fact), reports.top_drugs_from_fact(fact)):
+        text = made._jdf.queryExecution().executedPlan().toString()
+        sent = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "npi" in line]
+        assert len(sent) == 1
+        below = text[text.index(sent[0]):].splitlines()[1]
+        assert "HashAggregate" in below and "sum(" not in below
+
+
+def test_groups_without_a_name_or_year_keep_their_counts(spark):
+    rows = [("1", "B", None, None, 1), ("2", "B", None, None, 2), (None, "B", None, 2024, 4), ("2", "B", "G", 2024, 8), ("2", "B", "G", 2024, 16)]
+    fact = spark.createDataFrame([(*r, 1, D("1.00")) for r in rows], "npi string, drug_name string, generic_name string, year int, "
+                                 "total_claim_count int, total_day_supply int, total_drug_cost decimal(18,2)")
+    got = {(r.generic_name, r.year): (r.prescriber_count, r.total_claims) for r in marts.drug_spending(fact).collect()}
+    assert got == {(None, None): (2, 3), (None, 2024): (0, 4), ("G", 2024): (1, 24)}
+    got = {r.year: (r.prescriber_count, r.claims) for r in reports.top_drugs_from_fact(fact).collect()}
+    assert got == {None: (2, 3), 2024: (1, 28)}
+
+
+def test_benchmark_of_a_stored_table(spark):
+    """The same rows; what is shuffled by provider has no sums."""
+    lines = [line(str(i % 5), "ST"[i % 2] if i % 7 else None, "XY"[i % 3 % 2] if i % 4 else None, f"0.{i}", (None, 2023, 2024)[i % 3]) for i in range(40)]
+    df = spark.createDataFrame([*lines, line(None), line("1", rate=None)], UTIL)
+    got = [sorted(map(str, marts.specialty_benchmark(df, stored).drop("_updated_at").collect())) for stored in (False, True)]
+    assert got[0] == got[1] and len(got[0]) > 5
+    text = marts.specialty_benchmark(df, True)._jdf.queryExecution().executedPlan().toString()
+    sent = next(line for line in text.splitlines() if "Exchange hashpartitioning" in line and "npi" in line)
+    assert "sum(" not in text[text.index(sent):].splitlines()[1]
