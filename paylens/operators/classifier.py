@@ -25,6 +25,7 @@ LABEL = "is_high_risk"
 ROW_KEY = "provider_risk_id"
 NO_CATEGORY = "__null__"
 ROWS_PER_TASK = 25_000  # a level of a tree is a job: below this a task's start costs as much as its work
+EVEN_TASKS = 16  # beyond these, tasks and their rows both grow, with the root of all rows
 
 
 # Data -------------------------------------------------------------------------------------
@@ -91,13 +92,20 @@ def encode(frame: DataFrame, encoder: PipelineModel) -> DataFrame:
     return encoder.transform(_prepared(frame))
 
 
+def fit_tasks(rows: int) -> int:
+    """A task per ``ROWS_PER_TASK`` rows. Each sends the sums of all nodes, features and bins of every level, however few
+    its rows are, so many tasks are made larger instead of more in proportion."""
+    tasks = max(1, math.ceil(rows / ROWS_PER_TASK))
+    return tasks if tasks <= EVEN_TASKS else math.ceil(math.sqrt(EVEN_TASKS * tasks))
+
+
 def fit_classifier(train: DataFrame, params: Mapping | None = None) -> PipelineModel:
     """Boosted trees over all rows. The training set is read once for every tree level, so it is
-    kept in memory and spread by its size: a task per ``ROWS_PER_TASK`` rows, not per core. It is shuffled
+    kept in memory and spread by its size (:func:`fit_tasks`), not by cores. It is shuffled
     for that: every task carries the plan of what it reads, up to the last shuffle."""
     ready = _prepared(train).persist()
     try:
-        parts = max(1, math.ceil(ready.count() / ROWS_PER_TASK))
+        parts = fit_tasks(ready.count())
         encoder = fit_encoder(ready)
         data = encoder.transform(ready).select("features", LABEL).repartition(parts)
         settings = {**k.GBT_PARAMS, **(params or {})}

@@ -124,3 +124,18 @@ def test_split_takes_every_training_row(spark, monkeypatch):
     monkeypatch.setattr(registry.Data, "training", lambda self: whole)
     assert [x.count() for x in registry.Data(spark, "").split()] == [300_007, 5]
     assert "least(" not in registry.METRICS_SQL
+
+
+def test_many_tasks_of_a_fit_grow_with_their_rows(spark, monkeypatch):
+    parts = []
+
+    class Watched(ml.GBTClassifier):
+        def fit(self, data):
+            parts.append(data.rdd.getNumPartitions())
+            return super().fit(data)
+
+    monkeypatch.setattr(ml, "GBTClassifier", Watched)
+    monkeypatch.setattr(ml, "ROWS_PER_TASK", 4)
+    ml.fit_classifier(frame(spark), {"maxIter": 1})
+    assert parts == [40]  # 100 tasks of 4 rows before
+    assert [ml.fit_tasks(n) for n in (0, 4, 64, 68, 6_400)] == [1, 1, 16, 17, 160]
